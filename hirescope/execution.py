@@ -30,3 +30,14 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Checkpoint ``df`` reliably (to ``spark.checkpoint.dir``)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` when it has fewer partitions than the cluster has cores.
+
+    A large table scan already yields one partition per file split, so this is a
+    no-op at scale; it only matters for small files feeding CPU-heavy stages
+    (n-gram generation), where one partition would mean one busy core.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df

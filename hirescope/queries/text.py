@@ -1 +1,148 @@
-QUERIES = {}
+"""Queries for text normalisation, lexicon and skill extraction."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from hirescope.execution import spread
+from hirescope.functions.text import all_ngrams, norm, tokens
+from hirescope.operators import skills as SK
+from hirescope.sources import fixtures as fx
+
+MAX_LEN = 4
+
+
+def _docs(spark, sf):
+    return fx.posting_texts(spark, sf)
+
+
+def _lex(spark, sf, max_len=MAX_LEN):
+    return SK.build_lexicon(fx.raw_lexicon(spark, sf), 1, max_len)
+
+
+def q_text_norm(spark: SparkSession, sf: str) -> DataFrame:
+    return _docs(spark, sf).select("posting_id", norm(F.coalesce("description", F.lit(""))).alias("norm_text"))
+
+
+def q_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    t = SK.text_tokens(_docs(spark, sf))
+    return t.select("posting_id", F.size("toks").cast("bigint").alias("n_tokens"))
+
+
+def q_ngram_counts(spark: SparkSession, sf: str) -> DataFrame:
+    t = SK.text_tokens(spread(_docs(spark, sf)))
+    per_n = F.array(*[F.struct(F.lit(n).alias("n"), all_ngrams("toks", [n]).alias("g")) for n in range(1, MAX_LEN + 1)])
+    g = t.select("posting_id", F.explode(per_n).alias("x")).select("posting_id", "x.n", F.explode_outer("x.g").alias("g"))
+    return (g.groupBy("posting_id", "n")
+             .agg(F.count("g").alias("n_grams"), F.count_distinct("g").alias("n_distinct"))
+             .select("posting_id", F.col("n").cast("bigint").alias("n"), "n_grams", "n_distinct"))
+
+
+def q_lexicon_build(spark: SparkSession, sf: str) -> DataFrame:
+    return _lex(spark, sf).select("phrase", F.col("n_words").cast("bigint").alias("n_words"))
+
+
+def q_skill_extract(spark: SparkSession, sf: str) -> DataFrame:
+    return SK.extract_skills(_docs(spark, sf), _lex(spark, sf))
+
+
+def q_skill_doc_freq(spark: SparkSession, sf: str) -> DataFrame:
+    found = SK.extract_skills(SK.distinct_descriptions(_docs(spark, sf)), _lex(spark, sf))
+    return SK.skill_doc_freq(found, 10)
+
+
+def q_distinct_descriptions(spark: SparkSession, sf: str) -> DataFrame:
+    return SK.distinct_descriptions(_docs(spark, sf))
+
+
+def q_skill_postings(spark: SparkSession, sf: str) -> DataFrame:
+    return SK.skill_postings(SK.extract_skills(_docs(spark, sf), _lex(spark, sf)))
+
+
+def q_skill_wide(spark: SparkSession, sf: str) -> DataFrame:
+    p = fx.postings(spark, sf).select("posting_id", "company_name")
+    return SK.skill_wide(p, fx.posting_skills(spark, sf))
+
+
+def q_skill_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    m, _ = SK.skill_matrix(_docs(spark, sf), fx.raw_lexicon(spark, sf), max_phrase_len=3, min_skill_df=10)
+    return m.select("posting_id", "skill", F.col("col").cast("bigint").alias("col"))
+
+
+# --------------------------------------------------------------------------- oracle SQL
+
+def norm_sql(x: str) -> str:
+    return (f"trim(regexp_replace(regexp_replace(lower({x}), '[^a-z0-9+#./\\- ]', ' ', 'g'), ' +', ' ', 'g'))")
+
+
+def toks_sql(x: str) -> str:
+    return f"list_filter(string_split({norm_sql(x)}, ' '), lambda w: w <> '')"
+
+
+def grams_sql(t: str, n: int) -> str:
+    if n == 1:
+        return t
+    return f"list_transform(range(1, len({t}) - {n} + 2), lambda i: array_to_string({t}[i:i + {n} - 1], ' '))"
+
+
+def lex_cte(max_len: int = MAX_LEN) -> str:
+    return f"""lex AS (
+  SELECT DISTINCT phrase, CAST(len(string_split(phrase, ' ')) AS BIGINT) AS n_words
+  FROM (SELECT {norm_sql('CAST(Skill AS VARCHAR)')} AS phrase FROM L WHERE Skill IS NOT NULL)
+  WHERE phrase <> '' AND len(string_split(phrase, ' ')) BETWEEN 1 AND {max_len}
+)"""
+
+
+def extract_cte(src: str = "D", max_len: int = MAX_LEN, name: str = "found") -> str:
+    gl = ", ".join(grams_sql("t", n) for n in range(1, max_len + 1))
+    return f"""{name}_docs AS (SELECT posting_id, {toks_sql("coalesce(description, '')")} AS t FROM {src}),
+{name}_grams AS (SELECT posting_id, unnest(list_concat({gl})) AS skill FROM {name}_docs),
+{name} AS (SELECT DISTINCT g.posting_id, g.skill FROM {name}_grams g JOIN lex l ON l.phrase = g.skill)"""
+
+
+DDESC = """ddesc AS (SELECT min(posting_id) AS posting_id, description
+  FROM (SELECT posting_id, coalesce(description, '') AS description FROM D) GROUP BY description)"""
+
+_ng = ",\n".join(
+    f"SELECT posting_id, {n} AS n, {grams_sql('t', n)} AS g FROM tk" for n in range(1, MAX_LEN + 1))
+
+SQL = {
+    "text_norm": fx.with_views(f"SELECT posting_id, {norm_sql(chr(39) * 0 + 'coalesce(description, ' + chr(39) * 2 + ')')} AS norm_text FROM D", "D"),
+    "token_counts": fx.with_views(f"SELECT posting_id, CAST(len({toks_sql(chr(39)*0 + 'coalesce(description, ' + chr(39)*2 + ')')}) AS BIGINT) AS n_tokens FROM D", "D"),
+    "ngram_counts": fx.with_views(
+        "SELECT posting_id, CAST(n AS BIGINT) AS n, CAST(len(g) AS BIGINT) AS n_grams, "
+        "CAST(len(list_distinct(g)) AS BIGINT) AS n_distinct FROM (" +
+        " UNION ALL ".join(f"SELECT posting_id, {n} AS n, {grams_sql('t', n)} AS g FROM tk" for n in range(1, MAX_LEN + 1)) + ")",
+        "D", extra=f"tk AS (SELECT posting_id, {toks_sql(chr(39)*0 + 'coalesce(description, ' + chr(39)*2 + ')')} AS t FROM D)"),
+    "lexicon_build": fx.with_views("SELECT phrase, n_words FROM lex", "L", extra=lex_cte()),
+    "skill_extract": fx.with_views("SELECT posting_id, skill FROM found", "D", "L",
+                                   extra=lex_cte() + ",\n" + extract_cte()),
+    "skill_doc_freq": fx.with_views("SELECT skill, count(*) AS doc_freq FROM found GROUP BY skill HAVING count(*) >= 10",
+                                    "D", "L", extra=DDESC + ",\n" + lex_cte() + ",\n" + extract_cte("ddesc")),
+    "distinct_descriptions": fx.with_views("SELECT posting_id, description FROM ddesc", "D", extra=DDESC),
+    "skill_postings": fx.with_views("SELECT skill, posting_id FROM found", "D", "L",
+                                    extra=lex_cte() + ",\n" + extract_cte()),
+    "skill_wide": fx.with_views("""
+SELECT p.posting_id, p.company_name, COALESCE(COLUMNS(w.* EXCLUDE (posting_id)), 0)::INTEGER
+FROM P p LEFT JOIN (PIVOT (SELECT DISTINCT posting_id, skill FROM S) ON skill USING count(*) GROUP BY posting_id) w
+  ON w.posting_id = p.posting_id""", "P", "S"),
+    "skill_matrix": fx.with_views("""
+SELECT f.posting_id, f.skill, CAST(v.col AS BIGINT) AS col
+FROM found f JOIN (SELECT skill, row_number() OVER (ORDER BY skill) - 1 AS col
+                   FROM found GROUP BY skill HAVING count(*) >= 10) v ON v.skill = f.skill""",
+        "D", "L", extra=DDESC + ",\n" + lex_cte(3) + ",\n" + extract_cte("ddesc", 3)),
+}
+
+QUERIES = {
+    "text_norm": (q_text_norm, SQL["text_norm"]),
+    "token_counts": (q_token_counts, SQL["token_counts"]),
+    "ngram_counts": (q_ngram_counts, SQL["ngram_counts"]),
+    "lexicon_build": (q_lexicon_build, SQL["lexicon_build"]),
+    "skill_extract": (q_skill_extract, SQL["skill_extract"]),
+    "skill_doc_freq": (q_skill_doc_freq, SQL["skill_doc_freq"]),
+    "distinct_descriptions": (q_distinct_descriptions, SQL["distinct_descriptions"]),
+    "skill_postings": (q_skill_postings, SQL["skill_postings"]),
+    "skill_wide": (q_skill_wide, SQL["skill_wide"]),
+    "skill_matrix": (q_skill_matrix, SQL["skill_matrix"]),
+}
