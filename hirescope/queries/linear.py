@@ -1 +1,170 @@
-QUERIES = {}
+"""Queries for one-hot, Gram matrix, least squares, K-fold CV, what-if.
+
+The oracle uses the closed form of the one-category case: predictions are the
+level means m_g; the minimum-norm coefficients are b0 = sum(m_g) / (G + 1),
+b_g = m_g - b0. Money columns are rounded to 2 places, ratios to 6, in both.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from hirescope.operators import linear as LN
+from hirescope.plans import regression as RG
+from hirescope.sources import fixtures as fx
+
+CAT = ["company_name"]
+K = 3
+
+
+def _train(spark, sf):
+    return RG.training_set(fx.postings(spark, sf))
+
+
+def _model(spark, sf, k=K):
+    return RG.train_regression(fx.postings(spark, sf), None, CAT, [], k_folds=k)
+
+
+def q_one_hot(spark: SparkSession, sf: str) -> DataFrame:
+    df = LN.one_hot(fx.postings(spark, sf).select("posting_id", "company_name"), "company_name")
+    return df.drop("company_name")
+
+
+def q_gram_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    return LN.gram_table(_train(spark, sf), None, CAT, [])
+
+
+def q_ols_coefficients(spark: SparkSession, sf: str) -> DataFrame:
+    m = _model(spark, sf, 0)
+    rows = [(n, round(float(b), 2)) for n, b in zip(m.names, m.beta)]
+    return spark.createDataFrame(rows, "feature string, coefficient double")
+
+
+def q_ols_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    m = _model(spark, sf, 0)
+    p = RG.parity_table(m, _train(spark, sf), None)
+    return p.select("posting_id", "actual", F.bround("predicted", 2).alias("predicted"))
+
+
+def q_regression_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    m = _model(spark, sf, 0)
+    met = LN.regression_metrics(RG.parity_table(m, _train(spark, sf), None))
+    return met.select("n", F.bround("r2", 6).alias("r2"), F.bround(F.sqrt("mse"), 2).alias("rmse"),
+                      F.bround("explained_variance", 6).alias("explained_variance"),
+                      F.bround("max_error", 2).alias("max_error"))
+
+
+def q_kfold_cv(spark: SparkSession, sf: str) -> DataFrame:
+    m = _model(spark, sf)
+    rows = [(f["fold"], f["n_train"], f["n_test"], round(f["r2"], 6), round(float(np.sqrt(f["mse"])), 2))
+            for f in m.folds]
+    return spark.createDataFrame(rows, "fold int, n_train bigint, n_test bigint, r2 double, rmse double")
+
+
+def q_kfold_assign(spark: SparkSession, sf: str) -> DataFrame:
+    from hirescope.operators.sampling import kfold_assign
+    return kfold_assign(_train(spark, sf).select("posting_id"), K)
+
+
+def q_scenario_predict(spark: SparkSession, sf: str) -> DataFrame:
+    m = _model(spark, sf, 0)
+    p = fx.postings(spark, sf)
+    scen = (p.select("company_name").union(p.select(F.col("work_type").alias("company_name"))).distinct())
+    out = LN.predict(m, LN.scenario_vectors(scen))
+    return out.select("company_name", F.bround("predicted", 2).alias("predicted"))
+
+
+def q_top_coefficients(spark: SparkSession, sf: str) -> DataFrame:
+    m = _model(spark, sf, 0)
+    t = LN.top_coefficients(m.coefficients(spark), 3)
+    return t.select("feature", F.bround("coefficient", 2).alias("coefficient"))
+
+
+def q_parity_range(spark: SparkSession, sf: str) -> DataFrame:
+    m = _model(spark, sf, 0)
+    r = LN.parity_range(RG.parity_table(m, _train(spark, sf), None))
+    return r.select(F.bround("min_val", 2).alias("min_val"), F.bround("max_val", 2).alias("max_val"))
+
+
+def q_ols_multi_fit(spark: SparkSession, sf: str) -> DataFrame:
+    """Company + location + two skills, 3-fold CV: fold scores (checked against numpy in tests)."""
+    m = RG.train_regression(fx.postings(spark, sf), fx.posting_skills(spark, sf),
+                            ["company_name", "location"], ["SMALL", "PROMO"], k_folds=K)
+    rows = [(f["fold"], f["n_test"], float(f["r2"]), float(f["mse"])) for f in m.folds]
+    return spark.createDataFrame(rows, "fold int, n_test bigint, r2 double, mse double")
+
+
+# --------------------------------------------------------------------------- oracle SQL
+
+TRAIN = """tr AS (SELECT posting_id, company_name, normalized_salary AS y FROM P
+        WHERE company_name IS NOT NULL AND location IS NOT NULL AND title IS NOT NULL AND normalized_salary IS NOT NULL),
+m AS (SELECT company_name, avg(y) AS m FROM tr GROUP BY company_name),
+b0 AS (SELECT sum(m) / (count(*) + 1) AS b0 FROM m),
+pred AS (SELECT tr.posting_id, tr.y AS actual, m.m AS predicted FROM tr JOIN m USING (company_name))"""
+
+FOLDS = f"""ft AS (SELECT *, ((posting_id + 42) * 48271) % 2147483647 % {K} AS fold FROM tr),
+fm AS (SELECT f.fold, t.company_name, avg(t.y) AS m FROM (SELECT DISTINCT fold FROM ft) f
+       JOIN ft t ON t.fold <> f.fold GROUP BY f.fold, t.company_name),
+fb AS (SELECT fold, sum(m) / (count(*) + 1) AS b0 FROM fm GROUP BY fold),
+fp AS (SELECT t.fold, t.y, coalesce(fm.m, fb.b0) AS p FROM ft t JOIN fb ON fb.fold = t.fold
+       LEFT JOIN fm ON fm.fold = t.fold AND fm.company_name = t.company_name),
+fs AS (SELECT fold, count(*) AS n_test, sum((y - p) * (y - p)) AS sse, var_pop(y) * count(*) AS sst FROM fp GROUP BY fold)"""
+
+SQL = {
+    "one_hot": fx.with_views("""
+SELECT posting_id, COLUMNS(* EXCLUDE (posting_id))::INTEGER FROM (
+  PIVOT (SELECT posting_id, 'company_name_' || company_name AS f FROM P WHERE company_name IS NOT NULL)
+  ON f USING count(*) GROUP BY posting_id)
+UNION ALL BY NAME SELECT posting_id FROM P WHERE company_name IS NULL""", "P"),
+    "gram_matrix": fx.with_views("""
+SELECT '__intercept__' AS feature_i, '__intercept__' AS feature_j, CAST(count(*) AS DOUBLE) AS value FROM tr
+UNION ALL SELECT '__intercept__', 'company_name_' || company_name, CAST(count(*) AS DOUBLE) FROM tr GROUP BY company_name
+UNION ALL SELECT 'company_name_' || company_name, '__intercept__', CAST(count(*) AS DOUBLE) FROM tr GROUP BY company_name
+UNION ALL SELECT 'company_name_' || company_name, 'company_name_' || company_name, CAST(count(*) AS DOUBLE) FROM tr GROUP BY company_name""",
+        "P", extra=TRAIN),
+    "ols_coefficients": fx.with_views("""
+SELECT '__intercept__' AS feature, round_even(b0, 2) AS coefficient FROM b0
+UNION ALL SELECT 'company_name_' || company_name, round_even(m - b0, 2) FROM m, b0""", "P", extra=TRAIN),
+    "ols_predictions": fx.with_views("SELECT posting_id, actual, round_even(predicted, 2) AS predicted FROM pred", "P", extra=TRAIN),
+    "regression_metrics": fx.with_views("""
+SELECT count(*) AS n, round_even(1 - sum((actual - predicted) ^ 2) / (var_pop(actual) * count(*)), 6) AS r2,
+       round_even(sqrt(avg((actual - predicted) ^ 2)), 2) AS rmse,
+       round_even(1 - var_pop(actual - predicted) / var_pop(actual), 6) AS explained_variance,
+       round_even(max(abs(actual - predicted)), 2) AS max_error
+FROM pred""", "P", extra=TRAIN),
+    "kfold_cv": fx.with_views(f"""
+SELECT CAST(fold AS INTEGER) AS fold, (SELECT count(*) FROM tr) - n_test AS n_train, n_test,
+       round_even(CASE WHEN sst = 0 THEN (CASE WHEN sse = 0 THEN 1.0 ELSE 0.0 END) ELSE 1 - sse / sst END, 6) AS r2,
+       round_even(sqrt(sse / n_test), 2) AS rmse
+FROM fs""", "P", extra=TRAIN + ",\n" + FOLDS),
+    "kfold_assign": fx.with_views(
+        f"SELECT posting_id, CAST(((posting_id + 42) * 48271) % 2147483647 % {K} AS INTEGER) AS fold FROM tr",
+        "P", extra=TRAIN),
+    "scenario_predict": fx.with_views("""
+SELECT s.company_name, round_even(coalesce(m.m, b0.b0), 2) AS predicted
+FROM (SELECT company_name FROM P UNION SELECT work_type FROM P) s
+LEFT JOIN m ON m.company_name = s.company_name CROSS JOIN b0""", "P", extra=TRAIN),
+    "top_coefficients": fx.with_views("""
+SELECT feature, round_even(coefficient, 2) AS coefficient FROM (
+  SELECT 'company_name_' || company_name AS feature, m - b0 AS coefficient FROM m, b0
+  ORDER BY abs(m - b0) DESC, feature LIMIT 3)""", "P", extra=TRAIN),
+    "parity_range": fx.with_views("""
+SELECT round_even(least(min(actual), min(predicted)), 2) AS min_val,
+       round_even(greatest(max(actual), max(predicted)), 2) AS max_val FROM pred""", "P", extra=TRAIN),
+}
+
+QUERIES = {
+    "one_hot": (q_one_hot, SQL["one_hot"]),
+    "gram_matrix": (q_gram_matrix, SQL["gram_matrix"]),
+    "ols_one_hot_coefficients": (q_ols_coefficients, SQL["ols_coefficients"]),
+    "ols_predictions": (q_ols_predictions, SQL["ols_predictions"]),
+    "regression_metrics": (q_regression_metrics, SQL["regression_metrics"]),
+    "kfold_cv": (q_kfold_cv, SQL["kfold_cv"]),
+    "kfold_assign": (q_kfold_assign, SQL["kfold_assign"]),
+    "scenario_predict": (q_scenario_predict, SQL["scenario_predict"]),
+    "top_coefficients": (q_top_coefficients, SQL["top_coefficients"]),
+    "parity_range": (q_parity_range, SQL["parity_range"]),
+    "ols_multi_fit": (q_ols_multi_fit, None),
+}
