@@ -1 +1,296 @@
-QUERIES = {}
+"""Queries for moments, PCA, k-means and cluster scores.
+
+Oracle recipes: a k-means step starts from the rows ``vec_id < k``; the scores
+use the given ``embeddings.label`` (or the order priority of P) so no fit is
+involved. PCA and full fits are rows-only here and checked against numpy in tests.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from hirescope.operators import cluster as CL
+from hirescope.plans import clustering as CP
+from hirescope.sources import fixtures as fx
+
+K = 5
+COL, ID, LAB = "embedding", "vec_id", "label"
+
+
+def _e(spark, sf):
+    return fx.embeddings(spark, sf)
+
+
+def _start(spark, sf):
+    rows = _e(spark, sf).where(F.col(ID) < K).orderBy(ID).select(COL).collect()
+    return np.array([r[0] for r in rows], dtype=float)
+
+
+def _assign(metric):
+    def q(spark: SparkSession, sf: str) -> DataFrame:
+        c = _start(spark, sf)
+        return CL.assign(_e(spark, sf), c.tolist(), COL, metric, 3.0).select(ID, "cluster")
+    return q
+
+
+def q_kmeans_update(spark: SparkSession, sf: str) -> DataFrame:
+    c = _start(spark, sf)
+    lab = CL.assign(_e(spark, sf), c.tolist(), COL, "euclidean")
+    new = CL.update(lab, c, COL)
+    rows = [(i, j, round(float(new[i, j]), 6)) for i in range(new.shape[0]) for j in range(new.shape[1])]
+    return spark.createDataFrame(rows, "cluster int, dim int, value double")
+
+
+def q_kmeans_fit(spark: SparkSession, sf: str) -> DataFrame:
+    r = CL.kmeans(_e(spark, sf), K, COL, ID, "euclidean")
+    return r.labels.select(ID, "cluster")
+
+
+def q_cluster_fit(spark: SparkSession, sf: str) -> DataFrame:
+    labels, _, _ = CP.cluster_fit(_e(spark, sf), K, 3, COL, ID)
+    return CP.cluster_map(labels, ID)
+
+
+def q_pca_scores(spark: SparkSession, sf: str) -> DataFrame:
+    pr = CL.pca(_e(spark, sf), 3, COL)
+    s = F.col("scores")
+    return pr.scores.select(ID, s[0].alias("pc1"), s[1].alias("pc2"), s[2].alias("pc3"))
+
+
+def q_pca_variance(spark: SparkSession, sf: str) -> DataFrame:
+    e = _e(spark, sf)
+    pr = CL.pca(e, 3, COL)
+    return CL.pca_variance(pr.scores, e, 3, "scores", COL)
+
+
+def q_kmeans_k_sweep(spark: SparkSession, sf: str) -> DataFrame:
+    rows = CP.k_sweep(_e(spark, sf), (3, 5, 7), 3, COL, ID)
+    return spark.createDataFrame(rows, "k int, silhouette_sq double, davies_bouldin double, calinski_harabasz double")
+
+
+def q_silhouette_sq(spark: SparkSession, sf: str) -> DataFrame:
+    v = CL.silhouette_sq(_e(spark, sf), COL, LAB)
+    return spark.createDataFrame([(round(v, 4),)], "silhouette double")
+
+
+def q_davies_bouldin(spark: SparkSession, sf: str) -> DataFrame:
+    v = CL.davies_bouldin(_e(spark, sf), COL, LAB)
+    return spark.createDataFrame([(round(v, 6),)], "davies_bouldin double")
+
+
+def q_calinski_harabasz(spark: SparkSession, sf: str) -> DataFrame:
+    v = CL.calinski_harabasz(_e(spark, sf), COL, LAB)
+    return spark.createDataFrame([(round(v, 4),)], "calinski_harabasz double")
+
+
+def q_similarity_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    s = CL.similarity_matrix(_e(spark, sf), 25, COL, ID, "euclidean")
+    return s.select("id_a", "id_b", F.bround("similarity", 6).alias("similarity"))
+
+
+def q_zscore(spark: SparkSession, sf: str) -> DataFrame:
+    z = CL.zscore(_e(spark, sf), COL, "z")
+    return z.select(ID, F.posexplode("z").alias("dim", "z")).select(ID, "dim", F.bround("z", 6).alias("z"))
+
+
+def q_embedding_moments(spark: SparkSession, sf: str) -> DataFrame:
+    m = CL.moments_table(_e(spark, sf), COL)
+    return m.select("dim", *[F.bround(c, 6).alias(c) for c in ("mean", "var_pop", "std_pop")])
+
+
+def q_embedding_covariance(spark: SparkSession, sf: str) -> DataFrame:
+    c = CL.covariance_table(_e(spark, sf), COL)
+    return c.select("i", "j", F.bround("cov", 6).alias("cov"))
+
+
+def q_cluster_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    return CL.cluster_sizes(_e(spark, sf), LAB).select(F.col(LAB).alias("cluster"), "size")
+
+
+def _ttest(spark, sf, with_p):
+    e = _e(spark, sf)
+    d = CL.distances_to_own_centre(e, None, COL, LAB)
+    return CL.compactness_ttest(d, LAB, "dist", with_p=with_p)
+
+
+def q_compactness_ttest(spark: SparkSession, sf: str) -> DataFrame:
+    return _ttest(spark, sf, False)
+
+
+def q_compactness_ttest_p(spark: SparkSession, sf: str) -> DataFrame:
+    return _ttest(spark, sf, True)
+
+
+def q_compactness_long(spark: SparkSession, sf: str) -> DataFrame:
+    return CL.compactness_long(_ttest(spark, sf, False))
+
+
+def q_cluster_salary(spark: SparkSession, sf: str) -> DataFrame:
+    p = fx.postings(spark, sf).withColumnRenamed("work_type", "cluster")
+    return CL.cluster_salary(p, "cluster")
+
+
+def q_cluster_skill_labels(spark: SparkSession, sf: str) -> DataFrame:
+    p = fx.postings(spark, sf).withColumnRenamed("work_type", "cluster")
+    return CL.cluster_skill_labels(p, fx.posting_skills(spark, sf), 3, "cluster")
+
+
+def q_posting_profile(spark: SparkSession, sf: str) -> DataFrame:
+    return CL.posting_profile(fx.postings(spark, sf), fx.posting_skills(spark, sf))
+
+
+# --------------------------------------------------------------------------- oracle SQL
+
+def _dist(a: str, c: str, metric: str) -> str:
+    if metric == "euclidean":
+        return f"sqrt(list_sum(list_transform(range(1, len({a}) + 1), lambda i: ({a}[i] - {c}[i]) * ({a}[i] - {c}[i]))))"
+    if metric == "manhattan":
+        return f"list_sum(list_transform(range(1, len({a}) + 1), lambda i: abs({a}[i] - {c}[i])))"
+    return (f"pow(list_sum(list_transform(range(1, len({a}) + 1), lambda i: pow(abs({a}[i] - {c}[i]), 3.0))), "
+            f"1.0 / 3.0)")
+
+
+CENTRES = f"""cen AS (SELECT CAST(row_number() OVER (ORDER BY vec_id) - 1 AS INTEGER) AS cluster, embedding AS c
+        FROM E WHERE vec_id < {K})"""
+
+
+def _assign_sql(metric: str) -> str:
+    return fx.with_views(f"""
+SELECT vec_id, cluster FROM (
+  SELECT e.vec_id, c.cluster,
+         row_number() OVER (PARTITION BY e.vec_id ORDER BY {_dist('e.embedding', 'c.c', metric)}, c.cluster) AS rk
+  FROM E e CROSS JOIN cen c) WHERE rk = 1""", "E", extra=CENTRES)
+
+
+LONG_E = """el AS (SELECT vec_id, label, unnest(embedding) AS v, generate_subscripts(embedding, 1) - 1 AS dim FROM E)"""
+
+OWN = """lm AS (SELECT label, dim, avg(v) AS m FROM el GROUP BY label, dim),
+dd AS (SELECT el.vec_id, el.label, sqrt(sum((el.v - lm.m) * (el.v - lm.m))) AS dist
+       FROM el JOIN lm ON lm.label = el.label AND lm.dim = el.dim GROUP BY el.vec_id, el.label)"""
+
+TTEST = """tt AS (
+  SELECT c.label AS cluster, count(*) FILTER (WHERE d.label = c.label) AS n1, count(*) FILTER (WHERE d.label <> c.label) AS n2,
+         avg(d.dist) FILTER (WHERE d.label = c.label) AS m1, avg(d.dist) FILTER (WHERE d.label <> c.label) AS m2,
+         var_samp(d.dist) FILTER (WHERE d.label = c.label) AS v1, var_samp(d.dist) FILTER (WHERE d.label <> c.label) AS v2
+  FROM (SELECT DISTINCT label FROM dd) c CROSS JOIN dd d GROUP BY c.label),
+tres AS (SELECT CAST(cluster AS INTEGER) AS cluster,
+         CASE WHEN n1 >= 2 AND n2 >= 2 THEN round_even(m1, 4) END AS mean_distance,
+         CASE WHEN n1 >= 2 AND n2 >= 2 THEN round_even(m2, 4) END AS rest_mean_distance,
+         CASE WHEN n1 >= 2 AND n2 >= 2 THEN round_even((m1 - m2) / sqrt(v1 / n1 + v2 / n2), 4) END AS t_statistic
+  FROM tt)"""
+
+SIL = f"""pp AS (SELECT a.vec_id, a.label AS la, b.label AS lb,
+             list_sum(list_transform(range(1, len(a.embedding) + 1), lambda i: (a.embedding[i] - b.embedding[i]) * (a.embedding[i] - b.embedding[i]))) AS d
+      FROM E a JOIN E b ON a.vec_id <> b.vec_id),
+sz AS (SELECT label, count(*) AS n FROM E GROUP BY label),
+per AS (SELECT pp.vec_id, pp.la, pp.lb, sum(d) AS s FROM pp GROUP BY ALL),
+ab AS (SELECT p.vec_id, p.la,
+         max(CASE WHEN p.lb = p.la THEN p.s / (sz.n - 1) END) AS a,
+         min(CASE WHEN p.lb <> p.la THEN p.s / sz.n END) AS b
+       FROM per p JOIN sz ON sz.label = p.lb GROUP BY p.vec_id, p.la),
+sv AS (SELECT e.vec_id, CASE WHEN s1.n = 1 THEN 0.0 ELSE (ab.b - ab.a) / greatest(ab.a, ab.b) END AS s
+       FROM E e JOIN sz s1 ON s1.label = e.label LEFT JOIN ab ON ab.vec_id = e.vec_id)"""
+
+CENT = """cm AS (SELECT label, list(m ORDER BY dim) AS c FROM lm GROUP BY label),
+sc AS (SELECT label, avg(dist) AS s FROM dd GROUP BY label),
+pairc AS (SELECT a.label AS i, b.label AS j, (sa.s + sb.s) / """ + _dist("a.c", "b.c", "euclidean") + """ AS r
+          FROM cm a JOIN cm b ON a.label <> b.label JOIN sc sa ON sa.label = a.label JOIN sc sb ON sb.label = b.label)"""
+
+CH = """gm AS (SELECT dim, avg(v) AS m FROM el GROUP BY dim),
+szc AS (SELECT label, count(*) AS n FROM E GROUP BY label),
+btw AS (SELECT sum(szc.n * (lm.m - gm.m) * (lm.m - gm.m)) AS b FROM lm JOIN gm USING (dim) JOIN szc USING (label)),
+wth AS (SELECT sum(dist * dist) AS w FROM dd)"""
+
+SQL = {
+    "kmeans_assign_euclidean": _assign_sql("euclidean"),
+    "kmeans_assign_manhattan": _assign_sql("manhattan"),
+    "kmeans_assign_minkowski": _assign_sql("minkowski"),
+    "kmeans_update": fx.with_views(f"""
+SELECT CAST(c.cluster AS INTEGER) AS cluster, CAST(d.dim AS INTEGER) AS dim,
+       round_even(coalesce(m.v, c.c[d.dim + 1]), 6) AS value
+FROM cen c CROSS JOIN (SELECT DISTINCT dim FROM el) d
+LEFT JOIN (SELECT a.cluster, el.dim, avg(el.v) AS v FROM asg a JOIN el ON el.vec_id = a.vec_id GROUP BY ALL) m
+  ON m.cluster = c.cluster AND m.dim = d.dim""", "E", extra=CENTRES + ",\n" + LONG_E + f""",
+asg AS (SELECT vec_id, cluster FROM (
+  SELECT e.vec_id, c.cluster,
+         row_number() OVER (PARTITION BY e.vec_id ORDER BY {_dist('e.embedding', 'c.c', 'euclidean')}, c.cluster) AS rk
+  FROM E e CROSS JOIN cen c) WHERE rk = 1)"""),
+    "silhouette_sq": fx.with_views("SELECT round_even(avg(s), 4) AS silhouette FROM sv", "E", extra=SIL),
+    "davies_bouldin": fx.with_views(
+        "SELECT round_even(avg(mx), 6) AS davies_bouldin FROM (SELECT i, max(r) AS mx FROM pairc GROUP BY i)",
+        "E", extra=LONG_E + ",\n" + OWN + ",\n" + CENT),
+    "calinski_harabasz": fx.with_views(
+        "SELECT round_even(btw.b * ((SELECT count(*) FROM E) - (SELECT count(*) FROM szc)) / "
+        "(wth.w * ((SELECT count(*) FROM szc) - 1)), 4) AS calinski_harabasz FROM btw, wth",
+        "E", extra=LONG_E + ",\n" + OWN + ",\n" + CH),
+    "similarity_matrix": fx.with_views(f"""
+SELECT a.vec_id AS id_a, b.vec_id AS id_b, round_even(1.0 - {_dist('a.embedding', 'b.embedding', 'euclidean')}, 6) AS similarity
+FROM f a CROSS JOIN f b""", "E", extra="f AS (SELECT * FROM E ORDER BY vec_id LIMIT 25)"),
+    "zscore": fx.with_views("""
+SELECT el.vec_id, CAST(el.dim AS INTEGER) AS dim,
+       round_even((el.v - s.m) / CASE WHEN s.sd = 0 THEN 1.0 ELSE s.sd END, 6) AS z
+FROM el JOIN (SELECT dim, avg(v) AS m, stddev_pop(v) AS sd FROM el GROUP BY dim) s USING (dim)""", "E", extra=LONG_E),
+    "embedding_moments": fx.with_views("""
+SELECT CAST(dim AS INTEGER) AS dim, round_even(avg(v), 6) AS mean, round_even(var_pop(v), 6) AS var_pop,
+       round_even(stddev_pop(v), 6) AS std_pop FROM el GROUP BY dim""", "E", extra=LONG_E),
+    "embedding_covariance": fx.with_views("""
+SELECT CAST(a.dim AS INTEGER) AS i, CAST(b.dim AS INTEGER) AS j, round_even(covar_samp(a.v, b.v), 6) AS cov
+FROM el a JOIN el b ON a.vec_id = b.vec_id GROUP BY a.dim, b.dim""", "E", extra=LONG_E),
+    "cluster_sizes": fx.with_views("SELECT label AS cluster, count(*) AS size FROM E GROUP BY label ORDER BY label", "E"),
+    "compactness_ttest": fx.with_views("SELECT * FROM tres", "E", extra=LONG_E + ",\n" + OWN + ",\n" + TTEST),
+    "compactness_long": fx.with_views("""
+SELECT cluster, 'Mean Distance' AS "group", mean_distance AS avg_distance FROM tres
+UNION ALL SELECT cluster, 'Rest Mean Distance', rest_mean_distance FROM tres""", "E",
+        extra=LONG_E + ",\n" + OWN + ",\n" + TTEST),
+    "cluster_salary": fx.with_views("""
+SELECT cluster, mean, median, min, max, size,
+       greatest(max - mean, 0.0) AS err_plus, greatest(mean - min, 0.0) AS err_minus FROM (
+  SELECT work_type AS cluster, round_even(avg(normalized_salary), 2) AS mean,
+         round_even(quantile_cont(normalized_salary, 0.5), 2) AS median,
+         round_even(min(normalized_salary), 2) AS min, round_even(max(normalized_salary), 2) AS max,
+         count(*) AS size
+  FROM P WHERE normalized_salary > 0 GROUP BY work_type)""", "P"),
+    "cluster_skill_labels": fx.with_views("""
+SELECT c.cluster, coalesce(t.lbl, 'N/A') AS skills_label
+FROM (SELECT DISTINCT work_type AS cluster FROM P) c LEFT JOIN (
+  SELECT cluster, string_agg(skill, ', ' ORDER BY rk) AS lbl FROM (
+    SELECT cluster, skill, row_number() OVER (PARTITION BY cluster ORDER BY freq DESC, skill) AS rk FROM (
+      SELECT p.work_type AS cluster, s.skill, count(*) AS freq
+      FROM P p JOIN (SELECT DISTINCT posting_id, skill FROM S) s ON s.posting_id = p.posting_id GROUP BY ALL))
+  WHERE rk <= 3 GROUP BY cluster) t ON t.cluster = c.cluster""", "P", "S"),
+    "posting_profile": fx.with_views("""
+SELECT p.posting_id,
+       concat_ws(' — ', p.company_name, p.title, CAST(p.posting_id AS VARCHAR)) AS job_label,
+       'Company: ' || coalesce(p.company_name, 'nan') || ' | Title: ' || coalesce(p.title, 'nan') ||
+       ' | Top Skills: ' || coalesce(array_to_string(s.s[1:5], ', '), '') AS profile
+FROM P p LEFT JOIN (SELECT posting_id, list_sort(list(DISTINCT skill)) AS s FROM S GROUP BY posting_id) s
+  ON s.posting_id = p.posting_id""", "P", "S"),
+}
+
+QUERIES = {
+    "kmeans_assign_euclidean": (_assign("euclidean"), SQL["kmeans_assign_euclidean"]),
+    "kmeans_assign_manhattan": (_assign("manhattan"), SQL["kmeans_assign_manhattan"]),
+    "kmeans_assign_minkowski": (_assign("minkowski"), SQL["kmeans_assign_minkowski"]),
+    "kmeans_update": (q_kmeans_update, SQL["kmeans_update"]),
+    "kmeans_fit": (q_kmeans_fit, None),
+    "cluster_fit": (q_cluster_fit, None),
+    "pca_scores": (q_pca_scores, None),
+    "pca_variance": (q_pca_variance, None),
+    "kmeans_k_sweep": (q_kmeans_k_sweep, None),
+    "silhouette_sq": (q_silhouette_sq, SQL["silhouette_sq"]),
+    "davies_bouldin": (q_davies_bouldin, SQL["davies_bouldin"]),
+    "calinski_harabasz": (q_calinski_harabasz, SQL["calinski_harabasz"]),
+    "similarity_matrix": (q_similarity_matrix, SQL["similarity_matrix"]),
+    "zscore": (q_zscore, SQL["zscore"]),
+    "embedding_moments": (q_embedding_moments, SQL["embedding_moments"]),
+    "embedding_covariance": (q_embedding_covariance, SQL["embedding_covariance"]),
+    "cluster_sizes": (q_cluster_sizes, SQL["cluster_sizes"]),
+    "compactness_ttest": (q_compactness_ttest, SQL["compactness_ttest"]),
+    "compactness_ttest_p": (q_compactness_ttest_p, None),
+    "compactness_long": (q_compactness_long, SQL["compactness_long"]),
+    "cluster_salary": (q_cluster_salary, SQL["cluster_salary"]),
+    "cluster_skill_labels": (q_cluster_skill_labels, SQL["cluster_skill_labels"]),
+    "posting_profile": (q_posting_profile, SQL["posting_profile"]),
+}
