@@ -26,10 +26,18 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     return F.broadcast(df) if n <= max_rows else df
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Checkpoint ``df`` reliably (to ``spark.checkpoint.dir``)."""
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Checkpoint ``df`` reliably (to ``spark.checkpoint.dir``), computing it once.
+
+    An eager checkpoint runs the plan for its count and again for the write;
+    persisting first lets the write read the cached blocks. The cache is
+    released once the checkpoint files exist.
+    """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    cached = df.persist()
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:

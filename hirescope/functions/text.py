@@ -25,6 +25,21 @@ def tokens(normed: Column | str) -> Column:
     return F.array_remove(F.split(c, " "), "")
 
 
+# Runs of characters that are neither kept nor part of a token (space included).
+SPLIT_CLASS = r"[^a-z0-9+#./\-]+"
+
+
+def text_tokens(text: Column | str) -> Column:
+    """H1+H2 in one regex pass: the tokens of ``norm(text)``.
+
+    Splitting the lower-cased text on runs of characters outside the kept set
+    (space is outside it) yields exactly the whitespace tokens of the
+    normalised text, without building the normalised string first.
+    """
+    c = F.col(text) if isinstance(text, str) else text
+    return F.array_remove(F.split(F.lower(c), SPLIT_CLASS), "")
+
+
 def ngrams(toks: Column | str, n: int) -> Column:
     """H3: every run of ``n`` consecutive tokens joined by one space."""
     t = F.col(toks) if isinstance(toks, str) else toks

@@ -49,29 +49,33 @@ def _basket_items(basket_items: DataFrame, basket: str, item: str) -> DataFrame:
 
 
 def _mine(bi: DataFrame, min_count: int, max_size: int, partitions: int | None) -> DataFrame:
-    """All item sets of size <= max_size with count >= min_count: (items, size, count)."""
-    ones = bi.groupBy("item").agg(F.count(F.lit(1)).alias("count")).where(F.col("count") >= min_count)
-    ones = cut_lineage(ones)
+    """All item sets of size <= max_size with count >= min_count: (items, size, count).
+
+    Small per-level results (frequent sets) are persisted; the tables that grow
+    with the data and carry the level-to-level lineage (the item rows and the
+    occurrences of frequent sets) are reliably checkpointed, partitioned by
+    basket, so each extension join is co-partitioned and needs no exchange.
+    """
+    ones = (bi.groupBy("item").agg(F.count(F.lit(1)).alias("count"))
+              .where(F.col("count") >= min_count).persist())
+    nones = ones.count()
     levels = [ones.select(F.array("item").alias("items"), F.lit(1).alias("size"), "count")]
-    if max_size < 2 or ones.isEmpty():
+    if max_size < 2 or nones == 0:
         return levels[0]
 
-    # Item rows of frequent items only, hash-partitioned by basket once.
     nparts = partitions or bi.sparkSession.sparkContext.defaultParallelism
-    items = (bi.join(broadcast_if_small(ones.select("item")), "item", "left_semi")
-               .repartition(nparts, "basket"))
-    items = cut_lineage(items)
+    items = cut_lineage(bi.join(broadcast_if_small(ones.select("item"), known_rows=nones), "item", "left_semi")
+                          .repartition(nparts, "basket"))
     occ = items.select("basket", F.array("item").alias("items"), F.col("item").alias("last"))
+    ext = items.select("basket", F.col("item").alias("nxt"))
 
     for k in range(2, max_size + 1):
-        ext = items.select("basket", F.col("item").alias("nxt"))
         cand = (occ.join(ext, "basket")
                    .where(F.col("nxt") > F.col("last"))
                    .select("basket", F.concat("items", F.array("nxt")).alias("items"),
                            F.col("nxt").alias("last")))
         freq = (cand.groupBy("items").agg(F.count(F.lit(1)).alias("count"))
-                    .where(F.col("count") >= min_count))
-        freq = cut_lineage(freq)
+                    .where(F.col("count") >= min_count).persist())
         nfreq = freq.count()
         if nfreq == 0:
             break
@@ -116,8 +120,7 @@ def association_rules(basket_items: DataFrame, n_baskets: int, min_support: floa
     if n <= 0:
         raise ValueError("n_baskets must be positive")
     bi = _basket_items(basket_items, basket, item)
-    mined = _mine(bi, union_min_count(n, min_support), 2 * max_side, partitions)
-    mined = cut_lineage(mined)
+    mined = _mine(bi, union_min_count(n, min_support), 2 * max_side, partitions).persist()
     side_min = side_min_count(n, min_support)
     sides = mined.where((F.col("size") <= max_side) & (F.col("count") >= side_min))
     nsides = sides.count()
@@ -171,6 +174,7 @@ def lift_heatmap(rules: DataFrame, known_items: DataFrame, max_side: int, grid:
     Columns: lhs, rhs (labels joined by " & "), lift.
     """
     known = known_items.select(F.col(item).cast("string").alias("it")).distinct()
+    rules = rules.persist()  # top-K rules: bounded, read several times below
     r = rules.select(F.array_sort("antecedent").alias("lhs_set"), F.array_sort("consequent").alias("rhs_set"),
                      "lift").withColumn("rid", F.monotonically_increasing_id())
     # Every item must be a known item. Explode both sides and anti-join the unknown.

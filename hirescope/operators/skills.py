@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from hirescope.execution import broadcast_if_small, spread
-from hirescope.functions.text import all_ngrams, norm, tokens
+from hirescope.functions.text import all_ngrams, norm
+from hirescope.functions.text import text_tokens as tokenize
 
 LEXICON_BROADCAST_ROWS = 5_000_000
 
@@ -43,7 +44,7 @@ def lexicon_lengths(lexicon: DataFrame) -> list[int]:
 def text_tokens(postings: DataFrame, id_col: str = "posting_id", text_col: str = "description") -> DataFrame:
     """(id, toks): missing text counts as ''."""
     return postings.select(F.col(id_col).alias(id_col),
-                           tokens(norm(F.coalesce(F.col(text_col).cast("string"), F.lit("")))).alias("toks"))
+                           tokenize(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("toks"))
 
 
 def extract_skills(postings: DataFrame, lexicon: DataFrame, id_col: str = "posting_id",

@@ -46,8 +46,8 @@ def q_rules_display(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_lift_heatmap(spark: SparkSession, sf: str) -> DataFrame:
-    skills = fx.posting_skills(spark, sf)
-    rules = _rules(spark, sf, top_k=TOPK, sort_by="confidence")
+    skills = fx.posting_skills(spark, sf).persist()  # shared table (A4): read by mining and the item check
+    rules = B.association_rules(skills, _n(spark, sf), SUPPORT, SIDE, top_k=TOPK, sort_by="confidence")
     return B.lift_heatmap(rules, skills, SIDE, grid=10)
 
 
