@@ -48,7 +48,14 @@ def _basket_items(basket_items: DataFrame, basket: str, item: str) -> DataFrame:
             .distinct())
 
 
-def _mine(bi: DataFrame, min_count: int, max_size: int, partitions: int | None) -> DataFrame:
+def _value_aggs(with_value: bool) -> list:
+    if not with_value:
+        return [F.count(F.lit(1)).alias("count")]
+    return [F.count(F.lit(1)).alias("count"), F.sum("v").alias("v_sum"), F.count("v").alias("v_n")]
+
+
+def _mine(bi: DataFrame, min_count: int, max_size: int, partitions: int | None,
+          with_value: bool = False) -> DataFrame:
     """All item sets of size <= max_size with count >= min_count: (items, size, count).
 
     Small per-level results (frequent sets) are persisted; the tables that grow
@@ -56,30 +63,32 @@ def _mine(bi: DataFrame, min_count: int, max_size: int, partitions: int | None)
     occurrences of frequent sets) are reliably checkpointed, partitioned by
     basket, so each extension join is co-partitioned and needs no exchange.
     """
-    ones = (bi.groupBy("item").agg(F.count(F.lit(1)).alias("count"))
+    vcols = ["v_sum", "v_n"] if with_value else []
+    ones = (bi.groupBy("item").agg(*_value_aggs(with_value))
               .where(F.col("count") >= min_count).persist())
     nones = ones.count()
-    levels = [ones.select(F.array("item").alias("items"), F.lit(1).alias("size"), "count")]
+    levels = [ones.select(F.array("item").alias("items"), F.lit(1).alias("size"), "count", *vcols)]
     if max_size < 2 or nones == 0:
         return levels[0]
 
     nparts = partitions or bi.sparkSession.sparkContext.defaultParallelism
     items = cut_lineage(bi.join(broadcast_if_small(ones.select("item"), known_rows=nones), "item", "left_semi")
                           .repartition(nparts, "basket"))
-    occ = items.select("basket", F.array("item").alias("items"), F.col("item").alias("last"))
+    carry = ["v"] if with_value else []
+    occ = items.select("basket", F.array("item").alias("items"), F.col("item").alias("last"), *carry)
     ext = items.select("basket", F.col("item").alias("nxt"))
 
     for k in range(2, max_size + 1):
         cand = (occ.join(ext, "basket")
                    .where(F.col("nxt") > F.col("last"))
                    .select("basket", F.concat("items", F.array("nxt")).alias("items"),
-                           F.col("nxt").alias("last")))
-        freq = (cand.groupBy("items").agg(F.count(F.lit(1)).alias("count"))
+                           F.col("nxt").alias("last"), *carry))
+        freq = (cand.groupBy("items").agg(*_value_aggs(with_value))
                     .where(F.col("count") >= min_count).persist())
         nfreq = freq.count()
         if nfreq == 0:
             break
-        levels.append(freq.select("items", F.lit(k).alias("size"), "count"))
+        levels.append(freq.select("items", F.lit(k).alias("size"), "count", *vcols))
         if k == max_size:
             break
         occ = cut_lineage(cand.join(broadcast_if_small(freq.select("items"), known_rows=nfreq),
@@ -202,3 +211,47 @@ def lift_heatmap(rules: DataFrame, known_items: DataFrame, max_side: int, grid:
     label = F.create_map(*[x for i, v in enumerate(rhs_vals) for x in (F.lit(cols[i]), F.lit(v))])
     long = wide.unpivot("lhs", cols, "col", "lift")
     return long.select("lhs", label[F.col("col")].alias("rhs"), "lift")
+
+
+def rule_salary_premium(basket_items: DataFrame, postings: DataFrame, n_baskets: int, min_support: float,
+                        max_side: int, basket: str = "posting_id", item: str = "skill",
+                        salary: str = "normalized_salary", partitions: int | None = None) -> DataFrame:
+    """Rules with the mean salary of postings holding both sides (and the
+    antecedent), and their premium over the overall mean salary.
+
+    The salary rides along the level-wise mining (sum and count per item set),
+    so no rule is ever joined back to the baskets.
+    """
+    n = int(n_baskets)
+    sal = postings.select(F.col(basket).alias("basket"), F.col(salary).cast("double").alias("v"))
+    overall = postings.agg(F.avg(salary)).first()[0]
+    bi = _basket_items(basket_items, basket, item).join(sal, "basket", "left")
+    mined = _mine(bi, union_min_count(n, min_support), 2 * max_side, partitions, with_value=True).persist()
+    side_min = side_min_count(n, min_support)
+    sides = mined.where((F.col("size") <= max_side) & (F.col("count") >= side_min))
+    nsides = sides.count()
+    side_a = broadcast_if_small(sides.select(F.col("items").alias("antecedent"), F.col("count").alias("count_a"),
+                                             (F.col("v_sum") / F.col("v_n")).alias("antecedent_mean_salary")),
+                                known_rows=nsides)
+    side_b = broadcast_if_small(sides.select(F.col("items").alias("consequent"), F.col("count").alias("count_b")),
+                                known_rows=nsides)
+    masks = F.expr("sequence(1, CAST(pow(2, size) AS INT) - 2)")
+    splits = (mined.where(F.col("size") >= 2)
+                   .select("items", F.col("count").alias("count_u"),
+                           (F.col("v_sum") / F.col("v_n")).alias("pair_mean_salary"), F.explode(masks).alias("mask"))
+                   .select("count_u", "pair_mean_salary",
+                           F.expr("filter(items, (x, i) -> (shiftright(mask, i) & 1) = 1)").alias("antecedent"),
+                           F.expr("filter(items, (x, i) -> (shiftright(mask, i) & 1) = 0)").alias("consequent"))
+                   .where((F.size("antecedent") <= max_side) & (F.size("consequent") <= max_side)))
+    nd = float(n)
+    sup = F.col("count_u") / F.lit(nd)
+    conf = sup / (F.col("count_a") / F.lit(nd))
+    ov = F.lit(overall).cast("double")
+    return (splits.join(side_a, "antecedent").join(side_b, "consequent")
+                  .select("antecedent", "consequent", F.bround(sup, 4).alias("support"),
+                          F.bround(conf, 4).alias("confidence"),
+                          ov.alias("overall_mean_salary"), "pair_mean_salary",
+                          (F.col("pair_mean_salary") - ov).alias("pair_premium_vs_overall"),
+                          "antecedent_mean_salary",
+                          (F.col("antecedent_mean_salary") - ov).alias("antecedent_premium_vs_overall"),
+                          F.col("count_a").alias("antecedent_n")))

@@ -51,6 +51,15 @@ def q_lift_heatmap(spark: SparkSession, sf: str) -> DataFrame:
     return B.lift_heatmap(rules, skills, SIDE, grid=10)
 
 
+def q_rule_salary_premium(spark: SparkSession, sf: str) -> DataFrame:
+    p = fx.postings(spark, sf)
+    r = B.rule_salary_premium(fx.posting_skills(spark, sf), p, p.count(), SUPPORT, SIDE)
+    money = ["overall_mean_salary", "pair_mean_salary", "pair_premium_vs_overall",
+             "antecedent_mean_salary", "antecedent_premium_vs_overall"]
+    return B.rules_display(r).select("antecedent", "consequent", "support", "confidence",
+                                     *[F.bround(c, 2).alias(c) for c in money], "antecedent_n")
+
+
 # --------------------------------------------------------------------------- oracle SQL
 
 def _rules_sql(support: float, side: int, view: str = "S") -> str:
@@ -126,6 +135,20 @@ rk AS (SELECT rhs FROM pair GROUP BY rhs ORDER BY max(lift) DESC, rhs LIMIT 10),
 cells AS (SELECT * FROM pair WHERE lhs IN (SELECT lhs FROM lk) AND rhs IN (SELECT rhs FROM rk))""", recursive=True)
 
 
+SQL_PREMIUM = fx.with_views("""
+SELECT array_to_string(A, ', ') AS antecedent, array_to_string(B, ', ') AS consequent,
+       round_even(cu / n, 4) AS support, round_even((cu / n) / (ca / n), 4) AS confidence,
+       round_even(o.m, 2) AS overall_mean_salary, round_even(su.m, 2) AS pair_mean_salary,
+       round_even(su.m - o.m, 2) AS pair_premium_vs_overall,
+       round_even(sa.m, 2) AS antecedent_mean_salary, round_even(sa.m - o.m, 2) AS antecedent_premium_vs_overall,
+       ca AS antecedent_n
+FROM pairs
+JOIN setsal su ON su.items = list_sort(list_concat(A, B))
+JOIN setsal sa ON sa.items = A
+CROSS JOIN (SELECT avg(normalized_salary) AS m FROM P) o""", "P", "S", extra=_rules_sql(SUPPORT, SIDE) + """,
+subsal AS (SELECT s.items, p.normalized_salary AS v FROM sub s JOIN P p ON p.posting_id = s.basket),
+setsal AS (SELECT items, avg(v) AS m FROM subsal GROUP BY items)""", recursive=True)
+
 QUERIES = {
     "frequent_itemsets": (q_frequent_itemsets, SQL_FREQUENT),
     "association_rules": (q_association_rules, _sql_rules(_rules_body())),
@@ -135,4 +158,5 @@ QUERIES = {
     "rules_min_confidence": (q_rules_min_confidence, _sql_rules(_rules_body(where="WHERE confidence >= 0.4"))),
     "rules_display": (q_rules_display, _sql_rules(_rules_body(sep=" & ", order="lift", limit=TOPK))),
     "lift_heatmap": (q_lift_heatmap, SQL_HEATMAP),
+    "rule_salary_premium": (q_rule_salary_premium, SQL_PREMIUM),
 }
