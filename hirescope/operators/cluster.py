@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from hirescope.functions.vectors import distance, dot, lit_vec, nearest, sq_distance
+from hirescope.operators.quantiles import exact_quantiles
 from hirescope.operators.sampling import seeded_sample
 
 COVARIANCE_AGG_MAX_DIM = 128
@@ -405,9 +406,9 @@ def distances_to_own_centre(labels: DataFrame, centres: np.ndarray | None = None
 def cluster_salary(labels: DataFrame, label: str = "cluster", salary: str = "normalized_salary") -> DataFrame:
     """B10 + D13 + F4: mean, median, min, max, size (2 decimals) and error bars."""
     pos = labels.where(F.col(salary) > 0)
-    agg = pos.groupBy(label).agg(F.avg(salary).alias("mean"), F.median(salary).alias("median"),
-                                 F.min(salary).alias("min"), F.max(salary).alias("max"),
-                                 F.count(F.lit(1)).alias("size"))
+    agg = exact_quantiles(pos, label, salary, (0.5,), names=("median",),
+                          extra_aggs=[F.avg(salary).alias("mean"), F.min(salary).alias("min"),
+                                      F.max(salary).alias("max")]).withColumnRenamed("n", "size")
     r = agg.select(F.col(label).alias("cluster"), *[F.bround(c, 2).alias(c) for c in ("mean", "median", "min", "max")],
                    "size")
     return (r.withColumn("err_plus", F.greatest(F.col("max") - F.col("mean"), F.lit(0.0)))

@@ -14,6 +14,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hirescope.operators.quantiles import exact_quantiles
+
 OPTION_COLUMNS = ["company_name", "title", "location", "work_type", "formatted_experience_level"]
 SORTED_OPTION_COLUMNS = ["company_name", "location", "title"]
 
@@ -138,12 +140,10 @@ def salary_box_by_skill_rows(df: DataFrame, skills: DataFrame, top_n: int = 3,
 def box_stats(rows: DataFrame, salary: str = "normalized_salary") -> DataFrame:
     """D8 summary per label: n, q1, median, q3 (linear interpolation), 1.5 IQR fences,
     whiskers (extreme values inside the fences), min, max, number of outliers."""
-    q = (rows.groupBy("label")
-             .agg(F.count(F.lit(1)).alias("n"),
-                  F.percentile(salary, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"),
-                  F.min(salary).alias("min"), F.max(salary).alias("max"))
-             .select("label", "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
-                     F.col("q")[2].alias("q3"), "min", "max"))
+    rows = rows.persist()  # read by the quantiles and the whisker pass
+    q = exact_quantiles(rows, "label", salary, (0.25, 0.5, 0.75), names=("q1", "median", "q3"),
+                        extra_aggs=[F.min(salary).alias("min"), F.max(salary).alias("max")])
+    q = q.select("label", "n", "q1", "median", "q3", "min", "max")
     q = q.withColumn("lo_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
          .withColumn("hi_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
     s = F.col(salary)
