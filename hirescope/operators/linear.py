@@ -163,12 +163,19 @@ def _r2(sse: float, sst: float) -> float:
 
 def fit_least_squares(df: DataFrame, skills_long: DataFrame | None, cat_features: Sequence[str],
                       skills_used: Sequence[str], k_folds: int = 0, target: str = "normalized_salary",
-                      id_col: str = "posting_id", seed: int = 42) -> LinearModel:
-    """J23 + J27 + J28 in one aggregation pass.
-
-    ``df`` must already be the training set (J22). With ``k_folds >= 2`` each
-    fold is fitted on the other folds, and scored (R^2, MSE) on itself from the
-    same sums: SSE = y'y - 2 b'X'y + b'X'X b.
+                      id_col: str = "posting_id", seed: int = 42,
+                      dense_max: int = MAX_DENSE_FEATURES, cg_tol: float = 1e-12,
+                      cg_max_iter: int = 2000) -> LinearModel:
+    """J23 + J27 + J28.
+
+    ``df`` must already be the training set (J22). Rows are pre-aggregated by
+    (fold, feature pattern). Up to ``dense_max`` features, one pass gives every
+    fold's X'X and X'y and the driver solves d x d systems (train = total -
+    fold). Wider designs (e.g. one-hot titles) never form feature pairs: the
+    normal equations are solved by conjugate gradients from zero, which stays
+    in the row space and so reaches the minimum-norm solution; each product
+    X'X v is one distributed pass over the patterns. Each fold is scored on
+    itself from sums: SSE = y'y - 2 b'X'y + b'X'X b.
     """
     from hirescope.operators.sampling import fold_of
 
@@ -177,33 +184,118 @@ def fit_least_squares(df: DataFrame, skills_long: DataFrame | None, cat_features
     base = with_skill_array(df.select(id_col, target, *cat_features), skills_long, skills_used, id_col)
     fold = fold_of(id_col, k, seed) if k > 1 else None
     rows = design_rows(base, cat_features, target, id_col, fold)
-    pairs, xty = gram_sums(rows)
-    names = [r[0] for r in xty.select("i").distinct().orderBy("i").limit(MAX_DENSE_FEATURES + 1).collect()]
-    if len(names) > MAX_DENSE_FEATURES:
-        raise ValueError(f"more than {MAX_DENSE_FEATURES} features; reduce the one-hot categories")
-    if INTERCEPT not in names:
+    names_df = rows.select(F.explode("feats").alias("i")).distinct()
+    d = names_df.count()
+    if d == 0:
         raise ValueError("no training rows")
+    if d <= dense_max:
+        return _fit_dense(rows, k, cat_features, skills_used)
+    return _fit_cg(rows, names_df, k, cat_features, skills_used, cg_tol, cg_max_iter)
+
+
+def _fit_dense(rows: DataFrame, k: int, cat_features: list[str], skills_used: list[str]) -> LinearModel:
+    pairs, xty = gram_sums(rows)
+    names = [r[0] for r in xty.select("i").distinct().orderBy("i").collect()]
     names = [INTERCEPT] + [n for n in names if n != INTERCEPT]
     index = {n: i for i, n in enumerate(names)}
     stats = _collect_stats(pairs, xty, index, k)
     total_g = sum(s.g for s in stats)
     total_b = sum(s.xty for s in stats)
+    n_all = int(sum(t.n for t in stats))
     folds = []
     if k > 1:
         for f, s in enumerate(stats):
             if s.n == 0:
                 continue
             beta = min_norm_solve(total_g - s.g, total_b - s.xty)
-            sse = s.syy - 2 * beta @ s.xty + beta @ s.g @ beta
-            sy = s.xty[0]
-            sst = s.syy - sy * sy / s.n
-            folds.append({"fold": f, "n_test": s.n, "n_train": int(sum(t.n for t in stats) - s.n),
-                          "sse": float(max(sse, 0.0)), "sst": float(max(sst, 0.0)),
-                          "r2": float(_r2(max(sse, 0.0), max(sst, 0.0))), "mse": float(max(sse, 0.0) / s.n)})
+            folds.append(_fold_score(f, s.n, n_all, s.syy, s.xty[0], beta @ s.xty, beta @ s.g @ beta))
     beta = min_norm_solve(total_g, total_b)
     return LinearModel(names=names, beta=beta, cat_features=cat_features, skills_used=skills_used, folds=folds)
 
 
+def _fold_score(f: int, n: int, n_all: int, syy: float, sy: float, b_xty: float, b_g_b: float) -> dict:
+    sse = max(syy - 2 * b_xty + b_g_b, 0.0)
+    sst = max(syy - sy * sy / n, 0.0)
+    return {"fold": f, "n_test": int(n), "n_train": int(n_all - n), "sse": float(sse), "sst": float(sst),
+            "r2": float(_r2(sse, sst)), "mse": float(sse / n)}
+
+
+def _fit_cg(rows: DataFrame, names_df: DataFrame, k: int, cat_features: list[str], skills_used: list[str],
+            tol: float, max_iter: int) -> LinearModel:
+    import pandas as pd
+
+    from hirescope.execution import cut_lineage
+
+    spark = rows.sparkSession
+    names = [INTERCEPT] + sorted(r[0] for r in names_df.collect() if r[0] != INTERCEPT)  # the coefficient vector's index
+    d = len(names)
+    idx = spark.createDataFrame(pd.DataFrame({"i": names, "idx": np.arange(d, dtype=np.int64)}))
+    pat = (rows.groupBy("fold", "feats")
+               .agg(F.count(F.lit(1)).alias("w"), F.sum("y").alias("sy"), F.sum(F.col("y") * F.col("y")).alias("syy"))
+               .withColumn("pid", F.monotonically_increasing_id()))
+    nparts = spark.sparkContext.defaultParallelism
+    # Long form (pid, fold, idx, w, sy), hash-partitioned by pattern once and checkpointed:
+    # every product below joins and groups on pid without another exchange.
+    long = cut_lineage(pat.select("pid", "fold", "w", "sy", F.explode("feats").alias("i"))
+                          .join(broadcast_if_small(idx, known_rows=d), "i")
+                          .select("pid", "fold", "idx", "w", "sy").repartition(nparts, "pid"))
+    fold_tot = {r["fold"]: r for r in pat.groupBy("fold").agg(F.sum("w").alias("n"), F.sum("sy").alias("sy"),
+                                                             F.sum("syy").alias("syy")).collect()}
+    n_all = int(sum(r["n"] for r in fold_tot.values()))
+
+    def xty(where) -> np.ndarray:
+        src = long if where is None else long.where(where)
+        out = np.zeros(d)
+        for i, v in src.groupBy("idx").agg(F.sum("sy")).collect():
+            out[i] = v
+        return out
+
+    def gram_mv(v: np.ndarray, where) -> np.ndarray:
+        src = long if where is None else long.where(where)
+        vdf = spark.createDataFrame(pd.DataFrame({"idx": np.arange(d, dtype=np.int64), "v": v}))
+        t = (src.join(broadcast_if_small(vdf, known_rows=d), "idx")
+                .groupBy("pid").agg(F.sum("v").alias("t"), F.first("w").alias("w")))
+        g = src.select("pid", "idx").join(t, "pid").groupBy("idx").agg(F.sum(F.col("w") * F.col("t")).alias("g"))
+        out = np.zeros(d)
+        for i, val in g.collect():
+            out[i] = val
+        return out
+
+    def cg(b: np.ndarray, where) -> np.ndarray:
+        x = np.zeros(d)
+        r = b.copy()
+        p = r.copy()
+        rs = r @ r
+        stop = (tol * np.sqrt(b @ b)) ** 2
+        for _ in range(max_iter):
+            if rs <= stop:
+                break
+            ap = gram_mv(p, where)
+            pap = p @ ap
+            if pap <= 0:
+                break
+            a = rs / pap
+            x += a * p
+            r -= a * ap
+            rs_new = r @ r
+            p = r + (rs_new / rs) * p
+            rs = rs_new
+        return x
+
+    folds = []
+    if k > 1:
+        for f in sorted(fold_tot):
+            ft = fold_tot[f]
+            train = F.col("fold") != F.lit(f)
+            test = F.col("fold") == F.lit(f)
+            beta = cg(xty(train), train)
+            b_xty = beta @ xty(test)
+            b_g_b = beta @ gram_mv(beta, test)
+            folds.append(_fold_score(f, int(ft["n"]), n_all, float(ft["syy"]), float(ft["sy"]), b_xty, b_g_b))
+    beta = cg(xty(None), None)
+    return LinearModel(names=names, beta=beta, cat_features=cat_features, skills_used=skills_used, folds=folds)
+
+
 def gram_table(df: DataFrame, skills_long: DataFrame | None, cat_features: Sequence[str],
                skills_used: Sequence[str], target: str = "normalized_salary",
                id_col: str = "posting_id") -> DataFrame:

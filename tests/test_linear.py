@@ -29,3 +29,15 @@ def test_fit_matches_numpy_pinv(spark):
     beta = np.linalg.pinv(X.T @ X) @ (X.T @ y)
     assert np.allclose(X @ beta, X @ m.beta, atol=1e-6)
     assert len(m.folds) == 3 and sum(f["n_test"] for f in m.folds) == 300
+
+
+def test_conjugate_gradient_path_matches_dense(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, f"t{rng.integers(0, 12)}", f"c{rng.integers(0, 3)}", float(rng.normal(50, 10))) for i in range(200)]
+    df = spark.createDataFrame(rows, "posting_id long, title string, company_name string, normalized_salary double")
+    dense = fit_least_squares(df, None, ["company_name", "title"], [], k_folds=3)
+    cg = fit_least_squares(df, None, ["company_name", "title"], [], k_folds=3, dense_max=1)
+    assert dense.names == cg.names
+    assert np.allclose(dense.beta, cg.beta, atol=1e-6)
+    for a, b in zip(dense.folds, cg.folds):
+        assert abs(a["r2"] - b["r2"]) < 1e-8 and a["n_test"] == b["n_test"]
