@@ -7,7 +7,6 @@ explicit tie-break on the label.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 import numpy as np

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirescope.execution import spread
-from hirescope.functions.text import all_ngrams, norm, tokens
+from hirescope.functions.text import all_ngrams, norm
 from hirescope.operators import skills as SK
 from hirescope.sources import fixtures as fx
 
@@ -104,17 +104,16 @@ def extract_cte(src: str = "D", max_len: int = MAX_LEN, name: str = "found") ->
 DDESC = """ddesc AS (SELECT min(posting_id) AS posting_id, description
   FROM (SELECT posting_id, coalesce(description, '') AS description FROM D) GROUP BY description)"""
 
-_ng = ",\n".join(
-    f"SELECT posting_id, {n} AS n, {grams_sql('t', n)} AS g FROM tk" for n in range(1, MAX_LEN + 1))
+DESC = "coalesce(description, '')"
 
 SQL = {
-    "text_norm": fx.with_views(f"SELECT posting_id, {norm_sql(chr(39) * 0 + 'coalesce(description, ' + chr(39) * 2 + ')')} AS norm_text FROM D", "D"),
-    "token_counts": fx.with_views(f"SELECT posting_id, CAST(len({toks_sql(chr(39)*0 + 'coalesce(description, ' + chr(39)*2 + ')')}) AS BIGINT) AS n_tokens FROM D", "D"),
+    "text_norm": fx.with_views(f"SELECT posting_id, {norm_sql(DESC)} AS norm_text FROM D", "D"),
+    "token_counts": fx.with_views(f"SELECT posting_id, CAST(len({toks_sql(DESC)}) AS BIGINT) AS n_tokens FROM D", "D"),
     "ngram_counts": fx.with_views(
         "SELECT posting_id, CAST(n AS BIGINT) AS n, CAST(len(g) AS BIGINT) AS n_grams, "
         "CAST(len(list_distinct(g)) AS BIGINT) AS n_distinct FROM (" +
         " UNION ALL ".join(f"SELECT posting_id, {n} AS n, {grams_sql('t', n)} AS g FROM tk" for n in range(1, MAX_LEN + 1)) + ")",
-        "D", extra=f"tk AS (SELECT posting_id, {toks_sql(chr(39)*0 + 'coalesce(description, ' + chr(39)*2 + ')')} AS t FROM D)"),
+        "D", extra=f"tk AS (SELECT posting_id, {toks_sql(DESC)} AS t FROM D)"),
     "lexicon_build": fx.with_views("SELECT phrase, n_words FROM lex", "L", extra=lex_cte()),
     "skill_extract": fx.with_views("SELECT posting_id, skill FROM found", "D", "L",
                                    extra=lex_cte() + ",\n" + extract_cte()),

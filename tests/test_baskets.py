@@ -4,7 +4,6 @@ import itertools
 import math
 import random
 
-from pyspark.sql import functions as F
 
 from hirescope.operators.baskets import association_rules, frequent_itemsets, side_min_count, union_min_count
 

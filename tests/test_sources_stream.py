@@ -2,9 +2,8 @@
 
 import tempfile
 
-from pyspark.sql import functions as F
 
-from hirescope.operators.skills import build_lexicon, extract_skills
+from hirescope.operators.skills import build_lexicon
 from hirescope.sources.csv_io import read_lexicon_csv, read_postings_csv, share, write_csv
 from hirescope.streaming.skill_stream import start_skill_stream
 

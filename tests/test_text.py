@@ -2,7 +2,6 @@
 
 import re
 
-from pyspark.sql import functions as F
 
 from hirescope.functions.text import all_ngrams, norm, tokens
 from hirescope.operators.skills import build_lexicon, extract_skills, skill_wide
