@@ -10,8 +10,28 @@ from pyspark.sql import functions as F
 METRICS = ("euclidean", "manhattan", "minkowski")
 
 
+def _sql_double(x: float) -> str:
+    x = float(x)
+    if x != x:
+        return "CAST('NaN' AS DOUBLE)"
+    if x in (float("inf"), float("-inf")):
+        return f"CAST('{'-' if x < 0 else ''}Infinity' AS DOUBLE)"
+    return f"{x!r}D"  # shortest repr: parses back to the same double
+
+
+def lit_vec_sql(v: Sequence[float]) -> str:
+    return "array(" + ", ".join(_sql_double(x) for x in v) + ")"
+
+
 def lit_vec(v: Sequence[float]) -> Column:
-    return F.array(*[F.lit(float(x)) for x in v])
+    """A literal array<double>, built as one SQL expression (one JVM call,
+    instead of one call per element)."""
+    return F.expr(lit_vec_sql(v)) if len(v) else F.array().cast("array<double>")
+
+
+def lit_mat(rows: Sequence[Sequence[float]]) -> Column:
+    """A literal array<array<double>> (k centres), as one SQL expression."""
+    return F.expr("array(" + ", ".join(lit_vec_sql(r) for r in rows) + ")")
 
 
 def _sum(arr: Column) -> Column:
@@ -46,6 +66,6 @@ def nearest(x: Column, centres: Sequence[Sequence[float]], metric: str = "euclid
     distances array is built once per point and ``array_position`` of its
     minimum is the first (lowest) index that attains it.
     """
-    cen = F.array(*[lit_vec(c) for c in centres])
+    cen = lit_mat(centres)
     d = F.transform(cen, lambda c: distance(x, c, metric, p))
     return (F.array_position(d, F.array_min(d)) - 1).cast("int")

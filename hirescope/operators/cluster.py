@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from hirescope.functions.vectors import distance, dot, lit_vec, nearest, sq_distance
+from hirescope.functions.vectors import distance, dot, lit_mat, lit_vec, nearest, sq_distance
 from hirescope.operators.quantiles import exact_quantiles
 from hirescope.operators.sampling import seeded_sample
 
@@ -246,7 +246,7 @@ def _own_centre_distance(labels: DataFrame, ks: list[int], cents: np.ndarray, co
                          metric: str = "euclidean", sq: bool = False) -> DataFrame:
     """Distance of each point to the centre of its own label (k literal centres)."""
     pos = {k_: i for i, k_ in enumerate(ks)}
-    cen = F.array(*[lit_vec(c) for c in cents])
+    cen = lit_mat(cents)
     idx = F.create_map(*[x for k_, i in pos.items() for x in (F.lit(k_), F.lit(i + 1))])
     own = F.element_at(cen, idx[F.col(label)])
     dist = sq_distance(F.col(col), own) if sq else distance(F.col(col), own, metric)
