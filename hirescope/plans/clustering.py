@@ -26,9 +26,9 @@ def cluster_fit(df: DataFrame, k: int = 5, n_components: int = 3, col: str = "x"
 
 
 def cluster_map(labels: DataFrame, id_col: str = "id") -> DataFrame:
-    """J14 data: first three scores and the label per point."""
+    """J14 data: first three scores (missing when fewer components) and the label per point."""
     s = F.col("scores")
-    return labels.select(id_col, s[0].alias("pc1"), s[1].alias("pc2"), s[2].alias("pc3"), "cluster")
+    return labels.select(id_col, *[F.get(s, i).alias(f"pc{i + 1}") for i in range(3)], "cluster")
 
 
 def k_sweep(df: DataFrame, ks: Sequence[int] = (3, 5, 7), n_components: int = 3, col: str = "x",

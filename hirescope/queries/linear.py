@@ -63,6 +63,14 @@ def q_kfold_cv(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame(rows, "fold int, n_train bigint, n_test bigint, r2 double, rmse double")
 
 
+def q_kfold_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """Mean and population std of the fold scores (MSE to the nearest hundred)."""
+    c = _model(spark, sf).cv_summary()
+    return spark.createDataFrame(
+        [(round(c["r2"], 6), round(c["r2_std"], 6), float(np.round(c["mse"], -2)), float(np.round(c["mse_std"], -2)))],
+        "r2 double, r2_std double, mse double, mse_std double")
+
+
 def q_kfold_assign(spark: SparkSession, sf: str) -> DataFrame:
     from hirescope.operators.sampling import kfold_assign
     return kfold_assign(_train(spark, sf).select("posting_id"), K)
@@ -139,6 +147,11 @@ SELECT CAST(fold AS INTEGER) AS fold, (SELECT count(*) FROM tr) - n_test AS n_tr
        round_even(CASE WHEN sst = 0 THEN (CASE WHEN sse = 0 THEN 1.0 ELSE 0.0 END) ELSE 1 - sse / sst END, 6) AS r2,
        round_even(sqrt(sse / n_test), 2) AS rmse
 FROM fs""", "P", extra=TRAIN + ",\n" + FOLDS),
+    "kfold_summary": fx.with_views("""
+SELECT round_even(avg(r2), 6) AS r2, round_even(stddev_pop(r2), 6) AS r2_std,
+       round_even(avg(mse), -2) AS mse, round_even(stddev_pop(mse), -2) AS mse_std
+FROM (SELECT CASE WHEN sst = 0 THEN (CASE WHEN sse = 0 THEN 1.0 ELSE 0.0 END) ELSE 1 - sse / sst END AS r2,
+             sse / n_test AS mse FROM fs)""", "P", extra=TRAIN + ",\n" + FOLDS),
     "kfold_assign": fx.with_views(
         f"SELECT posting_id, CAST(((posting_id + 42) * 48271) % 2147483647 % {K} AS INTEGER) AS fold FROM tr",
         "P", extra=TRAIN),
@@ -162,6 +175,7 @@ QUERIES = {
     "ols_predictions": (q_ols_predictions, SQL["ols_predictions"]),
     "regression_metrics": (q_regression_metrics, SQL["regression_metrics"]),
     "kfold_cv": (q_kfold_cv, SQL["kfold_cv"]),
+    "kfold_summary": (q_kfold_summary, SQL["kfold_summary"]),
     "kfold_assign": (q_kfold_assign, SQL["kfold_assign"]),
     "scenario_predict": (q_scenario_predict, SQL["scenario_predict"]),
     "top_coefficients": (q_top_coefficients, SQL["top_coefficients"]),

@@ -50,3 +50,17 @@ def test_zscore_zero_std(spark):
     df = spark.createDataFrame([(0, [1.0, 5.0]), (1, [3.0, 5.0])], "id long, x array<double>")
     z = {r.id: r.z for r in CL.zscore(df, "x").collect()}
     assert z[0] == [-1.0, 0.0] and z[1] == [1.0, 0.0]
+
+
+def test_cluster_fit_normalize_and_tol(spark):
+    from hirescope.plans.clustering import cluster_fit, cluster_map
+    rng = np.random.default_rng(2)
+    pts = [(i, (rng.normal(0, 1, 4) + (5 if i % 2 else 0)).tolist()) for i in range(60)]
+    df = spark.createDataFrame(pts, "id long, x array<double>")
+    labels, pr, km = cluster_fit(df, k=2, n_components=2, col="x", id_col="id", normalize=True, tol=1e-4)
+    rows = cluster_map(labels, "id").collect()
+    assert all(r.pc3 is None for r in rows)  # two components only
+    m = {r.id: r.cluster for r in rows}
+    # the two well-separated groups end up in different clusters
+    assert len({m[i] for i in range(0, 60, 2)}) == 1 and len({m[i] for i in range(1, 60, 2)}) == 1
+    assert m[0] != m[1]

@@ -41,3 +41,12 @@ def test_conjugate_gradient_path_matches_dense(spark):
     assert np.allclose(dense.beta, cg.beta, atol=1e-6)
     for a, b in zip(dense.folds, cg.folds):
         assert abs(a["r2"] - b["r2"]) < 1e-8 and a["n_test"] == b["n_test"]
+
+
+def test_choose_features():
+    import pytest
+
+    from hirescope.operators.linear import choose_features
+    assert choose_features({"company_name": "A", "title": None}, ["py"]) == (["company_name"], ["py"])
+    with pytest.raises(ValueError):
+        choose_features({"company_name": None}, [])
