@@ -10,14 +10,35 @@ from pyspark.sql import functions as F
 from hirescope.operators import cluster as CL
 
 
+def skill_vectors(postings: DataFrame, matrix: DataFrame, vocab_size: int, id_col: str = "posting_id",
+                  out: str = "x") -> DataFrame:
+    """Dense 0/1 skill vectors (B2/I3 -> feature matrix): one entry per vocabulary
+    column, zeros for postings without a kept skill. A posting's skill list is
+    bounded by the vocabulary, so ``collect_list`` per posting is safe."""
+    per = matrix.groupBy(id_col).agg(F.collect_list("col").alias("__cols"))
+    d = int(vocab_size)
+    vec = F.transform(F.sequence(F.lit(0), F.lit(d - 1)),
+                      lambda j: F.when(F.array_contains(F.col("__cols"), j), F.lit(1.0)).otherwise(F.lit(0.0)))
+    return (postings.join(per, id_col, "left")
+                    .withColumn("__cols", F.coalesce("__cols", F.array().cast("array<int>")))
+                    .withColumn(out, vec).drop("__cols"))
+
+
 def cluster_fit(df: DataFrame, k: int = 5, n_components: int = 3, col: str = "x", id_col: str = "id",
                 metric: str = "euclidean", p: float = 3.0, max_iters: int = 100, normalize: bool = False,
-                tol: float = 1e-6, seed: int = 42):
-    """Optionally z-score (X5), PCA to ``n_components``, then k-means in PCA space.
+                tol: float = 1e-6, seed: int = 42, sample_n: int | None = None):
+    """Optionally a seeded sample (F7), z-score (X5), PCA to ``n_components``,
+    then k-means in PCA space.
 
     Returns (labels with ``scores`` and ``cluster``, PCAResult, KMeansResult).
     """
-    src = df
+    from hirescope.execution import cut_lineage
+    from hirescope.operators.sampling import seeded_sample
+
+    src = seeded_sample(df, sample_n, id_col, seed) if sample_n else df
+    # Moments, the PCA fit, the projection and every Lloyd step read these points:
+    # compute them once and cut the lineage (reliable checkpoint).
+    src = cut_lineage(src.select(id_col, col))
     if normalize:
         src = CL.zscore(src, col, "__z").drop(col).withColumnRenamed("__z", col)
     pr = CL.pca(src, n_components, col)
@@ -34,7 +55,9 @@ def cluster_map(labels: DataFrame, id_col: str = "id") -> DataFrame:
 def k_sweep(df: DataFrame, ks: Sequence[int] = (3, 5, 7), n_components: int = 3, col: str = "x",
             id_col: str = "id", metric: str = "euclidean") -> list[tuple]:
     """One score row per k (scores on the raw features, clusters in PCA space)."""
-    pr = CL.pca(df, n_components, col)
+    from hirescope.execution import cut_lineage
+
+    pr = CL.pca(cut_lineage(df.select(id_col, col)), n_components, col)
     base = pr.scores.persist()
     out = []
     try:

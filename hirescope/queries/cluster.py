@@ -53,6 +53,17 @@ def q_cluster_fit(spark: SparkSession, sf: str) -> DataFrame:
     return CP.cluster_map(labels, ID)
 
 
+def q_skill_cluster_fit(spark: SparkSession, sf: str) -> DataFrame:
+    """J9 on skill features: I3 skill matrix of the texts -> 0/1 vectors -> PCA(3) -> k-means(5)."""
+    from hirescope.operators.skills import skill_matrix
+    docs = fx.posting_texts(spark, sf)
+    m, vocab = skill_matrix(docs, fx.raw_lexicon(spark, sf), max_phrase_len=3, min_skill_df=10)
+    d = vocab.count()
+    vecs = CP.skill_vectors(docs.select("posting_id"), m, d, "posting_id", "x")
+    labels, _, _ = CP.cluster_fit(vecs, K, 3, "x", "posting_id")
+    return CP.cluster_map(labels, "posting_id")
+
+
 def q_pca_scores(spark: SparkSession, sf: str) -> DataFrame:
     pr = CL.pca(_e(spark, sf), 3, COL)
     s = F.col("scores")
@@ -276,6 +287,7 @@ QUERIES = {
     "kmeans_update": (q_kmeans_update, SQL["kmeans_update"]),
     "kmeans_fit": (q_kmeans_fit, None),
     "cluster_fit": (q_cluster_fit, None),
+    "skill_cluster_fit": (q_skill_cluster_fit, None),
     "pca_scores": (q_pca_scores, None),
     "pca_variance": (q_pca_variance, None),
     "kmeans_k_sweep": (q_kmeans_k_sweep, None),

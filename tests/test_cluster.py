@@ -64,3 +64,11 @@ def test_cluster_fit_normalize_and_tol(spark):
     # the two well-separated groups end up in different clusters
     assert len({m[i] for i in range(0, 60, 2)}) == 1 and len({m[i] for i in range(1, 60, 2)}) == 1
     assert m[0] != m[1]
+
+
+def test_skill_vectors_zero_rows(spark):
+    from hirescope.plans.clustering import skill_vectors
+    posts = spark.createDataFrame([(1,), (2,)], "posting_id long")
+    m = spark.createDataFrame([(1, "sql", 1), (1, "py", 0)], "posting_id long, skill string, col int")
+    v = {r.posting_id: r.x for r in skill_vectors(posts, m, 3).collect()}
+    assert v == {1: [1.0, 1.0, 0.0], 2: [0.0, 0.0, 0.0]}
