@@ -55,7 +55,7 @@ def _value_aggs(with_value: bool) -> list:
 
 
 def _mine(bi: DataFrame, min_count: int, max_size: int, partitions: int | None,
-          with_value: bool = False) -> DataFrame:
+          with_value: bool = False) -> tuple[DataFrame, list[DataFrame]]:
     """All item sets of size <= max_size with count >= min_count: (items, size, count).
 
     Small per-level results (frequent sets) are persisted; the tables that grow
@@ -67,9 +67,10 @@ def _mine(bi: DataFrame, min_count: int, max_size: int, partitions: int | None,
     ones = (bi.groupBy("item").agg(*_value_aggs(with_value))
               .where(F.col("count") >= min_count).persist())
     nones = ones.count()
+    cached = [ones]
     levels = [ones.select(F.array("item").alias("items"), F.lit(1).alias("size"), "count", *vcols)]
     if max_size < 2 or nones == 0:
-        return levels[0]
+        return levels[0], cached
 
     nparts = partitions or bi.sparkSession.sparkContext.defaultParallelism
     items = cut_lineage(bi.join(broadcast_if_small(ones.select("item"), known_rows=nones), "item", "left_semi")
@@ -85,6 +86,7 @@ def _mine(bi: DataFrame, min_count: int, max_size: int, partitions: int | None,
                            F.col("nxt").alias("last"), *carry))
         freq = (cand.groupBy("items").agg(*_value_aggs(with_value))
                     .where(F.col("count") >= min_count).persist())
+        cached.append(freq)
         nfreq = freq.count()
         if nfreq == 0:
             break
@@ -96,6 +98,15 @@ def _mine(bi: DataFrame, min_count: int, max_size: int, partitions: int | None,
     out = levels[0]
     for lv in levels[1:]:
         out = out.unionByName(lv)
+    return out, cached
+
+
+def _materialize(df: DataFrame, cached: list[DataFrame]) -> DataFrame:
+    """Persist and fill ``df`` (a small result), then release the level caches it was built from."""
+    out = df.persist()
+    out.count()
+    for c in cached:
+        c.unpersist()
     return out
 
 
@@ -109,7 +120,7 @@ def frequent_itemsets(basket_items: DataFrame, n_baskets: int, min_support: floa
     if n_baskets <= 0:
         raise ValueError("n_baskets must be positive")
     bi = _basket_items(basket_items, basket, item)
-    return _mine(bi, side_min_count(n_baskets, min_support), max_size, partitions)
+    return _materialize(*_mine(bi, side_min_count(n_baskets, min_support), max_size, partitions))
 
 
 def association_rules(basket_items: DataFrame, n_baskets: int, min_support: float, max_side: int,
@@ -129,7 +140,7 @@ def association_rules(basket_items: DataFrame, n_baskets: int, min_support: floa
     if n <= 0:
         raise ValueError("n_baskets must be positive")
     bi = _basket_items(basket_items, basket, item)
-    mined = _mine(bi, union_min_count(n, min_support), 2 * max_side, partitions).persist()
+    mined = _materialize(*_mine(bi, union_min_count(n, min_support), 2 * max_side, partitions))
     side_min = side_min_count(n, min_support)
     sides = mined.where((F.col("size") <= max_side) & (F.col("count") >= side_min))
     nsides = sides.count()
@@ -226,7 +237,7 @@ def rule_salary_premium(basket_items: DataFrame, postings: DataFrame, n_baskets:
     sal = postings.select(F.col(basket).alias("basket"), F.col(salary).cast("double").alias("v"))
     overall = postings.agg(F.avg(salary)).first()[0]
     bi = _basket_items(basket_items, basket, item).join(sal, "basket", "left")
-    mined = _mine(bi, union_min_count(n, min_support), 2 * max_side, partitions, with_value=True).persist()
+    mined = _materialize(*_mine(bi, union_min_count(n, min_support), 2 * max_side, partitions, with_value=True))
     side_min = side_min_count(n, min_support)
     sides = mined.where((F.col("size") <= max_side) & (F.col("count") >= side_min))
     nsides = sides.count()

@@ -37,8 +37,10 @@ def exact_quantiles(rows: DataFrame, group: str, value: str, qs: Sequence[float]
     names = list(names or [f"q{int(round(q * 100))}" for q in qs])
     spread = 4.0
     while True:
-        out = _attempt(rows, group, value, qs, names, accuracy, spread / accuracy, list(extra_aggs or []))
+        out, st = _attempt(rows, group, value, qs, names, accuracy, spread / accuracy, list(extra_aggs or []))
         out = out.persist()
+        out.count()  # one row per group: fill the cache, then the sketch table can go
+        st.unpersist()
         if out.where(~F.col("__ok")).isEmpty():
             return out.drop("__ok")
         out.unpersist()
@@ -91,4 +93,4 @@ def _attempt(rows, group, value, qs, names, accuracy, d, extra_aggs) -> DataFram
     extra_names = [c for c in st.columns if c not in ("__g", "n", "__a")]
     out = st.join(wide, "__g", "left").withColumn(
         "__ok", F.coalesce((F.col("okc") == 1) & (F.col("nq") == k), F.lit(False)))
-    return out.select(F.col("__g").alias(group), "n", *names, *extra_names, "__ok")
+    return out.select(F.col("__g").alias(group), "n", *names, *extra_names, "__ok"), st
