@@ -80,7 +80,9 @@ def _mine(bi: DataFrame, min_count: int, max_size: int, partitions: int | None,
     ext = items.select("basket", F.col("item").alias("nxt"))
 
     for k in range(2, max_size + 1):
-        cand = (occ.join(ext, "basket")
+        # Sort-merge on basket: the item table grows with the data, so it is not
+        # re-broadcast at every level, and a merge join spills under a hot basket.
+        cand = (occ.join(ext.hint("merge"), "basket")
                    .where(F.col("nxt") > F.col("last"))
                    .select("basket", F.concat("items", F.array("nxt")).alias("items"),
                            F.col("nxt").alias("last"), *carry))
