@@ -224,8 +224,6 @@ def _fit_cg(rows: DataFrame, names_df: DataFrame, k: int, cat_features: list[str
             tol: float, max_iter: int) -> LinearModel:
     import pandas as pd
 
-    from hirescope.execution import cut_lineage
-
     spark = rows.sparkSession
     names = [INTERCEPT] + sorted(r[0] for r in names_df.collect() if r[0] != INTERCEPT)  # the coefficient vector's index
     d = len(names)
@@ -234,11 +232,14 @@ def _fit_cg(rows: DataFrame, names_df: DataFrame, k: int, cat_features: list[str
                .agg(F.count(F.lit(1)).alias("w"), F.sum("y").alias("sy"), F.sum(F.col("y") * F.col("y")).alias("syy"))
                .withColumn("pid", F.monotonically_increasing_id()))
     nparts = spark.sparkContext.defaultParallelism
-    # Long form (pid, fold, idx, w, sy), hash-partitioned by pattern once and checkpointed:
-    # every product below joins and groups on pid without another exchange.
-    long = cut_lineage(pat.select("pid", "fold", "w", "sy", F.explode("feats").alias("i"))
-                          .join(broadcast_if_small(idx, known_rows=d), "i")
-                          .select("pid", "fold", "idx", "w", "sy").repartition(nparts, "pid"))
+    # Long form (pid, fold, idx, w, sy), hash-partitioned by pattern once and cached.
+    # The cache keeps that partitioning (a checkpoint would not), so in every product
+    # below the group-by and join on pid need no exchange; only the final group-by on
+    # the feature index shuffles. The lineage is short and does not grow with the
+    # iterations, so a lost block is simply recomputed.
+    long = (pat.select("pid", "fold", "w", "sy", F.explode("feats").alias("i"))
+               .join(broadcast_if_small(idx, known_rows=d), "i")
+               .select("pid", "fold", "idx", "w", "sy").repartition(nparts, "pid").persist())
     fold_tot = {r["fold"]: r for r in pat.groupBy("fold").agg(F.sum("w").alias("n"), F.sum("sy").alias("sy"),
                                                              F.sum("syy").alias("syy")).collect()}
     n_all = int(sum(r["n"] for r in fold_tot.values()))
@@ -293,6 +294,7 @@ def _fit_cg(rows: DataFrame, names_df: DataFrame, k: int, cat_features: list[str
             b_g_b = beta @ gram_mv(beta, test)
             folds.append(_fold_score(f, int(ft["n"]), n_all, float(ft["syy"]), float(ft["sy"]), b_xty, b_g_b))
     beta = cg(xty(None), None)
+    long.unpersist()
     return LinearModel(names=names, beta=beta, cat_features=cat_features, skills_used=skills_used, folds=folds)
 
 
