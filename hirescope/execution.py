@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from hirescope.session import ensure_checkpoint_dir
 
-# Rows we are willing to ship to every executor for a hinted broadcast join.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# Rows we are willing to ship to every executor for a hinted broadcast join
+# (the tables broadcast here are narrow: a key and a number or a short string).
+DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,

@@ -13,6 +13,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hirescope.execution import broadcast_if_small
 from hirescope.operators.quantiles import exact_quantiles
 
 OPTION_COLUMNS = ["company_name", "title", "location", "work_type", "formatted_experience_level"]
@@ -146,7 +147,7 @@ def box_stats(rows: DataFrame, salary: str = "normalized_salary") -> DataFrame:
     q = q.withColumn("lo_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
          .withColumn("hi_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
     s = F.col(salary)
-    w = (rows.join(F.broadcast(q.select("label", "lo_fence", "hi_fence")), "label")
+    w = (rows.join(broadcast_if_small(q.select("label", "lo_fence", "hi_fence")), "label")
              .groupBy("label")
              .agg(F.min(F.when(s >= F.col("lo_fence"), s)).alias("whisker_low"),
                   F.max(F.when(s <= F.col("hi_fence"), s)).alias("whisker_high"),

@@ -29,8 +29,10 @@ from hirescope.execution import broadcast_if_small
 
 INTERCEPT = "__intercept__"
 CATEGORY_COLUMNS = ("company_name", "location", "title")
-MAX_DENSE_FEATURES = 4000
-LEVEL_BROADCAST_ROWS = 5_000_000
+# Up to this many features the (sparse) d x d Gram sums come to the driver; wider
+# designs use conjugate gradients and never form feature pairs.
+MAX_DENSE_FEATURES = 2000
+LEVEL_BROADCAST_ROWS = 1_000_000
 
 
 def one_hot_name(col: str, value: Column) -> Column:

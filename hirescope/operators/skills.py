@@ -18,7 +18,7 @@ from hirescope.execution import broadcast_if_small, spread
 from hirescope.functions.text import all_ngrams, norm
 from hirescope.functions.text import text_tokens as tokenize
 
-LEXICON_BROADCAST_ROWS = 5_000_000
+LEXICON_BROADCAST_ROWS = 1_000_000  # phrases of at most a few words
 
 
 def build_lexicon(raw: DataFrame, min_len: int = 1, max_len: int = 3, column: str | None = None) -> DataFrame:
