@@ -15,10 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from hirescope.execution import broadcast_if_small, spread
-from hirescope.functions.text import all_ngrams, norm
+from hirescope.functions.text import all_ngrams, candidate_ngrams, norm
 from hirescope.functions.text import text_tokens as tokenize
 
 LEXICON_BROADCAST_ROWS = 1_000_000  # phrases of at most a few words
+# Per phrase length, at most this many distinct first words are inlined as an
+# IN-list pre-filter (hash lookup); beyond it every position's n-gram is built.
+FIRST_WORD_FILTER_MAX = 20_000
 
 
 def build_lexicon(raw: DataFrame, min_len: int = 1, max_len: int = 3, column: str | None = None) -> DataFrame:
@@ -47,20 +50,42 @@ def text_tokens(postings: DataFrame, id_col: str = "posting_id", text_col: str =
                            tokenize(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("toks"))
 
 
+def first_words(lexicon: DataFrame, max_per_length: int = FIRST_WORD_FILTER_MAX) -> dict[int, list[str]] | None:
+    """Distinct first words of the phrases per length, or None when any length has too many."""
+    fw = lexicon.select("n_words", F.split("phrase", " ")[0].alias("w")).distinct()
+    counts = {r[0]: r[1] for r in fw.groupBy("n_words").count().collect()}
+    if not counts or max(counts.values()) > max_per_length:
+        return None
+    out: dict[int, list[str]] = {}
+    for n, w in fw.collect():
+        out.setdefault(int(n), []).append(w)
+    return {n: sorted(ws) for n, ws in out.items()}
+
+
 def extract_skills(postings: DataFrame, lexicon: DataFrame, id_col: str = "posting_id",
-                   text_col: str = "description", lengths: list[int] | None = None) -> DataFrame:
+                   text_col: str = "description", lengths: list[int] | None = None,
+                   prefilter: bool = True) -> DataFrame:
     """Distinct (id, skill) for every lexicon phrase found in a text.
 
     Overlapping and nested matches all count; rows sharing an id get the union
-    of their skills (C2 semantics).
+    of their skills (C2 semantics). With ``prefilter`` (and a lexicon whose
+    first words per length are few enough) n-grams are only built at positions
+    whose word starts some phrase of that length; the lexicon join still
+    decides every match, so the result is the same.
     """
-    ls = lengths if lengths is not None else lexicon_lengths(lexicon)
+    firsts = first_words(lexicon) if prefilter else None
+    ls = lengths if lengths is not None else (sorted(firsts) if firsts is not None else lexicon_lengths(lexicon))
     if not ls:
         return postings.sparkSession.createDataFrame([], f"{id_col} long, skill string").select(
             F.col(id_col).cast(postings.schema[id_col].dataType), "skill")
     lex = broadcast_if_small(lexicon.select(F.col("phrase").alias("skill")), LEXICON_BROADCAST_ROWS)
     toks = text_tokens(spread(postings.select(id_col, text_col)), id_col, text_col)
-    grams = toks.select(id_col, F.explode(all_ngrams("toks", ls)).alias("skill"))
+    if firsts is not None:
+        arrs = [candidate_ngrams("toks", n, firsts.get(n, [])) for n in ls]
+        cand = arrs[0] if len(arrs) == 1 else F.flatten(F.array(*arrs))
+        grams = toks.select(id_col, F.explode(cand).alias("skill"))
+    else:
+        grams = toks.select(id_col, F.explode(all_ngrams("toks", ls)).alias("skill"))
     return grams.join(lex, "skill").select(id_col, "skill").distinct()
 
 
