@@ -11,12 +11,19 @@ from pyspark.sql import functions as F
 KEEP_CLASS = r"[^a-z0-9+#./\- ]"
 
 
+# The characters a token is made of.
+TOKEN_CLASS = r"[a-z0-9+#./\-]+"
+
+
 def norm(col: Column | str) -> Column:
     """H1: lower-case; any char outside ``a-z 0-9 + # . / -`` and space -> space;
-    runs of spaces -> one space; trim."""
+    runs of spaces -> one space; trim.
+
+    Computed as the runs of kept characters joined by one space, which is the
+    same string, in one regex pass instead of two replaces and a trim.
+    """
     c = F.col(col) if isinstance(col, str) else col
-    s = F.regexp_replace(F.lower(c), KEEP_CLASS, " ")
-    return F.trim(F.regexp_replace(s, r" +", " "))
+    return F.array_join(F.regexp_extract_all(F.lower(c), F.lit(TOKEN_CLASS), 0), " ")
 
 
 def tokens(normed: Column | str) -> Column:
@@ -25,19 +32,15 @@ def tokens(normed: Column | str) -> Column:
     return F.array_remove(F.split(c, " "), "")
 
 
-# Runs of characters that are neither kept nor part of a token (space included).
-SPLIT_CLASS = r"[^a-z0-9+#./\-]+"
-
-
 def text_tokens(text: Column | str) -> Column:
     """H1+H2 in one regex pass: the tokens of ``norm(text)``.
 
-    Splitting the lower-cased text on runs of characters outside the kept set
-    (space is outside it) yields exactly the whitespace tokens of the
-    normalised text, without building the normalised string first.
+    The runs of kept characters in the lower-cased text are exactly the
+    whitespace tokens of the normalised text. Extracting the runs is several
+    times faster than splitting on their complement.
     """
     c = F.col(text) if isinstance(text, str) else text
-    return F.array_remove(F.split(F.lower(c), SPLIT_CLASS), "")
+    return F.regexp_extract_all(F.lower(c), F.lit(TOKEN_CLASS), 0)
 
 
 def ngrams(toks: Column | str, n: int) -> Column:
