@@ -7,11 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Characters kept by the normaliser (everything else becomes a space).
-KEEP_CLASS = r"[^a-z0-9+#./\- ]"
-
-
-# The characters a token is made of.
+# The characters kept by the normaliser (a-z, 0-9, + # . / -);
+# every other character separates tokens.
 TOKEN_CLASS = r"[a-z0-9+#./\-]+"
 
 
