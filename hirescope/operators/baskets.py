@@ -42,10 +42,18 @@ def union_min_count(n: int, min_support: float) -> int:
     return c
 
 
-def _basket_items(basket_items: DataFrame, basket: str, item: str) -> DataFrame:
-    return (basket_items.select(F.col(basket).alias("basket"), F.col(item).cast("string").alias("item"))
-            .where(F.col("item").isNotNull() & F.col("basket").isNotNull())
-            .distinct())
+def _basket_items(basket_items: DataFrame, basket: str, item: str, partitions: int | None = None) -> DataFrame:
+    """Distinct (basket, item) rows, hash-partitioned by basket.
+
+    One shuffle: the de-duplication runs inside the basket partitioning (its
+    (basket, item) grouping is already clustered), and every later join on
+    basket starts from this layout.
+    """
+    bi = (basket_items.select(F.col(basket).alias("basket"), F.col(item).cast("string").alias("item"))
+                      .where(F.col("item").isNotNull() & F.col("basket").isNotNull()))
+    n = partitions or bi.sparkSession.sparkContext.defaultParallelism
+    bi = bi.repartition(n, "basket")
+    return bi.dropDuplicates(["basket", "item"])
 
 
 def _value_aggs(with_value: bool) -> list:
@@ -64,6 +72,9 @@ def _mine(bi: DataFrame, min_count: int, max_size: int, partitions: int | None,
     basket, so each extension join is co-partitioned and needs no exchange.
     """
     vcols = ["v_sum", "v_n"] if with_value else []
+    # One read and one shuffle of the input: the basket-partitioned distinct rows
+    # are checkpointed once; item counts and the frequent-item rows both read it.
+    bi = cut_lineage(bi)
     ones = (bi.groupBy("item").agg(*_value_aggs(with_value))
               .where(F.col("count") >= min_count).persist())
     nones = ones.count()
@@ -72,9 +83,8 @@ def _mine(bi: DataFrame, min_count: int, max_size: int, partitions: int | None,
     if max_size < 2 or nones == 0:
         return levels[0], cached
 
-    nparts = partitions or bi.sparkSession.sparkContext.defaultParallelism
-    items = cut_lineage(bi.join(broadcast_if_small(ones.select("item"), known_rows=nones), "item", "left_semi")
-                          .repartition(nparts, "basket"))
+    # A narrow filter of the checkpoint (broadcast semi-join): cheap to recompute.
+    items = bi.join(broadcast_if_small(ones.select("item"), known_rows=nones), "item", "left_semi")
     carry = ["v"] if with_value else []
     occ = items.select("basket", F.array("item").alias("items"), F.col("item").alias("last"), *carry)
     ext = items.select("basket", F.col("item").alias("nxt"))
@@ -121,7 +131,7 @@ def frequent_itemsets(basket_items: DataFrame, n_baskets: int, min_support: floa
     """
     if n_baskets <= 0:
         raise ValueError("n_baskets must be positive")
-    bi = _basket_items(basket_items, basket, item)
+    bi = _basket_items(basket_items, basket, item, partitions)
     return _materialize(*_mine(bi, side_min_count(n_baskets, min_support), max_size, partitions))
 
 
@@ -141,7 +151,7 @@ def association_rules(basket_items: DataFrame, n_baskets: int, min_support: floa
     n = int(n_baskets)
     if n <= 0:
         raise ValueError("n_baskets must be positive")
-    bi = _basket_items(basket_items, basket, item)
+    bi = _basket_items(basket_items, basket, item, partitions)
     mined = _materialize(*_mine(bi, union_min_count(n, min_support), 2 * max_side, partitions))
     side_min = side_min_count(n, min_support)
     sides = mined.where((F.col("size") <= max_side) & (F.col("count") >= side_min))
@@ -238,7 +248,7 @@ def rule_salary_premium(basket_items: DataFrame, postings: DataFrame, n_baskets:
     n = int(n_baskets)
     sal = postings.select(F.col(basket).alias("basket"), F.col(salary).cast("double").alias("v"))
     overall = postings.agg(F.avg(salary)).first()[0]
-    bi = _basket_items(basket_items, basket, item).join(sal, "basket", "left")
+    bi = _basket_items(basket_items, basket, item, partitions).join(sal, "basket", "left")
     mined = _materialize(*_mine(bi, union_min_count(n, min_support), 2 * max_side, partitions, with_value=True))
     side_min = side_min_count(n, min_support)
     sides = mined.where((F.col("size") <= max_side) & (F.col("count") >= side_min))
