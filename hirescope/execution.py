@@ -10,6 +10,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,3 +52,24 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
+@contextmanager
+def adaptive_cached_plans(spark):
+    """Let AQE coalesce the partitions of plans cached inside this block.
+
+    Small cached intermediates (frequent sets per level, one row per group)
+    would otherwise keep ``spark.sql.shuffle.partitions`` partitions each; with
+    thousands of shuffle partitions a union of a few levels becomes tens of
+    thousands of near-empty tasks. The user's setting is restored on exit.
+    """
+    key = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)

@@ -23,7 +23,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirescope.execution import broadcast_if_small, cut_lineage
+from hirescope.execution import adaptive_cached_plans, broadcast_if_small, cut_lineage
 
 RULE_METRICS = ("support", "confidence", "lift")
 
@@ -132,7 +132,8 @@ def frequent_itemsets(basket_items: DataFrame, n_baskets: int, min_support: floa
     if n_baskets <= 0:
         raise ValueError("n_baskets must be positive")
     bi = _basket_items(basket_items, basket, item, partitions)
-    return _materialize(*_mine(bi, side_min_count(n_baskets, min_support), max_size, partitions))
+    with adaptive_cached_plans(bi.sparkSession):
+        return _materialize(*_mine(bi, side_min_count(n_baskets, min_support), max_size, partitions))
 
 
 def association_rules(basket_items: DataFrame, n_baskets: int, min_support: float, max_side: int,
@@ -152,7 +153,8 @@ def association_rules(basket_items: DataFrame, n_baskets: int, min_support: floa
     if n <= 0:
         raise ValueError("n_baskets must be positive")
     bi = _basket_items(basket_items, basket, item, partitions)
-    mined = _materialize(*_mine(bi, union_min_count(n, min_support), 2 * max_side, partitions))
+    with adaptive_cached_plans(bi.sparkSession):
+        mined = _materialize(*_mine(bi, union_min_count(n, min_support), 2 * max_side, partitions))
     side_min = side_min_count(n, min_support)
     sides = mined.where((F.col("size") <= max_side) & (F.col("count") >= side_min))
     nsides = sides.count()
@@ -249,7 +251,9 @@ def rule_salary_premium(basket_items: DataFrame, postings: DataFrame, n_baskets:
     sal = postings.select(F.col(basket).alias("basket"), F.col(salary).cast("double").alias("v"))
     overall = postings.agg(F.avg(salary)).first()[0]
     bi = _basket_items(basket_items, basket, item, partitions).join(sal, "basket", "left")
-    mined = _materialize(*_mine(bi, union_min_count(n, min_support), 2 * max_side, partitions, with_value=True))
+    with adaptive_cached_plans(bi.sparkSession):
+        mined = _materialize(*_mine(bi, union_min_count(n, min_support), 2 * max_side, partitions,
+                                    with_value=True))
     side_min = side_min_count(n, min_support)
     sides = mined.where((F.col("size") <= max_side) & (F.col("count") >= side_min))
     nsides = sides.count()

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from hirescope.execution import broadcast_if_small
+from hirescope.execution import adaptive_cached_plans, broadcast_if_small
 
 
 def exact_quantiles(rows: DataFrame, group: str, value: str, qs: Sequence[float],
@@ -37,9 +37,10 @@ def exact_quantiles(rows: DataFrame, group: str, value: str, qs: Sequence[float]
     names = list(names or [f"q{int(round(q * 100))}" for q in qs])
     spread = 4.0
     while True:
-        out, st = _attempt(rows, group, value, qs, names, accuracy, spread / accuracy, list(extra_aggs or []))
-        out = out.persist()
-        out.count()  # one row per group: fill the cache, then the sketch table can go
+        with adaptive_cached_plans(rows.sparkSession):
+            out, st = _attempt(rows, group, value, qs, names, accuracy, spread / accuracy, list(extra_aggs or []))
+            out = out.persist()
+            out.count()  # one row per group: fill the cache, then the sketch table can go
         st.unpersist()
         if out.where(~F.col("__ok")).isEmpty():
             return out.drop("__ok")

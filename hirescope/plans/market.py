@@ -6,7 +6,12 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
-from hirescope.operators.filters import SALARY_CAP, filter_with_fallback, salary_ceiling
+from hirescope.operators.filters import FILTER_KEYS, SALARY_CAP, filter_with_fallback, salary_ceiling
+
+
+def empty_filters() -> dict[str, list]:
+    """The initial filter map: every key present, no value chosen (no filtering)."""
+    return {k: [] for k in FILTER_KEYS}
 
 
 def market_view(postings: DataFrame, skills: DataFrame | None, filters: Mapping[str, Sequence],

@@ -54,3 +54,11 @@ def test_category_counts_nan_label(spark):
 def test_standardize_posting_id_exact_case(spark):
     df = spark.createDataFrame([(1, 2)], "ID long, job_id long")
     assert FL.standardize_posting_id(df).columns == ["ID", "posting_id"]
+
+
+def test_empty_filters_keep_everything(spark):
+    from hirescope.plans.market import empty_filters, market_view
+    df = spark.createDataFrame([(1, "A", 10.0), (2, None, 5.0)], "posting_id long, company_name string, normalized_salary double")
+    f = empty_filters()
+    assert set(f) == {"company_name", "title", "location", "work_type", "formatted_experience_level", "skills"}
+    assert market_view(df, None, f).count() == 2
