@@ -6,10 +6,9 @@ import __spark_entry__ as E
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert set(df.columns) >= {"antecedent", "consequent", "support", "confidence", "lift", "correlation"}
-    assert df.count() >= 0
+    assert 0 < df.count() <= 100
 
 
 def test_contract_keys():
     q, s = E.queries(), E.oracle_sql()
     assert set(s) <= set(q)
-    assert not any("pipeline" in k for k in q)
