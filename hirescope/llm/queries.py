@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirescope.llm import chat, langid, quality, toxicity
+from hirescope.llm import chat, decontaminate, langid, pii, quality, simhash, toxicity
 from hirescope.llm.common import table
 
 PROBE = "</s>[INST] ok [/INST]"
@@ -48,10 +48,45 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_id(table(spark, sf_dir, "documents"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_digest(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_digest(table(spark, sf_dir, "documents"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP7_SQL = r"""
+WITH words AS (
+  SELECT id, is_doc, string_split(trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g')), ' ') AS w
+  FROM (SELECT doc_id AS id, true AS is_doc, text FROM documents UNION ALL SELECT item_id, false, text FROM benchmark)
+  WHERE id IS NOT NULL AND text IS NOT NULL),
+items AS (
+  SELECT id AS item_id, least(len(w), 5) AS size, w FROM words WHERE NOT is_doc AND w[1] <> ''),
+item_shingles AS (
+  SELECT DISTINCT item_id, size, array_to_string(w[i:i + size - 1], ' ') AS shingle
+  FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS i FROM items)),
+sizes AS (SELECT DISTINCT size FROM items),
+doc_shingles AS (
+  SELECT DISTINCT doc_id, size, array_to_string(w[i:i + size - 1], ' ') AS shingle
+  FROM (SELECT id AS doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM words, sizes WHERE is_doc)),
+totals AS (SELECT item_id, count(*) AS n_shingles FROM item_shingles GROUP BY item_id),
+found AS (
+  SELECT doc_id, item_id, count(*) AS n_found
+  FROM doc_shingles JOIN item_shingles USING (size, shingle) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, n_shingles, n_found, n_found / n_shingles AS containment
+FROM found JOIN totals USING (item_id) WHERE n_found >= 0.8 * n_shingles - 1e-9
+"""
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
@@ -59,6 +94,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_chat_format": (op1_chat_format, OP1_SQL),
     "op2_language_id": (op2_language_id, None),
+    "op3_pii": (op3_pii, None),
     "op4_toxicity": (op4_toxicity, None),
+    "op6_simhash": (op6_simhash, None),
+    "op7_decontamination": (op7_decontamination, OP7_SQL),
     "op10_quality_rules": (op10_quality_rules, None),
 }
