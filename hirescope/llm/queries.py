@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirescope.llm import chat, decontaminate, langid, pii, quality, simhash, toxicity
+from hirescope.llm import chat, decontaminate, langid, lines, lm, mixing, pii, quality, simhash, toxicity
 from hirescope.llm.common import table
 
 PROBE = "</s>[INST] ok [/INST]"
@@ -56,6 +56,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_digest(table(spark, sf_dir, "documents"))
 
@@ -87,6 +91,14 @@ FROM found JOIN totals USING (item_id) WHERE n_found >= 0.8 * n_shingles - 1e-9
 """
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_digest(table(spark, sf_dir, "documents"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
@@ -96,7 +108,10 @@ QUERIES = {
     "op2_language_id": (op2_language_id, None),
     "op3_pii": (op3_pii, None),
     "op4_toxicity": (op4_toxicity, None),
+    "op5_lm_score": (op5_lm_score, None),
     "op6_simhash": (op6_simhash, None),
     "op7_decontamination": (op7_decontamination, OP7_SQL),
+    "op8_line_dedup": (op8_line_dedup, None),
+    "op9_mixing": (op9_mixing, mixing.oracle_sql()),
     "op10_quality_rules": (op10_quality_rules, None),
 }
