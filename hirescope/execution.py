@@ -3,14 +3,14 @@
 * ``broadcast_if_small``: broadcast a side only after its row count has been
   checked against a bound; above it, leave the join to the planner (sort-merge /
   shuffle-hash, with AQE free to convert at run time).
-* ``cut_lineage``: reliable checkpoint into the shared folder named by
+* ``cut_lineage``: a table written into the shared folder named by
   ``spark.checkpoint.dir`` (never a local checkpoint), so iterative loops keep
   short plans and survive executor loss.
 """
 
 from __future__ import annotations
 
-from contextlib import contextmanager
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,46 +30,13 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint ``df`` reliably (to ``spark.checkpoint.dir``), computing it once.
+    """Write ``df`` once, as Parquet, below the shared folder that
+    ``spark.checkpoint.dir`` names, and read it back.
 
-    An eager checkpoint runs the plan for its count and again for the write;
-    persisting first lets the write read the cached blocks. The cache is
-    released once the checkpoint files exist.
+    Like a reliable checkpoint it survives lost executors; it runs the plan once
+    (an eager checkpoint needs a cache for that), is columnar and compressed, and
+    leaves nothing cached.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    cached = df.persist()
-    out = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return out
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` when it has fewer partitions than the cluster has cores.
-
-    A large table scan already yields one partition per file split, so this is a
-    no-op at scale; it only matters for small files feeding CPU-heavy stages
-    (n-gram generation), where one partition would mean one busy core.
-    """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
-
-
-@contextmanager
-def adaptive_cached_plans(spark):
-    """Let AQE coalesce the partitions of plans cached inside this block.
-
-    Small cached intermediates (frequent sets per level, one row per group)
-    would otherwise keep ``spark.sql.shuffle.partitions`` partitions each; with
-    thousands of shuffle partitions a union of a few levels becomes tens of
-    thousands of near-empty tasks. The user's setting is restored on exit.
-    """
-    key = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
-    old = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
-    try:
-        yield
-    finally:
-        if old is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, old)
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

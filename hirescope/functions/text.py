@@ -61,22 +61,3 @@ def all_ngrams(toks: Column | str, lengths: Iterable[int]) -> Column:
     if len(ls) == 1:
         return ngrams(toks, ls[0])
     return F.flatten(F.array(*[ngrams(toks, n) for n in ls]))
-
-
-def candidate_ngrams(toks: str, n: int, firsts: list[str]) -> Column:
-    """n-grams of ``toks`` that start with one of ``firsts`` (exact pre-filter).
-
-    ``t[i] IN (<literals>)`` is rewritten by the optimizer into a hash-set
-    lookup (InSet), also inside the lambda, so a position costs O(1) and the
-    n-gram string is only built where a phrase could start. Tokens hold only
-    ``a-z 0-9 + # . / -``, so the literals need no escaping.
-    """
-    if not firsts:
-        return F.array().cast("array<string>")
-    lits = ", ".join("'" + f.replace("\\", "\\\\").replace("'", "\\'") + "'" for f in firsts)
-    if n == 1:
-        return F.expr(f"filter({toks}, x -> x IN ({lits}))")
-    return F.expr(
-        f"CASE WHEN size({toks}) >= {n} THEN transform("
-        f"filter(sequence(1, size({toks}) - {n} + 1), i -> element_at({toks}, i) IN ({lits})), "
-        f"i -> array_join(slice({toks}, i, {n}), ' ')) ELSE array() END")

@@ -3,12 +3,13 @@
 Data model: a long table ``(basket, item)`` (one row per posting and skill)
 plus the number of baskets ``n``, which counts baskets without any item too.
 
-Mining is level-wise on the long table. ``occ_k(basket, items, last)`` holds
-one row per basket and *frequent* k-set it contains; level k+1 extends each row
-by a later item of the same basket (equi-join on basket), counts, and keeps the
-frequent ones. ``occ`` and the item table stay hash-partitioned by basket, and
-the frequent sets are joined back by broadcast (after a size check), so the
-only shuffle per level is the partial/final count of candidate sets.
+Mining works on *patterns*. Baskets become sorted item arrays (the one shuffle of
+the input; an array is bounded by the lexicon), keep their frequent items only, and
+equal arrays collapse into one row with its number of baskets. The table then has
+at most as many rows as there are distinct item combinations. Level k extends each
+frequent (k-1)-set of a pattern by a later item of the same row, without a join,
+and shuffles only partial counts per candidate set; the frequent sets come back
+as a size-checked broadcast filter.
 
 Rules: every unordered pair of disjoint frequent sets A, B (each of at most N
 items) whose union is frequent gives A->B and B->A. Instead of a pair loop we
@@ -23,7 +24,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirescope.execution import adaptive_cached_plans, broadcast_if_small, cut_lineage
+from hirescope.execution import broadcast_if_small, cut_lineage
 
 RULE_METRICS = ("support", "confidence", "lift")
 
@@ -42,104 +43,74 @@ def union_min_count(n: int, min_support: float) -> int:
     return c
 
 
-def _basket_items(basket_items: DataFrame, basket: str, item: str, partitions: int | None = None) -> DataFrame:
-    """Distinct (basket, item) rows, hash-partitioned by basket.
-
-    One shuffle: the de-duplication runs inside the basket partitioning (its
-    (basket, item) grouping is already clustered), and every later join on
-    basket starts from this layout.
-    """
-    bi = (basket_items.select(F.col(basket).alias("basket"), F.col(item).cast("string").alias("item"))
-                      .where(F.col("item").isNotNull() & F.col("basket").isNotNull()))
-    n = partitions or bi.sparkSession.sparkContext.defaultParallelism
-    bi = bi.repartition(n, "basket")
-    return bi.dropDuplicates(["basket", "item"])
-
-
-def _value_aggs(with_value: bool) -> list:
-    if not with_value:
-        return [F.count(F.lit(1)).alias("count")]
-    return [F.count(F.lit(1)).alias("count"), F.sum("v").alias("v_sum"), F.count("v").alias("v_n")]
+def _basket_arrays(basket_items: DataFrame, basket: str, item: str) -> DataFrame:
+    """One row per basket with its distinct items, sorted: ``basket``, ``items``."""
+    rows = (basket_items.select(F.col(basket).alias("basket"), F.col(item).cast("string").alias("item"))
+                        .where(F.col("item").isNotNull() & F.col("basket").isNotNull()))
+    return rows.groupBy("basket").agg(F.array_sort(F.collect_set("item")).alias("items"))
 
 
-def _mine(bi: DataFrame, min_count: int, max_size: int, partitions: int | None,
-          with_value: bool = False) -> tuple[DataFrame, list[DataFrame]]:
+def _mine(arrays: DataFrame, min_count: int, max_size: int) -> DataFrame:
     """All item sets of size <= max_size with count >= min_count: (items, size, count).
 
-    Small per-level results (frequent sets) are persisted; the tables that grow
-    with the data and carry the level-to-level lineage (the item rows and the
-    occurrences of frequent sets) are reliably checkpointed, partitioned by
-    basket, so each extension join is co-partitioned and needs no exchange.
+    ``arrays`` holds ``items`` and, with values, ``v``; then sums ``v_sum`` and
+    counts ``v_n`` of the values ride along. The collapsed patterns and each
+    level's frequent sets are written once below the checkpoint folder.
     """
-    vcols = ["v_sum", "v_n"] if with_value else []
-    # One read and one shuffle of the input: the basket-partitioned distinct rows
-    # are checkpointed once; item counts and the frequent-item rows both read it.
-    bi = cut_lineage(bi)
-    ones = (bi.groupBy("item").agg(*_value_aggs(with_value))
-              .where(F.col("count") >= min_count).persist())
-    nones = ones.count()
-    cached = [ones]
-    levels = [ones.select(F.array("item").alias("items"), F.lit(1).alias("size"), "count", *vcols)]
-    if max_size < 2 or nones == 0:
-        return levels[0], cached
-
-    # A narrow filter of the checkpoint (broadcast semi-join): cheap to recompute.
-    items = bi.join(broadcast_if_small(ones.select("item"), known_rows=nones), "item", "left_semi")
-    carry = ["v"] if with_value else []
-    occ = items.select("basket", F.array("item").alias("items"), F.col("item").alias("last"), *carry)
-    ext = items.select("basket", F.col("item").alias("nxt"))
-
-    for k in range(2, max_size + 1):
-        # Sort-merge on basket: the item table grows with the data, so it is not
-        # re-broadcast at every level, and a merge join spills under a hot basket.
-        cand = (occ.join(ext.hint("merge"), "basket")
-                   .where(F.col("nxt") > F.col("last"))
-                   .select("basket", F.concat("items", F.array("nxt")).alias("items"),
-                           F.col("nxt").alias("last"), *carry))
-        freq = (cand.groupBy("items").agg(*_value_aggs(with_value))
-                    .where(F.col("count") >= min_count).persist())
-        cached.append(freq)
-        nfreq = freq.count()
-        if nfreq == 0:
+    with_value = "v" in arrays.columns
+    sums = {"count": F.sum("n")} | ({"v_sum": F.sum("v_sum"), "v_n": F.sum("v_n")} if with_value else {})
+    carry = ["n"] + (["v_sum", "v_n"] if with_value else [])
+    counts = [F.count(F.lit(1)).alias("n")] + ([F.sum("v").alias("v_sum"), F.count("v").alias("v_n")] if with_value else [])
+
+    def frequent(sets: DataFrame) -> DataFrame:
+        counted = sets.groupBy("items").agg(*[e.alias(k) for k, e in sums.items()])
+        return cut_lineage(counted.where(F.col("count") >= min_count).select("items", F.size("items").alias("size"), *sums))
+
+    # Equal baskets collapse before anything is counted, and once more after the rare
+    # items are gone.
+    whole = cut_lineage(arrays.groupBy("items").agg(*counts))
+    levels = [frequent(whole.select(F.explode("items").alias("item"), *carry).select(F.array("item").alias("items"), *carry))]
+    # Frequent items number at most (mean basket size) / support.
+    singles = [r[0] for r in levels[0].select(F.element_at("items", 1)).collect()]
+    if max_size < 2 or not singles:
+        return levels[0]
+    sums_of = [F.sum(c).alias(c) for c in carry]
+    patterns = cut_lineage(whole.withColumn("items", F.array_intersect("items", F.lit(sorted(singles))))
+                                .where(F.size("items") >= 2).groupBy("items").agg(*sums_of))
+    # (items: a frequent set held by the pattern, later: the pattern's items after it)
+    held = patterns.select(F.posexplode("items").alias("at", "item"), "items", *carry).select(
+        F.array("item").alias("items"), F.expr("slice(items, at + 2, size(items))").alias("later"), *carry)
+    for _ in range(2, max_size + 1):
+        grown = held.select("items", "later", F.posexplode("later").alias("at", "item"), *carry).select(
+            F.concat("items", F.array("item")).alias("items"),
+            F.expr("slice(later, at + 2, size(later))").alias("later"), *carry)
+        level = frequent(grown)
+        known = level.count()
+        if known == 0:
             break
-        levels.append(freq.select("items", F.lit(k).alias("size"), "count", *vcols))
-        if k == max_size:
-            break
-        occ = cut_lineage(cand.join(broadcast_if_small(freq.select("items"), known_rows=nfreq),
-                                    "items", "left_semi"))
+        levels.append(level)
+        held = grown.where(F.size("later") > 0).join(broadcast_if_small(level.select("items"), known_rows=known), "items", "left_semi")
     out = levels[0]
-    for lv in levels[1:]:
-        out = out.unionByName(lv)
-    return out, cached
-
-
-def _materialize(df: DataFrame, cached: list[DataFrame]) -> DataFrame:
-    """Persist and fill ``df`` (a small result), then release the level caches it was built from."""
-    out = df.persist()
-    out.count()
-    for c in cached:
-        c.unpersist()
+    for level in levels[1:]:
+        out = out.unionByName(level)
     return out
 
 
 def frequent_itemsets(basket_items: DataFrame, n_baskets: int, min_support: float, max_size: int,
-                      basket: str = "posting_id", item: str = "skill",
-                      partitions: int | None = None) -> DataFrame:
+                      basket: str = "posting_id", item: str = "skill") -> DataFrame:
     """Item sets of at most ``max_size`` items with count >= ceil(n * min_support).
 
     Returns ``(items array<string> sorted, size int, count long)``.
     """
     if n_baskets <= 0:
         raise ValueError("n_baskets must be positive")
-    bi = _basket_items(basket_items, basket, item, partitions)
-    with adaptive_cached_plans(bi.sparkSession):
-        return _materialize(*_mine(bi, side_min_count(n_baskets, min_support), max_size, partitions))
+    arrays = _basket_arrays(basket_items, basket, item)
+    return _mine(arrays, side_min_count(n_baskets, min_support), max_size)
 
 
 def association_rules(basket_items: DataFrame, n_baskets: int, min_support: float, max_side: int,
                       top_k: int | None = None, sort_by: str = "confidence",
-                      basket: str = "posting_id", item: str = "skill",
-                      partitions: int | None = None) -> DataFrame:
+                      basket: str = "posting_id", item: str = "skill") -> DataFrame:
     """Two-sided rules A -> B with |A|, |B| <= max_side.
 
     Columns: antecedent, consequent (sorted array<string>), support, confidence,
@@ -152,9 +123,7 @@ def association_rules(basket_items: DataFrame, n_baskets: int, min_support: floa
     n = int(n_baskets)
     if n <= 0:
         raise ValueError("n_baskets must be positive")
-    bi = _basket_items(basket_items, basket, item, partitions)
-    with adaptive_cached_plans(bi.sparkSession):
-        mined = _materialize(*_mine(bi, union_min_count(n, min_support), 2 * max_side, partitions))
+    mined = _mine(_basket_arrays(basket_items, basket, item), union_min_count(n, min_support), 2 * max_side)
     side_min = side_min_count(n, min_support)
     sides = mined.where((F.col("size") <= max_side) & (F.col("count") >= side_min))
     nsides = sides.count()
@@ -207,14 +176,15 @@ def lift_heatmap(rules: DataFrame, known_items: DataFrame, max_side: int, grid:
     the kept LHS x RHS grid that the pivot would show, holes filled with 1.0.
     Columns: lhs, rhs (labels joined by " & "), lift.
     """
-    known = known_items.select(F.col(item).cast("string").alias("it")).distinct()
-    rules = rules.persist()  # top-K rules: bounded, read several times below
-    r = rules.select(F.array_sort("antecedent").alias("lhs_set"), F.array_sort("consequent").alias("rhs_set"),
-                     "lift").withColumn("rid", F.monotonically_increasing_id())
-    # Every item must be a known item. Explode both sides and anti-join the unknown.
-    sides = r.select("rid", F.explode(F.array_union("lhs_set", "rhs_set")).alias("it"))
-    unknown = sides.join(broadcast_if_small(known), "it", "left_anti").select("rid").distinct()
-    r = (r.join(unknown, "rid", "left_anti")
+    r = cut_lineage(rules.select(F.array_sort("antecedent").alias("lhs_set"),
+                                 F.array_sort("consequent").alias("rhs_set"), "lift"))
+    # Every item must be a known item. Of the known items only those that occur
+    # in a rule matter, so their table is read once, filtered, and not shuffled whole.
+    sides = r.select("lhs_set", "rhs_set", F.explode(F.array_union("lhs_set", "rhs_set")).alias("it"))
+    known = known_items.select(F.col(item).cast("string").alias("it")).join(
+        broadcast_if_small(sides.select("it").distinct()), "it", "left_semi").distinct()
+    unknown = sides.join(broadcast_if_small(known), "it", "left_anti").select("lhs_set", "rhs_set").distinct()
+    r = (r.join(broadcast_if_small(unknown), ["lhs_set", "rhs_set"], "left_anti")
           .where(~F.arrays_overlap("lhs_set", "rhs_set")
                  & (F.size("lhs_set") <= max_side) & (F.size("rhs_set") <= max_side)))
     aggf = F.max if agg == "max" else F.avg
@@ -240,20 +210,18 @@ def lift_heatmap(rules: DataFrame, known_items: DataFrame, max_side: int, grid:
 
 def rule_salary_premium(basket_items: DataFrame, postings: DataFrame, n_baskets: int, min_support: float,
                         max_side: int, basket: str = "posting_id", item: str = "skill",
-                        salary: str = "normalized_salary", partitions: int | None = None) -> DataFrame:
+                        salary: str = "normalized_salary") -> DataFrame:
     """Rules with the mean salary of postings holding both sides (and the
     antecedent), and their premium over the overall mean salary.
 
-    The salary rides along the level-wise mining (sum and count per item set),
-    so no rule is ever joined back to the baskets.
+    The salary rides along with the patterns (sum and count per item set), so no
+    rule is ever joined back to the baskets. ``postings`` holds a basket once.
     """
     n = int(n_baskets)
     sal = postings.select(F.col(basket).alias("basket"), F.col(salary).cast("double").alias("v"))
     overall = postings.agg(F.avg(salary)).first()[0]
-    bi = _basket_items(basket_items, basket, item, partitions).join(sal, "basket", "left")
-    with adaptive_cached_plans(bi.sparkSession):
-        mined = _materialize(*_mine(bi, union_min_count(n, min_support), 2 * max_side, partitions,
-                                    with_value=True))
+    arrays = _basket_arrays(basket_items, basket, item).join(sal, "basket", "left")
+    mined = _mine(arrays, union_min_count(n, min_support), 2 * max_side)
     side_min = side_min_count(n, min_support)
     sides = mined.where((F.col("size") <= max_side) & (F.col("count") >= side_min))
     nsides = sides.count()

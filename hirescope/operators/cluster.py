@@ -8,10 +8,11 @@ a d x d covariance (d is the feature count) and k-row score tables.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
@@ -19,13 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from hirescope.functions.vectors import distance, dot, lit_mat, lit_vec, nearest, sq_distance
+from hirescope.functions.vectors import block, block_distances, distance, dot, lit_mat, lit_vec, nearest, sq_distance
 from hirescope.operators.quantiles import exact_quantiles
 from hirescope.operators.sampling import seeded_sample
 
-COVARIANCE_AGG_MAX_DIM = 128
-
-
 def _dim(df: DataFrame, col: str) -> int:
     r = df.select(F.size(col).alias("d")).where(F.col("d") >= 0).first()
     if r is None:
@@ -61,29 +59,28 @@ def moments_table(df: DataFrame, col: str = "x") -> DataFrame:
 
 
 def covariance_table(df: DataFrame, col: str = "x") -> DataFrame:
-    """Sample covariance in long form (i, j, cov).
+    """Sample covariance in long form (i, j, cov), for any number of dimensions.
 
-    Two passes: the mean (Summarizer), then the mean of centred outer products
-    summed as one d*d vector aggregate (partial aggregation per task, no row
-    explosion). Past ``COVARIANCE_AGG_MAX_DIM`` dimensions MLlib's RowMatrix
-    covariance (tree aggregation of packed d x d sums) is used instead.
+    Two passes: the mean (Summarizer), then centred products as numpy blocks over
+    Arrow batches. A task sends one row of sums per dimension; the rows of a
+    dimension are summed by themselves, so no d x d matrix meets in one place.
     """
-    d = _dim(df, col)
-    spark = df.sparkSession
-    if d <= COVARIANCE_AGG_MAX_DIM:
-        n, mean, _ = column_moments(df, col)
-        xc = F.zip_with(F.col(col), lit_vec(mean), lambda a, m: a - m)
-        outer = F.transform(F.sequence(F.lit(0), F.lit(d * d - 1)),
-                            lambda k: F.col("__xc")[F.floor(k / d).cast("int")] * F.col("__xc")[k % d])
-        s_ = (df.select(xc.alias("__xc")).select(array_to_vector(outer).alias("v"))
-                .agg(Summarizer.sum(F.col("v")).alias("s")).first()["s"])
-        cov = np.array(s_.toArray(), dtype=float).reshape(d, d) / max(n - 1, 1)
-    else:
-        from pyspark.mllib.linalg import Vectors as MV
-        from pyspark.mllib.linalg.distributed import RowMatrix
-        cov = RowMatrix(df.select(col).rdd.map(lambda r: MV.dense(r[0]))).computeCovariance().toArray()
-    rows = [(i, j, float(cov[i, j])) for i in range(d) for j in range(d)]
-    return spark.createDataFrame(rows, "i int, j int, cov double")
+    n, mean, _ = column_moments(df, col)
+    d = len(mean)
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((d, d))
+        for batch in batches:
+            x = block(batch.column(0), d) - mean
+            total += x.T @ x
+        yield pa.RecordBatch.from_arrays([pa.array(range(d), pa.int32()), pa.array(list(total), pa.list_(pa.float64()))], ["i", "sums"])
+
+    def add(rows: pa.Table) -> pa.Table:
+        total = np.sum([r.values.to_numpy() for r in rows.column("sums")], axis=0) / max(n - 1, 1)
+        return pa.table({"i": pa.array([rows.column("i")[0].as_py()] * d, pa.int32()), "j": pa.array(range(d), pa.int32()), "cov": pa.array(total)})
+
+    points = df.where(F.col(col).isNotNull()).select(F.col(col).cast("array<double>"))
+    return points.mapInArrow(products, "i int, sums array<double>").groupBy("i").applyInArrow(add, "i int, j int, cov double")
 
 
 def zscore(df: DataFrame, col: str = "x", out: str = "z") -> DataFrame:
@@ -102,7 +99,7 @@ class PCAResult:
     scores: DataFrame          # input columns + ``scores`` array<double>
     components: np.ndarray     # d x k, columns by falling eigenvalue, sign-fixed
     mean: np.ndarray
-    explained: np.ndarray      # eigenvalues of the sample covariance (k)
+    explained_ratio: np.ndarray  # share of the total variance, per component (k)
 
 
 def pca(df: DataFrame, k: int, col: str = "x", out: str = "scores", center: bool = True) -> PCAResult:
@@ -129,7 +126,7 @@ def pca(df: DataFrame, k: int, col: str = "x", out: str = "scores", center: bool
     xc = F.zip_with(F.col(col), lit_vec(mean), lambda a, m: a - m)
     scores = df.withColumn("__xc", xc).withColumn(
         out, F.array(*[dot(F.col("__xc"), lit_vec(comps[:, j])) for j in range(comps.shape[1])])).drop("__xc")
-    return PCAResult(scores=scores, components=comps, mean=mean, explained=ev)
+    return PCAResult(scores=scores, components=comps, mean=mean, explained_ratio=ev)
 
 
 def pca_variance(scores: DataFrame, raw: DataFrame, k: int, score_col: str = "scores", col: str = "x") -> DataFrame:
@@ -152,8 +149,15 @@ def pca_variance(scores: DataFrame, raw: DataFrame, k: int, score_col: str = "sc
 
 def assign(df: DataFrame, centres: Sequence[Sequence[float]], col: str = "x", metric: str = "euclidean",
            p: float = 3.0, out: str = "cluster") -> DataFrame:
-    """Nearest centre per point."""
-    return df.withColumn(out, nearest(F.col(col), centres, metric, p))
+    """Nearest centre per point, as numpy blocks over Arrow batches; a tie
+    goes to the lower index."""
+    c = np.asarray(centres, dtype=float)
+
+    @F.arrow_udf("int")
+    def nearest_centre(x: pa.Array) -> pa.Array:
+        return pa.array(block_distances(block(x, c.shape[1]), c, metric, p).argmin(axis=1), pa.int32())
+
+    return df.withColumn(out, nearest_centre(F.col(col).cast("array<double>")))
 
 
 def cluster_means(df: DataFrame, k: int, col: str = "x", label: str = "cluster") -> dict[int, np.ndarray]:
@@ -172,6 +176,31 @@ def update(df: DataFrame, centres: np.ndarray, col: str = "x", label: str = "clu
     return new
 
 
+def lloyd_step(points: DataFrame, centres: np.ndarray, col: str, metric: str, p: float) -> np.ndarray:
+    """One assignment and update: every task sends a count and a sum per centre."""
+    c = np.asarray(centres, dtype=float)
+    k, d = c.shape
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((k, d + 1))
+        for batch in batches:
+            x = block(batch.column(0), d)
+            near = block_distances(x, c, metric, p).argmin(axis=1)
+            total[:, 0] += np.bincount(near, minlength=k)
+            for j in range(d):
+                total[:, j + 1] += np.bincount(near, x[:, j], k)
+        yield pa.RecordBatch.from_arrays([pa.array(range(k), pa.int32()), pa.array(list(total), pa.list_(pa.float64()))], ["c", "s"])
+
+    parts = points.select(F.col(col).cast("array<double>")).mapInArrow(sums, "c int, s array<double>")
+    rows = parts.groupBy("c").agg(Summarizer.sum(array_to_vector("s")).alias("s")).collect()  # k rows
+    new = c.copy()
+    for r in rows:
+        s = r["s"].toArray()
+        if s[0] > 0:
+            new[r["c"]] = s[1:] / s[0]
+    return new
+
+
 def initial_centres(df: DataFrame, k: int, col: str = "x", id_col: str = "id", seed: int = 42) -> np.ndarray:
     """k distinct rows, chosen by the md5 order of ``seed:id``."""
     rows = seeded_sample(df.select(id_col, col), k, id_col, seed).collect()
@@ -193,18 +222,16 @@ def kmeans(df: DataFrame, k: int, col: str = "x", id_col: str = "id", metric: st
            seed: int = 42, init: np.ndarray | None = None) -> KMeansResult:
     """Lloyd iterations with a chosen metric; centres are means for every metric.
 
-    Each step is one Spark job: an expression assigns every point, a grouped
-    Summarizer mean returns k vectors. The point set is cached once; the plan
-    does not grow with the iterations because centres enter as literals. After
-    the loop one more assignment makes the labels agree with the final centres.
+    Each step is one Spark job over Arrow batches of the cached points; k vectors
+    return. The plan does not grow with the iterations. After the loop one more
+    assignment makes the labels agree with the final centres.
     """
     pts = df.select(id_col, col).persist()
     try:
         c = np.array(init, dtype=float) if init is not None else initial_centres(pts, k, col, id_col, seed)
         converged, it = False, 0
         for it in range(1, int(max_iters) + 1):
-            lab = assign(pts, c.tolist(), col, metric, p)
-            new = update(lab, c, col)
+            new = lloyd_step(pts, c, col, metric, p)
             if np.allclose(c, new, atol=atol, rtol=rtol):
                 converged = True
                 c = new
@@ -304,67 +331,52 @@ def similarity_matrix(df: DataFrame, n: int = 25, col: str = "x", id_col: str =
 
 # --------------------------------------------------------------------------- t-test
 
-def _betacf(a: float, b: float, x: float) -> float:
-    tiny, eps = 1e-300, 3e-16
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    h = d
-    for m in range(1, 400):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        de = d * c
-        h *= de
-        if abs(de - 1.0) < eps:
-            break
-    return h
-
-
-def betainc(a: float, b: float, x: float) -> float:
-    """Regularised incomplete beta I_x(a, b) (continued fraction)."""
-    if x <= 0:
-        return 0.0
-    if x >= 1:
-        return 1.0
-    lbt = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
-    if x < (a + 1) / (a + b + 2):
-        return math.exp(lbt) * _betacf(a, b, x) / a
-    return 1.0 - math.exp(lbt) * _betacf(b, a, 1 - x) / b
+def _log_gamma_step(a: float) -> float:
+    """ln Gamma(a + 1/2) - ln Gamma(a); by its expansion in 1/a where the difference
+    of two large logarithms would lose its digits."""
+    if a < 1e4:
+        return math.lgamma(a + 0.5) - math.lgamma(a)
+    return 0.5 * math.log(a) - 1 / (8 * a) + 1 / (192 * a ** 3)
 
 
 def t_two_sided_p(t: float, df: float) -> float:
-    """Two-sided p of Student's t with ``df`` degrees of freedom."""
+    """Two-sided p of Student's t with ``df`` degrees of freedom.
+
+    With x = sqrt(df) tan(u) the density becomes cos(u)^(df - 1) times a constant, so
+    the tail is an integral over u from atan(t / sqrt(df)) to pi / 2. It is taken by
+    Gauss-Legendre panels over the part where the power has not vanished.
+    """
     if math.isnan(t) or math.isnan(df):
         return float("nan")
-    return betainc(df / 2.0, 0.5, df / (df + t * t))
+    if math.isinf(t):
+        return 0.0
+    low = math.atan(abs(t) / math.sqrt(df))
+    high = min(math.pi / 2, low + 40 / math.sqrt(df))
+    nodes, weights = np.polynomial.legendre.leggauss(24)
+    ends = low + (high - low) * np.linspace(0, 1, 65) ** 2
+    u = (ends[:-1, None] + ends[1:, None]) / 2 + np.diff(ends)[:, None] / 2 * nodes
+    height = np.exp((df - 1) * np.log1p(-2 * np.sin(u / 2) ** 2))
+    area = float((height * weights * np.diff(ends)[:, None] / 2).sum())
+    return min(1.0, 2 * math.exp(_log_gamma_step(df / 2)) / math.sqrt(math.pi) * area)
 
 
 def compactness_ttest(dists: DataFrame, label: str = "cluster", dist: str = "dist",
                       with_p: bool = True) -> DataFrame:
     """Per cluster, own distances vs everyone else's distance to *their own*
-    centre; Welch's t. One grouped aggregation; the rest-group moments come from
-    totals minus the cluster's own sums. Fewer than 2 on a side -> missing."""
-    g = dists.groupBy(label).agg(F.count(F.lit(1)).alias("n"), F.sum(dist).alias("s"),
-                                 F.sum(F.col(dist) * F.col(dist)).alias("ss"))
-    w = Window.partitionBy()  # k rows only
-    # Spark resolves names case-insensitively: keep the totals' names distinct.
-    g = (g.withColumn("tot_n", F.sum("n").over(w)).withColumn("tot_s", F.sum("s").over(w))
-          .withColumn("tot_ss", F.sum("ss").over(w)))
-    n1, n2 = F.col("n"), F.col("tot_n") - F.col("n")
-    m1 = F.col("s") / n1
-    m2 = (F.col("tot_s") - F.col("s")) / n2
-    v1 = (F.col("ss") - n1 * m1 * m1) / (n1 - 1)
-    v2 = ((F.col("tot_ss") - F.col("ss")) - n2 * m2 * m2) / (n2 - 1)
+    centre; Welch's t. One grouped aggregation of counts, means and squared
+    deviations; the rest group merges the moments of the other clusters, so nothing
+    is subtracted from a large sum. Fewer than 2 on a side -> missing."""
+    g = dists.groupBy(label).agg(F.count(F.lit(1)).alias("n"), F.avg(dist).alias("m"),
+                                 (F.var_pop(dist) * F.count(F.lit(1))).alias("dev"))
+    # k rows only
+    g = g.withColumn("parts", F.collect_list(F.struct(F.col(label).alias("c"), "n", "m", "dev")).over(Window.partitionBy()))
+    others = F.filter("parts", lambda x: x["c"] != F.col(label))
+    add = lambda f: F.aggregate("others", F.lit(0.0), lambda s, x: s + f(x))
+    g = g.withColumn("others", others).withColumn("n2", add(lambda x: x["n"]))
+    g = g.withColumn("m2", F.when(F.col("n2") > 0, add(lambda x: x["n"] * (x["m"] - F.col("m"))) / F.col("n2") + F.col("m")))
+    g = g.withColumn("dev2", add(lambda x: x["dev"] + x["n"] * (x["m"] - F.col("m2")) * (x["m"] - F.col("m2"))))
+    n1, n2, m1, m2 = F.col("n"), F.col("n2"), F.col("m"), F.col("m2")
+    v1, v2 = F.col("dev") / F.nullif(n1 - 1, F.lit(0)), F.col("dev2") / F.nullif(n2 - 1, F.lit(0.0))
     a, b = v1 / n1, v2 / n2
     t = (m1 - m2) / F.sqrt(a + b)
     dof = (a + b) * (a + b) / (a * a / (n1 - 1) + b * b / (n2 - 1))

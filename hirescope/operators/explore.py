@@ -9,11 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirescope.execution import broadcast_if_small
+from hirescope.execution import broadcast_if_small, cut_lineage
 from hirescope.operators.quantiles import exact_quantiles
 
 OPTION_COLUMNS = ["company_name", "title", "location", "work_type", "formatted_experience_level"]
@@ -65,27 +64,21 @@ def skill_counts(skills: DataFrame, top_n: int = 3, id_col: str = "posting_id")
 
 # --------------------------------------------------------------------------- D7 histogram
 
-def _round_frac(x: float, precision: int = 3) -> float:
-    """Edge rounding used for interval labels: 3 decimals, or 3 significant digits below 1."""
-    if not np.isfinite(x) or x == 0:
-        return float(x)
-    frac, whole = np.modf(x)
-    digits = (-int(np.floor(np.log10(abs(frac)))) - 1 + precision) if whole == 0 else precision
-    return float(np.around(x, digits))
+def edge_label_value(x: float) -> float:
+    """An edge as shown: three decimals, below 1 three significant digits."""
+    return round(x, 3) if abs(x) >= 1 else float(f"{x:.3g}")
 
 
 def histogram_edges(mn: float, mx: float, bins: int) -> list[float]:
-    """Equal-width, right-closed edges; first edge moved left by 0.1 % of the range;
-    constant data widened by 0.1 % each way."""
+    """Edges of ``bins`` right-closed bins of equal width. The lowest edge lies 0.1 % of
+    the range below the minimum, so that the minimum falls inside; constant data get a
+    range of 0.1 % of their size each way."""
     if bins < 1:
         raise ValueError("bins must be >= 1")
-    if mn == mx:
-        mn -= 0.001 * abs(mn) if mn != 0 else 0.001
-        mx += 0.001 * abs(mx) if mx != 0 else 0.001
-        return [float(e) for e in np.linspace(mn, mx, bins + 1, endpoint=True)]
-    edges = np.linspace(mn, mx, bins + 1, endpoint=True)
-    edges[0] -= (mx - mn) * 0.001
-    return [float(e) for e in edges]
+    pad = 0.001 * ((mx - mn) or abs(mn) or 1.0)
+    low, high = (mn, mx) if mx > mn else (mn - pad, mx + pad)
+    width = (high - low) / bins
+    return [mn - pad, *(low + i * width for i in range(1, bins)), high]
 
 
 def salary_histogram(df: DataFrame, bins: int = 3, col: str = "normalized_salary") -> DataFrame:
@@ -105,8 +98,8 @@ def salary_histogram(df: DataFrame, bins: int = 3, col: str = "normalized_salary
     for e in edges[1:-1]:
         b = b + F.when(F.col("x") > F.lit(e), 1).otherwise(0)
     counts = vals.select(b.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
-    lo = [_round_frac(e) for e in edges[:-1]]
-    hi = [_round_frac(e) for e in edges[1:]]
+    lo = [edge_label_value(e) for e in edges[:-1]]
+    hi = [edge_label_value(e) for e in edges[1:]]
     frame = spark.createDataFrame(
         [(i, lo[i], hi[i], f"{lo[i]:,.0f}–{hi[i]:,.0f}") for i in range(int(bins))],
         "bin int, lo double, hi double, label string")
@@ -140,7 +133,7 @@ def salary_box_by_skill_rows(df: DataFrame, skills: DataFrame, top_n: int = 3,
 def box_stats(rows: DataFrame, salary: str = "normalized_salary") -> DataFrame:
     """D8 summary per label: n, q1, median, q3 (linear interpolation), 1.5 IQR fences,
     whiskers (extreme values inside the fences), min, max, number of outliers."""
-    rows = rows.persist()  # read by the quantiles and the whisker pass
+    rows = cut_lineage(rows.select("label", salary))  # read by the quantiles and the whisker pass
     q = exact_quantiles(rows, "label", salary, (0.25, 0.5, 0.75), names=("q1", "median", "q3"),
                         extra_aggs=[F.min(salary).alias("min"), F.max(salary).alias("max")])
     q = q.select("label", "n", "q1", "median", "q3", "min", "max")

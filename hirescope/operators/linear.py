@@ -25,9 +25,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirescope.execution import broadcast_if_small
+from hirescope.execution import broadcast_if_small, cut_lineage
 
 INTERCEPT = "__intercept__"
+SKILL_KEY = "\x01"  # leads the internal name of a skill feature; not shown
 CATEGORY_COLUMNS = ("company_name", "location", "title")
 # Up to this many features the (sparse) d x d Gram sums come to the driver; wider
 # designs use conjugate gradients and never form feature pairs.
@@ -40,12 +41,14 @@ def one_hot_name(col: str, value: Column) -> Column:
     return F.concat_ws("_", F.lit(col), value.cast("string"))
 
 
-def one_hot(df: DataFrame, col: str, max_levels: int = 1000) -> DataFrame:
-    """One 0/1 int column per level (no level dropped), named ``col_value``."""
-    levels = [r[0] for r in df.select(F.col(col).cast("string")).where(F.col(col).isNotNull())
-              .distinct().orderBy(col).limit(max_levels + 1).collect()]
-    if len(levels) > max_levels:
-        raise ValueError(f"{col} has more than {max_levels} levels; use the long form")
+def one_hot(df: DataFrame, col: str, levels: Sequence[str] | None = None) -> DataFrame:
+    """One 0/1 int column per level (no level dropped), named ``col_value``.
+
+    A wide export: the caller may name the ``levels`` to show; otherwise every
+    level becomes a column. Fitting never uses it, it works on long features.
+    """
+    if levels is None:
+        levels = [r[0] for r in df.select(F.col(col).cast("string")).where(F.col(col).isNotNull()).distinct().orderBy(col).collect()]
     c = F.col(col).cast("string")
     return df.select(*df.columns, *[F.when(c == v, 1).otherwise(0).alias(f"{col}_{v}") for v in levels])
 
@@ -72,24 +75,33 @@ def with_skill_array(df: DataFrame, skills_long: DataFrame | None, skills_used:
 
 def design_rows(df: DataFrame, cat_features: Sequence[str], target: str = "normalized_salary",
                 id_col: str = "posting_id", fold: Column | None = None) -> DataFrame:
-    """(id, fold, y, feats) with feats = intercept + one-hot names + held skills."""
-    feats = F.concat(F.array(F.lit(INTERCEPT), *[one_hot_name(c, F.col(c)) for c in cat_features]),
-                     F.col("skills"))
+    """(id, fold, y, feats) with feats = intercept + one-hot names + held skills
+    (keyed apart, so that a skill named like a level stays a feature of its own)."""
+    held = F.transform("skills", lambda x: F.concat(F.lit(SKILL_KEY), x))
+    feats = F.concat(F.array(F.lit(INTERCEPT), *[one_hot_name(c, F.col(c)) for c in cat_features]), held)
     return df.select(F.col(id_col), (fold if fold is not None else F.lit(0)).alias("fold"),
                      F.col(target).cast("double").alias("y"), F.array_sort(feats).alias("feats"))
 
 
 def gram_sums(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Per fold: pair counts (fold, i, j, g) and target sums (fold, i, xty) plus
-    per-fold totals as the pair (INTERCEPT, INTERCEPT) and i = INTERCEPT rows."""
-    pat = (rows.groupBy("fold", "feats")
-               .agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("sy"), F.sum(F.col("y") * F.col("y")).alias("syy")))
+    """Per fold: pair counts (fold, i, j, g) and target sums (fold, i, xty, n)."""
+    return _gram_of(_patterns(rows))
+
+
+def _patterns(rows: DataFrame) -> DataFrame:
+    """Rows collapsed by (fold, feats): n, the sum of y, its mean, and the squared
+    deviations from that mean (Spark's central moments, which do not cancel)."""
+    return rows.groupBy("fold", "feats").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("y").alias("sy"), F.avg("y").alias("ybar"),
+        (F.var_pop("y") * F.count(F.lit(1))).alias("within"))
+
+
+def _gram_of(pat: DataFrame) -> tuple[DataFrame, DataFrame]:
     pairs = (pat.select("fold", "n", F.explode("feats").alias("i"), "feats")
                 .select("fold", "n", "i", F.explode("feats").alias("j"))
                 .groupBy("fold", "i", "j").agg(F.sum("n").alias("g")))
-    xty = (pat.select("fold", "sy", "syy", "n", F.explode("feats").alias("i"))
-              .groupBy("fold", "i").agg(F.sum("sy").alias("xty"), F.sum("syy").alias("syy"),
-                                        F.sum("n").alias("n")))
+    xty = (pat.select("fold", "sy", "n", F.explode("feats").alias("i"))
+              .groupBy("fold", "i").agg(F.sum("sy").alias("xty"), F.sum("n").alias("n")))
     return pairs, xty
 
 
@@ -115,7 +127,6 @@ def min_norm_solve(g: np.ndarray, b: np.ndarray) -> np.ndarray:
 class FoldStats:
     g: np.ndarray
     xty: np.ndarray
-    syy: float
     n: int
 
 
@@ -134,7 +145,7 @@ class LinearModel:
 
     def coefficients(self, spark: SparkSession) -> DataFrame:
         """(feature, coefficient, abs_coeff) without the intercept."""
-        rows = [(n, float(b), float(abs(b))) for n, b in zip(self.names[1:], self.beta[1:])]
+        rows = [(n.removeprefix(SKILL_KEY), float(b), float(abs(b))) for n, b in zip(self.names[1:], self.beta[1:])]
         return spark.createDataFrame(rows, "feature string, coefficient double, abs_coeff double")
 
     def cv_summary(self) -> dict:
@@ -146,13 +157,12 @@ class LinearModel:
 
 def _collect_stats(pairs: DataFrame, xty: DataFrame, index: dict[str, int], k: int) -> list[FoldStats]:
     d = len(index)
-    stats = [FoldStats(np.zeros((d, d)), np.zeros(d), 0.0, 0) for _ in range(k)]
+    stats = [FoldStats(np.zeros((d, d)), np.zeros(d), 0) for _ in range(k)]
     for f, i, j, g in pairs.collect():
         stats[f].g[index[i], index[j]] = g
-    for f, i, s, syy, n in xty.select("fold", "i", "xty", "syy", "n").collect():
+    for f, i, s, n in xty.select("fold", "i", "xty", "n").collect():
         stats[f].xty[index[i]] = s
         if i == INTERCEPT:
-            stats[f].syy = syy
             stats[f].n = int(n)
     return stats
 
@@ -176,8 +186,10 @@ def fit_least_squares(df: DataFrame, skills_long: DataFrame | None, cat_features
     fold). Wider designs (e.g. one-hot titles) never form feature pairs: the
     normal equations are solved by conjugate gradients from zero, which stays
     in the row space and so reaches the minimum-norm solution; each product
-    X'X v is one distributed pass over the patterns. Each fold is scored on
-    itself from sums: SSE = y'y - 2 b'X'y + b'X'X b.
+    X'X v is one distributed pass over the patterns, and a solve that has not
+    converged raises. Each fold is scored on its patterns: squared deviations
+    within a pattern plus n (mean - prediction)^2, a sum of squares that holds
+    for targets of any size.
     """
     from hirescope.operators.sampling import fold_of
 
@@ -196,30 +208,39 @@ def fit_least_squares(df: DataFrame, skills_long: DataFrame | None, cat_features
 
 
 def _fit_dense(rows: DataFrame, k: int, cat_features: list[str], skills_used: list[str]) -> LinearModel:
-    pairs, xty = gram_sums(rows)
+    pat = cut_lineage(_patterns(rows))
+    pairs, xty = _gram_of(pat)
     names = [r[0] for r in xty.select("i").distinct().orderBy("i").collect()]
     names = [INTERCEPT] + [n for n in names if n != INTERCEPT]
     index = {n: i for i, n in enumerate(names)}
     stats = _collect_stats(pairs, xty, index, k)
     total_g = sum(s.g for s in stats)
     total_b = sum(s.xty for s in stats)
-    n_all = int(sum(t.n for t in stats))
-    folds = []
-    if k > 1:
-        for f, s in enumerate(stats):
-            if s.n == 0:
-                continue
-            beta = min_norm_solve(total_g - s.g, total_b - s.xty)
-            folds.append(_fold_score(f, s.n, n_all, s.syy, s.xty[0], beta @ s.xty, beta @ s.g @ beta))
+    betas = {f: min_norm_solve(total_g - s.g, total_b - s.xty) for f, s in enumerate(stats) if s.n} if k > 1 else {}
     beta = min_norm_solve(total_g, total_b)
-    return LinearModel(names=names, beta=beta, cat_features=cat_features, skills_used=skills_used, folds=folds)
+    return LinearModel(names=names, beta=beta, cat_features=cat_features, skills_used=skills_used,
+                       folds=fold_scores(pat, names, betas))
+
 
+def fold_scores(pat: DataFrame, names: list[str], betas: dict[int, np.ndarray]) -> list[dict]:
+    """Each fold's scores under its own coefficients, from the patterns."""
+    if not betas:
+        return []
+    import pandas as pd
 
-def _fold_score(f: int, n: int, n_all: int, syy: float, sy: float, b_xty: float, b_g_b: float) -> dict:
-    sse = max(syy - 2 * b_xty + b_g_b, 0.0)
-    sst = max(syy - sy * sy / n, 0.0)
-    return {"fold": f, "n_test": int(n), "n_train": int(n_all - n), "sse": float(sse), "sst": float(sst),
-            "r2": float(_r2(sse, sst)), "mse": float(sse / n)}
+    spark = pat.sparkSession
+    coefs = spark.createDataFrame(pd.DataFrame({
+        "fold": np.repeat(np.array(list(betas), np.int32), len(names)), "i": names * len(betas), "b": np.concatenate(list(betas.values()))}))
+    predicted = (pat.select("fold", "feats", F.explode("feats").alias("i"))
+                    .join(broadcast_if_small(coefs, known_rows=len(names) * len(betas)), ["fold", "i"], "left")
+                    .groupBy("fold", "feats").agg(F.sum(F.coalesce("b", F.lit(0.0))).alias("pred")))
+    whole = pat.groupBy("fold").agg((F.sum("sy") / F.sum("n")).alias("mean"))
+    off = lambda c: F.sum(F.col("within") + F.col("n") * F.pow(F.col("ybar") - F.col(c), 2))
+    rows = (pat.join(predicted, ["fold", "feats"]).join(F.broadcast(whole), "fold")  # one row per fold
+               .groupBy("fold").agg(F.sum("n").alias("n"), off("pred").alias("sse"), off("mean").alias("sst")).orderBy("fold").collect())
+    n_all = sum(r["n"] for r in pat.groupBy("fold").agg(F.sum("n").alias("n")).collect())
+    return [{"fold": r["fold"], "n_test": int(r["n"]), "n_train": int(n_all - r["n"]), "sse": r["sse"], "sst": r["sst"],
+             "r2": float(_r2(r["sse"], r["sst"])), "mse": r["sse"] / r["n"]} for r in rows]
 
 
 def _fit_cg(rows: DataFrame, names_df: DataFrame, k: int, cat_features: list[str], skills_used: list[str],
@@ -230,21 +251,15 @@ def _fit_cg(rows: DataFrame, names_df: DataFrame, k: int, cat_features: list[str
     names = [INTERCEPT] + sorted(r[0] for r in names_df.collect() if r[0] != INTERCEPT)  # the coefficient vector's index
     d = len(names)
     idx = spark.createDataFrame(pd.DataFrame({"i": names, "idx": np.arange(d, dtype=np.int64)}))
-    pat = (rows.groupBy("fold", "feats")
-               .agg(F.count(F.lit(1)).alias("w"), F.sum("y").alias("sy"), F.sum(F.col("y") * F.col("y")).alias("syy"))
-               .withColumn("pid", F.monotonically_increasing_id()))
-    nparts = spark.sparkContext.defaultParallelism
-    # Long form (pid, fold, idx, w, sy), hash-partitioned by pattern once and cached.
-    # The cache keeps that partitioning (a checkpoint would not), so in every product
-    # below the group-by and join on pid need no exchange; only the final group-by on
-    # the feature index shuffles. The lineage is short and does not grow with the
-    # iterations, so a lost block is simply recomputed.
-    long = (pat.select("pid", "fold", "w", "sy", F.explode("feats").alias("i"))
+    # Written once: a pattern's number cannot change between its uses.
+    pat = cut_lineage(_patterns(rows).withColumn("pid", F.monotonically_increasing_id()))
+    # Long form (pid, fold, idx, w, sy), hash-partitioned by pattern and cached, so in
+    # every product below the group-by and join on pid need no exchange; only the final
+    # group-by on the feature index shuffles. A lost block is recomputed from ``pat``.
+    long = (pat.select("pid", "fold", F.col("n").alias("w"), "sy", F.explode("feats").alias("i"))
                .join(broadcast_if_small(idx, known_rows=d), "i")
-               .select("pid", "fold", "idx", "w", "sy").repartition(nparts, "pid").persist())
-    fold_tot = {r["fold"]: r for r in pat.groupBy("fold").agg(F.sum("w").alias("n"), F.sum("sy").alias("sy"),
-                                                             F.sum("syy").alias("syy")).collect()}
-    n_all = int(sum(r["n"] for r in fold_tot.values()))
+               .select("pid", "fold", "idx", "w", "sy").repartition("pid").persist())
+    fold_ids = sorted(r[0] for r in pat.select("fold").distinct().collect())
 
     def xty(where) -> np.ndarray:
         src = long if where is None else long.where(where)
@@ -272,7 +287,7 @@ def _fit_cg(rows: DataFrame, names_df: DataFrame, k: int, cat_features: list[str
         stop = (tol * np.sqrt(b @ b)) ** 2
         for _ in range(max_iter):
             if rs <= stop:
-                break
+                return x
             ap = gram_mv(p, where)
             pap = p @ ap
             if pap <= 0:
@@ -283,21 +298,20 @@ def _fit_cg(rows: DataFrame, names_df: DataFrame, k: int, cat_features: list[str
             rs_new = r @ r
             p = r + (rs_new / rs) * p
             rs = rs_new
-        return x
+        if rs <= max(stop, (1e-9 * np.sqrt(b @ b)) ** 2):
+            return x  # rounding stops the descent short of a very small ``tol``
+        raise RuntimeError(f"conjugate gradients did not converge: residual {np.sqrt(rs):.3g} of {np.sqrt(b @ b):.3g}")
 
-    folds = []
-    if k > 1:
-        for f in sorted(fold_tot):
-            ft = fold_tot[f]
+    try:
+        betas = {}
+        for f in fold_ids if k > 1 else []:
             train = F.col("fold") != F.lit(f)
-            test = F.col("fold") == F.lit(f)
-            beta = cg(xty(train), train)
-            b_xty = beta @ xty(test)
-            b_g_b = beta @ gram_mv(beta, test)
-            folds.append(_fold_score(f, int(ft["n"]), n_all, float(ft["syy"]), float(ft["sy"]), b_xty, b_g_b))
-    beta = cg(xty(None), None)
-    long.unpersist()
-    return LinearModel(names=names, beta=beta, cat_features=cat_features, skills_used=skills_used, folds=folds)
+            betas[f] = cg(xty(train), train)
+        beta = cg(xty(None), None)
+    finally:
+        long.unpersist()
+    return LinearModel(names=names, beta=beta, cat_features=cat_features, skills_used=skills_used,
+                       folds=fold_scores(pat, names, betas))
 
 
 def gram_table(df: DataFrame, skills_long: DataFrame | None, cat_features: Sequence[str],
@@ -306,7 +320,8 @@ def gram_table(df: DataFrame, skills_long: DataFrame | None, cat_features: Seque
     """X'X in long form: (feature_i, feature_j, value)."""
     base = with_skill_array(df.select(id_col, target, *cat_features), skills_long, skills_used, id_col)
     pairs, _ = gram_sums(design_rows(base, cat_features, target, id_col))
-    return pairs.select(F.col("i").alias("feature_i"), F.col("j").alias("feature_j"),
+    shown = lambda c: F.ltrim(F.col(c), F.lit(SKILL_KEY))
+    return pairs.select(shown("i").alias("feature_i"), shown("j").alias("feature_j"),
                         F.col("g").cast("double").alias("value"))
 
 
@@ -329,7 +344,7 @@ def predict(model: LinearModel, df: DataFrame, skills_col: str = "skills", out:
                        F.col(c).cast("string") == F.col("__lvl"), "left").drop("__lvl")
         pred = pred + F.coalesce(F.col(tcol), F.lit(0.0))
     if model.skills_used:
-        sk = {s: float(coef[s]) for s in model.skills_used if s in coef}
+        sk = {s: float(coef[SKILL_KEY + s]) for s in model.skills_used if SKILL_KEY + s in coef}
         if sk:
             m = F.create_map(*[x for kv in sk.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
             pred = pred + F.aggregate(F.col(skills_col), F.lit(0.0),
@@ -361,9 +376,8 @@ def regression_metrics(pred: DataFrame, actual: str = "actual", predicted: str =
 
 
 def top_coefficients(coefs: DataFrame, k: int = 10) -> DataFrame:
-    """Top K by |coefficient| (K capped at 50), shown in signed order."""
-    k = int(min(k, 50))
-    return (coefs.orderBy(F.col("abs_coeff").desc(), "feature").limit(k)
+    """Top K by |coefficient|, shown in signed order."""
+    return (coefs.orderBy(F.col("abs_coeff").desc(), "feature").limit(int(k))
                  .orderBy("coefficient", "feature"))
 
 

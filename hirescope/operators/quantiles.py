@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from hirescope.execution import adaptive_cached_plans, broadcast_if_small
+from hirescope.execution import broadcast_if_small, cut_lineage
 
 
 def exact_quantiles(rows: DataFrame, group: str, value: str, qs: Sequence[float],
@@ -37,14 +37,9 @@ def exact_quantiles(rows: DataFrame, group: str, value: str, qs: Sequence[float]
     names = list(names or [f"q{int(round(q * 100))}" for q in qs])
     spread = 4.0
     while True:
-        with adaptive_cached_plans(rows.sparkSession):
-            out, st = _attempt(rows, group, value, qs, names, accuracy, spread / accuracy, list(extra_aggs or []))
-            out = out.persist()
-            out.count()  # one row per group: fill the cache, then the sketch table can go
-        st.unpersist()
-        if out.where(~F.col("__ok")).isEmpty():
+        out = cut_lineage(_attempt(rows, group, value, qs, names, accuracy, spread / accuracy, list(extra_aggs or [])))
+        if out.where(~F.col("__ok")).isEmpty():  # one row per group
             return out.drop("__ok")
-        out.unpersist()
         spread *= 4
         if spread / accuracy >= 1:
             raise RuntimeError("quantile bracket did not converge")
@@ -55,11 +50,10 @@ def _attempt(rows, group, value, qs, names, accuracy, d, extra_aggs) -> DataFram
                 .where(F.col("__v").isNotNull() & ~F.isnan("__v")))
     probes = [max(q - d, 0.0) for q in qs] + [min(q + d, 1.0) for q in qs]
     extra = [e for e in extra_aggs]
-    st = (rows.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
+    st = cut_lineage(rows.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
               .groupBy(F.col(group).alias("__g"))
               .agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(F.col(value).cast("double"), probes, accuracy)
-                   .alias("__a"), *extra)
-              .persist())  # one row per group
+                   .alias("__a"), *extra))  # one row per group
     k = len(qs)
     tq = st.select("__g", "n", F.posexplode(F.array(*[
         F.struct(F.lit(q).alias("q"),
@@ -94,4 +88,4 @@ def _attempt(rows, group, value, qs, names, accuracy, d, extra_aggs) -> DataFram
     extra_names = [c for c in st.columns if c not in ("__g", "n", "__a")]
     out = st.join(wide, "__g", "left").withColumn(
         "__ok", F.coalesce((F.col("okc") == 1) & (F.col("nq") == k), F.lit(False)))
-    return out.select(F.col("__g").alias(group), "n", *names, *extra_names, "__ok"), st
+    return out.select(F.col("__g").alias(group), "n", *names, *extra_names, "__ok")

@@ -1,8 +1,9 @@
 """Lexicon, skill extraction and derived skill tables.
 
-Extraction plan: normalise + tokenise each text (one projection), explode the
-n-grams of only those lengths the lexicon has, inner-join the lexicon (broadcast
-after a row-count check; a shuffle join above the bound), then ``distinct`` on
+Extraction plan: normalise + tokenise each text (one projection), explode its
+windows of tokens, keep those whose first token begins a phrase, inner-join their
+n-grams with the lexicon (broadcast after a row-count check; a shuffle join above
+the bound), then ``distinct`` on
 (posting, phrase). The partial aggregate before that shuffle already removes
 every repeat within a text, because all n-grams of one text come from one task,
 so the shuffle carries only distinct matches.
@@ -14,14 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from hirescope.execution import broadcast_if_small, spread
-from hirescope.functions.text import all_ngrams, candidate_ngrams, norm
+from hirescope.execution import broadcast_if_small, cut_lineage
+from hirescope.functions.text import norm
 from hirescope.functions.text import text_tokens as tokenize
 
 LEXICON_BROADCAST_ROWS = 1_000_000  # phrases of at most a few words
-# Per phrase length, at most this many distinct first words are inlined as an
-# IN-list pre-filter (hash lookup); beyond it every position's n-gram is built.
-FIRST_WORD_FILTER_MAX = 20_000
 
 
 def build_lexicon(raw: DataFrame, min_len: int = 1, max_len: int = 3, column: str | None = None) -> DataFrame:
@@ -50,43 +48,31 @@ def text_tokens(postings: DataFrame, id_col: str = "posting_id", text_col: str =
                            tokenize(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("toks"))
 
 
-def first_words(lexicon: DataFrame, max_per_length: int = FIRST_WORD_FILTER_MAX) -> dict[int, list[str]] | None:
-    """Distinct first words of the phrases per length, or None when any length has too many."""
-    fw = lexicon.select("n_words", F.split("phrase", " ")[0].alias("w")).distinct()
-    counts = {r[0]: r[1] for r in fw.groupBy("n_words").count().collect()}
-    if not counts or max(counts.values()) > max_per_length:
-        return None
-    out: dict[int, list[str]] = {}
-    for n, w in fw.collect():
-        out.setdefault(int(n), []).append(w)
-    return {n: sorted(ws) for n, ws in out.items()}
-
-
 def extract_skills(postings: DataFrame, lexicon: DataFrame, id_col: str = "posting_id",
-                   text_col: str = "description", lengths: list[int] | None = None,
-                   prefilter: bool = True) -> DataFrame:
+                   text_col: str = "description", lengths: list[int] | None = None) -> DataFrame:
     """Distinct (id, skill) for every lexicon phrase found in a text.
 
     Overlapping and nested matches all count; rows sharing an id get the union
-    of their skills (C2 semantics). With ``prefilter`` (and a lexicon whose
-    first words per length are few enough) n-grams are only built at positions
-    whose word starts some phrase of that length; the lexicon join still
-    decides every match, so the result is the same.
+    of their skills (C2 semantics). One plan for every lexicon: each position of a
+    text gives its window of tokens; a semi-join on the first token leaves the
+    positions where a phrase can begin; only there the n-grams are built and joined
+    with the phrases. Both joins broadcast their small side after a count.
     """
-    firsts = first_words(lexicon) if prefilter else None
-    ls = lengths if lengths is not None else (sorted(firsts) if firsts is not None else lexicon_lengths(lexicon))
+    lex = cut_lineage(lexicon.select("phrase", "n_words", F.split("phrase", " ")[0].alias("first")))
+    ls = lengths if lengths is not None else lexicon_lengths(lex)
     if not ls:
-        return postings.sparkSession.createDataFrame([], f"{id_col} long, skill string").select(
-            F.col(id_col).cast(postings.schema[id_col].dataType), "skill")
-    lex = broadcast_if_small(lexicon.select(F.col("phrase").alias("skill")), LEXICON_BROADCAST_ROWS)
-    toks = text_tokens(spread(postings.select(id_col, text_col)), id_col, text_col)
-    if firsts is not None:
-        arrs = [candidate_ngrams("toks", n, firsts.get(n, [])) for n in ls]
-        cand = arrs[0] if len(arrs) == 1 else F.flatten(F.array(*arrs))
-        grams = toks.select(id_col, F.explode(cand).alias("skill"))
-    else:
-        grams = toks.select(id_col, F.explode(all_ngrams("toks", ls)).alias("skill"))
-    return grams.join(lex, "skill").select(id_col, "skill").distinct()
+        return postings.select(id_col, F.lit("").alias("skill")).limit(0)
+    known = lex.count()
+    phrases = broadcast_if_small(lex.select(F.col("phrase").alias("skill")), LEXICON_BROADCAST_ROWS, known)
+    firsts = broadcast_if_small(lex.select("first").distinct(), LEXICON_BROADCAST_ROWS, known)
+    toks = text_tokens(postings.select(id_col, text_col), id_col, text_col)
+    windows = F.when(F.size("toks") == 0, F.array().cast("array<array<string>>")).otherwise(
+        F.transform(F.sequence(F.lit(1), F.size("toks")), lambda i: F.slice("toks", i, F.lit(max(ls)))))
+    begun = (toks.select(id_col, F.explode(windows).alias("w")).withColumn("first", F.col("w")[0])
+                 .join(firsts, "first", "left_semi"))
+    # Words hold no space, so a window too short for a length gives a shorter phrase again.
+    grams = F.array_distinct(F.array(*[F.array_join(F.slice("w", 1, n), " ") for n in ls]))
+    return begun.select(id_col, F.explode(grams).alias("skill")).join(phrases, "skill").select(id_col, "skill").distinct()
 
 
 def skill_flags(postings: DataFrame, skills: DataFrame, id_col: str = "posting_id") -> DataFrame:
@@ -101,10 +87,14 @@ def skill_flags(postings: DataFrame, skills: DataFrame, id_col: str = "posting_i
 
 
 def distinct_descriptions(postings: DataFrame, id_col: str = "posting_id", text_col: str = "description") -> DataFrame:
-    """One row per distinct text (missing = ''), keeping the smallest id."""
-    return (postings.select(id_col, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias(text_col))
-                    .groupBy(text_col).agg(F.min(id_col).alias(id_col))
-                    .select(id_col, text_col))
+    """One row per distinct text (missing = ''), keeping the smallest id.
+
+    Texts are told apart by a 256-bit digest, so whole texts are not sort keys; the
+    text of the smallest id comes with it."""
+    rows = postings.select(id_col, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias(text_col))
+    first = rows.groupBy(F.unhex(F.sha2(text_col, 256)).alias("__digest")).agg(
+        F.min_by(F.struct(id_col, text_col), F.col(id_col)).alias("r"))
+    return first.select(f"r.{id_col}", f"r.{text_col}")
 
 
 def skill_doc_freq(skills: DataFrame, min_df: int = 1) -> DataFrame:
@@ -123,23 +113,21 @@ def skill_postings(skills: DataFrame, id_col: str = "posting_id") -> DataFrame:
 
 
 def skill_wide(postings: DataFrame, skills: DataFrame, id_col: str = "posting_id",
-               max_columns: int = 1000) -> DataFrame:
-    """One 0/1 int column per matched skill (export form), 0 by default.
+               names: list[str] | None = None) -> DataFrame:
+    """One 0/1 int column ``skill_<name>`` per skill (export form), 0 by default.
 
-    The pivot values are the matched skills, bounded by the lexicon; beyond
-    ``max_columns`` a wide table is not a sensible export and we refuse rather
-    than silently dropping skills.
+    The caller may name the skills to show; otherwise every matched skill becomes a
+    column (they are bounded by the lexicon). The long table stays the data model.
     """
-    names = [r[0] for r in skills.select("skill").distinct().orderBy("skill").limit(max_columns + 1).collect()]
-    if len(names) > max_columns:
-        raise ValueError(f"more than {max_columns} distinct skills; use the long table instead")
-    clash = set(names) & set(postings.columns)
+    if names is None:
+        names = [r[0] for r in skills.select("skill").distinct().orderBy("skill").collect()]
+    clash = {f"skill_{n}".lower() for n in names} & {c.lower() for c in postings.columns}
     if clash:
-        raise ValueError(f"skill names clash with posting columns: {sorted(clash)}")
-    wide = (skills.select(id_col, "skill").distinct()
-                  .groupBy(id_col).pivot("skill", names).agg(F.lit(1)))
-    out = postings.join(wide, id_col, "left")
-    return out.select(*postings.columns, *[F.coalesce(F.col(f"`{n}`"), F.lit(0)).cast("int").alias(n) for n in names])
+        raise ValueError(f"export columns clash with posting columns: {sorted(clash)}")
+    held = skills.where(F.col("skill").isin(names)).groupBy(id_col).agg(F.collect_set("skill").alias("__held"))
+    out = postings.join(held, id_col, "left")
+    flag = lambda n: F.coalesce(F.array_contains("__held", F.lit(n)), F.lit(False)).cast("int")
+    return out.select(*postings.columns, *[flag(n).alias(f"skill_{n}") for n in names])
 
 
 def skill_matrix(postings: DataFrame, lexicon_raw: DataFrame, company: str | None = None,

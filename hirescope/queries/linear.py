@@ -12,11 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirescope.operators import linear as LN
+from hirescope.operators.sampling import seeded_sample
 from hirescope.plans import regression as RG
 from hirescope.sources import fixtures as fx
 
 CAT = ["company_name"]
 K = 3
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 
 def _train(spark, sf):
@@ -28,7 +30,7 @@ def _model(spark, sf, k=K):
 
 
 def q_one_hot(spark: SparkSession, sf: str) -> DataFrame:
-    df = LN.one_hot(fx.postings(spark, sf).select("posting_id", "company_name"), "company_name")
+    df = LN.one_hot(fx.postings(spark, sf).select("posting_id", "company_name"), "company_name", SEGMENTS)
     return df.drop("company_name")
 
 
@@ -106,6 +108,19 @@ def q_ols_wide_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return met.select("n", F.bround("r2", 6).alias("r2"), F.bround(F.sqrt("mse"), 2).alias("rmse"))
 
 
+def q_seeded_sample(spark: SparkSession, sf: str) -> DataFrame:
+    return seeded_sample(fx.postings(spark, sf).select("posting_id", "company_name"), 500)
+
+
+def q_scenario_skills(spark: SparkSession, sf: str) -> DataFrame:
+    """What-if with a skill only: the model is intercept + one flag, so the prediction
+    is the mean salary with or without the skill."""
+    p = fx.postings(spark, sf)
+    m = RG.train_regression(p, fx.posting_skills(spark, sf), [], ["SMALL"], k_folds=0)
+    scen = spark.createDataFrame([("with", ["SMALL", "OTHER"]), ("without", [])], "scenario string, skills array<string>")
+    return LN.predict(m, LN.scenario_vectors(scen)).select("scenario", F.bround("predicted", 2).alias("predicted"))
+
+
 def q_ols_multi_fit(spark: SparkSession, sf: str) -> DataFrame:
     """Company + location + two skills, 3-fold CV: fold scores (checked against numpy in tests)."""
     m = RG.train_regression(fx.postings(spark, sf), fx.posting_skills(spark, sf),
@@ -122,7 +137,7 @@ m AS (SELECT company_name, avg(y) AS m FROM tr GROUP BY company_name),
 b0 AS (SELECT sum(m) / (count(*) + 1) AS b0 FROM m),
 pred AS (SELECT tr.posting_id, tr.y AS actual, m.m AS predicted FROM tr JOIN m USING (company_name))"""
 
-FOLDS = f"""ft AS (SELECT *, ((posting_id + 42) * 48271) % 2147483647 % {K} AS fold FROM tr),
+FOLDS = f"""ft AS (SELECT *, ('0x' || substr(md5('42:' || posting_id), 1, 8))::BIGINT % {K} AS fold FROM tr),
 fm AS (SELECT f.fold, t.company_name, avg(t.y) AS m FROM (SELECT DISTINCT fold FROM ft) f
        JOIN ft t ON t.fold <> f.fold GROUP BY f.fold, t.company_name),
 fb AS (SELECT fold, sum(m) / (count(*) + 1) AS b0 FROM fm GROUP BY fold),
@@ -131,11 +146,8 @@ fp AS (SELECT t.fold, t.y, coalesce(fm.m, fb.b0) AS p FROM ft t JOIN fb ON fb.fo
 fs AS (SELECT fold, count(*) AS n_test, sum((y - p) * (y - p)) AS sse, var_pop(y) * count(*) AS sst FROM fp GROUP BY fold)"""
 
 SQL = {
-    "one_hot": fx.with_views("""
-SELECT posting_id, COLUMNS(* EXCLUDE (posting_id))::INTEGER FROM (
-  PIVOT (SELECT posting_id, 'company_name_' || company_name AS f FROM P WHERE company_name IS NOT NULL)
-  ON f USING count(*) GROUP BY posting_id)
-UNION ALL BY NAME SELECT posting_id FROM P WHERE company_name IS NULL""", "P"),
+    "one_hot": fx.with_views("SELECT posting_id, " + ", ".join(
+        f"CAST(coalesce(company_name = '{v}', false) AS INTEGER) AS \"company_name_{v}\"" for v in SEGMENTS) + " FROM P", "P"),
     "gram_matrix": fx.with_views("""
 SELECT '__intercept__' AS feature_i, '__intercept__' AS feature_j, CAST(count(*) AS DOUBLE) AS value FROM tr
 UNION ALL SELECT '__intercept__', 'company_name_' || company_name, CAST(count(*) AS DOUBLE) FROM tr GROUP BY company_name
@@ -163,7 +175,7 @@ SELECT round_even(avg(r2), 6) AS r2, round_even(stddev_pop(r2), 6) AS r2_std,
 FROM (SELECT CASE WHEN sst = 0 THEN (CASE WHEN sse = 0 THEN 1.0 ELSE 0.0 END) ELSE 1 - sse / sst END AS r2,
              sse / n_test AS mse FROM fs)""", "P", extra=TRAIN + ",\n" + FOLDS),
     "kfold_assign": fx.with_views(
-        f"SELECT posting_id, CAST(((posting_id + 42) * 48271) % 2147483647 % {K} AS INTEGER) AS fold FROM tr",
+        f"SELECT posting_id, CAST(('0x' || substr(md5('42:' || posting_id), 1, 8))::BIGINT % {K} AS INTEGER) AS fold FROM tr",
         "P", extra=TRAIN),
     "scenario_predict": fx.with_views("""
 SELECT s.company_name, round_even(coalesce(m.m, b0.b0), 2) AS predicted
@@ -180,6 +192,12 @@ FROM (SELECT y, avg(y) OVER (PARTITION BY title) AS m FROM (
         SELECT title, normalized_salary AS y FROM P
         WHERE company_name IS NOT NULL AND location IS NOT NULL AND title IS NOT NULL
           AND normalized_salary IS NOT NULL))""", "P"),
+    "seeded_sample": fx.with_views(
+        "SELECT posting_id, company_name FROM P ORDER BY md5('42:' || posting_id), posting_id LIMIT 500", "P"),
+    "scenario_skills": fx.with_views("""
+SELECT CASE WHEN held THEN 'with' ELSE 'without' END AS scenario, round_even(avg(y), 2) AS predicted
+FROM (SELECT tr.y, EXISTS (SELECT 1 FROM S WHERE S.posting_id = tr.posting_id AND S.skill = 'SMALL') AS held FROM tr)
+GROUP BY held""", "P", "S", extra=TRAIN),
     "parity_range": fx.with_views("""
 SELECT round_even(least(min(actual), min(predicted)), 2) AS min_val,
        round_even(greatest(max(actual), max(predicted)), 2) AS max_val FROM pred""", "P", extra=TRAIN),
@@ -199,4 +217,6 @@ QUERIES = {
     "parity_range": (q_parity_range, SQL["parity_range"]),
     "ols_wide_metrics": (q_ols_wide_metrics, SQL["ols_wide_metrics"]),
     "ols_multi_fit": (q_ols_multi_fit, None),
+    "seeded_sample": (q_seeded_sample, SQL["seeded_sample"]),
+    "scenario_skills": (q_scenario_skills, SQL["scenario_skills"]),
 }

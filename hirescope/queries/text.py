@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirescope.execution import spread
 from hirescope.functions.text import all_ngrams, norm
 from hirescope.operators import skills as SK
 from hirescope.sources import fixtures as fx
 
 MAX_LEN = 4
+WIDE = ["PROMO", "SMALL", "STANDARD"]
 
 
 def _docs(spark, sf):
@@ -31,12 +31,11 @@ def q_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_ngram_counts(spark: SparkSession, sf: str) -> DataFrame:
-    t = SK.text_tokens(spread(_docs(spark, sf)))
-    per_n = F.array(*[F.struct(F.lit(n).alias("n"), all_ngrams("toks", [n]).alias("g")) for n in range(1, MAX_LEN + 1)])
-    g = t.select("posting_id", F.explode(per_n).alias("x")).select("posting_id", "x.n", F.explode_outer("x.g").alias("g"))
-    return (g.groupBy("posting_id", "n")
-             .agg(F.count("g").alias("n_grams"), F.count_distinct("g").alias("n_distinct"))
-             .select("posting_id", F.col("n").cast("bigint").alias("n"), "n_grams", "n_distinct"))
+    t = SK.text_tokens(_docs(spark, sf))
+    per_n = F.array(*[F.struct(F.lit(n).cast("bigint").alias("n"), all_ngrams("toks", [n]).alias("g")) for n in range(1, MAX_LEN + 1)])
+    g = t.select("posting_id", F.explode(per_n).alias("x"))
+    return g.select("posting_id", "x.n", F.size("x.g").cast("bigint").alias("n_grams"),
+                    F.size(F.array_distinct("x.g")).cast("bigint").alias("n_distinct"))
 
 
 def q_lexicon_build(spark: SparkSession, sf: str) -> DataFrame:
@@ -62,7 +61,14 @@ def q_skill_postings(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_skill_wide(spark: SparkSession, sf: str) -> DataFrame:
     p = fx.postings(spark, sf).select("posting_id", "company_name")
-    return SK.skill_wide(p, fx.posting_skills(spark, sf))
+    return SK.skill_wide(p, fx.posting_skills(spark, sf), names=WIDE)
+
+
+def q_skill_flags_by_id(spark: SparkSession, sf: str) -> DataFrame:
+    """C2 with repeated posting ids: every row of an id gets the id's skills."""
+    p = fx.postings(spark, sf).select("posting_id", "company_name")
+    flags = SK.skill_flags(p.unionByName(p.where("posting_id % 10 = 0")), fx.posting_skills(spark, sf))
+    return flags.select("posting_id", "company_name", F.array_join("skills", ", ").alias("skills"))
 
 
 def q_skill_matrix(spark: SparkSession, sf: str) -> DataFrame:
@@ -122,10 +128,12 @@ SQL = {
     "distinct_descriptions": fx.with_views("SELECT posting_id, description FROM ddesc", "D", extra=DDESC),
     "skill_postings": fx.with_views("SELECT skill, posting_id FROM found", "D", "L",
                                     extra=lex_cte() + ",\n" + extract_cte()),
-    "skill_wide": fx.with_views("""
-SELECT p.posting_id, p.company_name, COALESCE(COLUMNS(w.* EXCLUDE (posting_id)), 0)::INTEGER
-FROM P p LEFT JOIN (PIVOT (SELECT DISTINCT posting_id, skill FROM S) ON skill USING count(*) GROUP BY posting_id) w
-  ON w.posting_id = p.posting_id""", "P", "S"),
+    "skill_wide": fx.with_views("SELECT p.posting_id, p.company_name, " + ", ".join(
+        f"CAST(EXISTS (SELECT 1 FROM S WHERE S.posting_id = p.posting_id AND S.skill = '{v}') AS INTEGER) AS \"skill_{v}\"" for v in WIDE) + " FROM P p", "P", "S"),
+    "skill_flags_by_id": fx.with_views("""
+SELECT p.posting_id, p.company_name, coalesce(s.skills, '') AS skills
+FROM (SELECT * FROM P UNION ALL SELECT * FROM P WHERE posting_id % 10 = 0) p
+LEFT JOIN (SELECT posting_id, string_agg(skill, ', ' ORDER BY skill) AS skills FROM S GROUP BY posting_id) s USING (posting_id)""", "P", "S"),
     "skill_matrix": fx.with_views("""
 SELECT f.posting_id, f.skill, CAST(v.col AS BIGINT) AS col
 FROM found f JOIN (SELECT skill, row_number() OVER (ORDER BY skill) - 1 AS col
@@ -143,5 +151,6 @@ QUERIES = {
     "distinct_descriptions": (q_distinct_descriptions, SQL["distinct_descriptions"]),
     "skill_postings": (q_skill_postings, SQL["skill_postings"]),
     "skill_wide": (q_skill_wide, SQL["skill_wide"]),
+    "skill_flags_by_id": (q_skill_flags_by_id, SQL["skill_flags_by_id"]),
     "skill_matrix": (q_skill_matrix, SQL["skill_matrix"]),
 }

@@ -7,6 +7,7 @@ posting table at scale must not be read twice to guess types.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Posting columns the library understands; others in a file are read as strings.
@@ -27,6 +28,9 @@ POSTING_FIELDS = [
 _KNOWN = dict(POSTING_FIELDS)
 
 
+REJECT = "_rejected_line"
+
+
 def _csv_reader(spark: SparkSession):
     return (spark.read.option("header", True).option("multiLine", True)
             .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE"))
@@ -37,15 +41,40 @@ def posting_schema(header: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, _KNOWN.get(c, T.StringType()), True) for c in header])
 
 
-def read_postings_csv(spark: SparkSession, path: str, header: list[str] | None = None) -> DataFrame:
-    """A1: postings CSV with header; descriptions may span lines.
+def _files_by_header(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The files below ``path``, grouped by their header line (one short read each)."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for f in sorted(_csv_reader(spark).schema("c string").csv(path).inputFiles()):
+        groups.setdefault(tuple(_csv_reader(spark).option("inferSchema", False).csv(f).columns), []).append(f)
+    return groups
+
 
-    Pass ``header`` (the column names in file order) to avoid even the header
-    probe; otherwise only the first line is read to learn the names.
+def read_postings_checked(spark: SparkSession, path: str, header: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """A1: (postings, rejects) of a CSV file or folder; descriptions may span lines.
+
+    Columns are matched by name: files whose headers differ in order or set are read
+    by their own header and united, missing columns being null. With ``header`` all
+    files are taken to have that one. A row with a value that does not fit its type
+    (or too many values) is not guessed at: it goes to the rejects, as its raw line.
+    A multi-line CSV file is read by one task; convert large files to Parquet first.
     """
-    if header is None:
-        header = _csv_reader(spark).csv(path).columns
-    return _csv_reader(spark).schema(posting_schema(header)).csv(path)
+    groups = {tuple(header): [path]} if header is not None else _files_by_header(spark, path)
+    out = None
+    for names, files in groups.items():
+        schema = T.StructType([*posting_schema(list(names)).fields, T.StructField(REJECT, T.StringType())])
+        df = _csv_reader(spark).option("columnNameOfCorruptRecord", REJECT).schema(schema).csv(files)
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    good = out.where(F.col(REJECT).isNull()).drop(REJECT)
+    return good, out.where(F.col(REJECT).isNotNull())
+
+
+def read_postings_csv(spark: SparkSession, path: str, header: list[str] | None = None) -> DataFrame:
+    """A1, strict: as ``read_postings_checked``, but a rejected row fails the read."""
+    good, bad = read_postings_checked(spark, path, header)
+    n = len(bad.take(1))
+    if n:
+        raise ValueError(f"{path} has rows that do not fit the schema; see read_postings_checked")
+    return good
 
 
 def read_lexicon_csv(spark: SparkSession, path: str) -> DataFrame:
