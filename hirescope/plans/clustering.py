@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hirescope.execution import broadcast_if_small
 from hirescope.operators import cluster as CL
 
 
@@ -52,6 +53,16 @@ def cluster_map(labels: DataFrame, id_col: str = "id") -> DataFrame:
     return labels.select(id_col, *[F.get(s, i).alias(f"pc{i + 1}") for i in range(3)], "cluster")
 
 
+def cluster_map_profiles(labels: DataFrame, postings: DataFrame, skills: DataFrame, id_col: str = "id",
+                         label: str = "cluster") -> DataFrame:
+    """J14 in full: the map's points with each posting's profile text, and the centroid
+    of its cluster in the first three scores (``centre1`` to ``centre3``)."""
+    points = cluster_map(labels, id_col)
+    centres = points.groupBy(label).agg(*[F.avg(f"pc{i}").alias(f"centre{i}") for i in (1, 2, 3)])  # one row per cluster
+    profiles = CL.posting_profile(postings, skills, id_col)
+    return points.join(broadcast_if_small(centres), label).join(profiles, id_col, "left")
+
+
 def k_sweep(df: DataFrame, ks: Sequence[int] = (3, 5, 7), n_components: int = 3, col: str = "x",
             id_col: str = "id", metric: str = "euclidean") -> list[tuple]:
     """One score row per k (scores on the raw features, clusters in PCA space)."""

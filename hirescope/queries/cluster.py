@@ -44,7 +44,8 @@ def q_kmeans_update(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_kmeans_fit(spark: SparkSession, sf: str) -> DataFrame:
-    r = CL.kmeans(_e(spark, sf), K, COL, ID, "euclidean")
+    """Lloyd to the end from the first K rows."""
+    r = CL.kmeans(_e(spark, sf), K, COL, ID, "euclidean", init=_start(spark, sf))
     return r.labels.select(ID, "cluster")
 
 
@@ -148,6 +149,16 @@ def q_cluster_skill_labels(spark: SparkSession, sf: str) -> DataFrame:
     return CL.cluster_skill_labels(p, fx.posting_skills(spark, sf), 3, "cluster")
 
 
+def q_cluster_map(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores, label, profile text and the distance to the cluster's centroid, for
+    postings placed by salary and day, clustered by work type."""
+    p = fx.postings(spark, sf)
+    points = p.select("posting_id", F.array(F.col("normalized_salary"), (F.col("posting_id") % 100).cast("double")).alias("scores"),
+                      F.substring("work_type", 1, 1).cast("int").alias("cluster"))
+    shown = CP.cluster_map_profiles(points, p, fx.posting_skills(spark, sf), id_col="posting_id")
+    return shown.select("posting_id", "cluster", *[F.bround(c, 2).alias(c) for c in ("pc1", "pc2", "centre1", "centre2")], "pc3", "profile")
+
+
 def q_posting_profile(spark: SparkSession, sf: str) -> DataFrame:
     return CL.posting_profile(fx.postings(spark, sf), fx.posting_skills(spark, sf))
 
@@ -214,7 +225,46 @@ szc AS (SELECT label, count(*) AS n FROM E GROUP BY label),
 btw AS (SELECT sum(szc.n * (lm.m - gm.m) * (lm.m - gm.m)) AS b FROM lm JOIN gm USING (dim) JOIN szc USING (label)),
 wth AS (SELECT sum(dist * dist) AS w FROM dd)"""
 
+def _lloyd_sql(steps: int) -> str:
+    """Lloyd's iterations unrolled: assignment a<i> to centres c<i>, means c<i+1>."""
+    parts = ["c0 AS MATERIALIZED (SELECT cluster, c FROM cen)"]
+    for i in range(steps + 1):
+        parts.append(f"""a{i} AS MATERIALIZED (SELECT vec_id, cluster FROM (
+  SELECT e.vec_id, c.cluster, row_number() OVER (PARTITION BY e.vec_id ORDER BY {_dist('e.embedding', 'c.c', 'euclidean')}, c.cluster) AS rk
+  FROM E e CROSS JOIN c{i} c) WHERE rk = 1)""")
+        if i < steps:
+            parts.append(f"""c{i + 1} AS MATERIALIZED (
+  SELECT c.cluster, coalesce(m.c, c.c) AS c FROM c{i} c LEFT JOIN (
+    SELECT cluster, list(v ORDER BY dim) AS c FROM (
+      SELECT a.cluster, el.dim, avg(el.v) AS v FROM a{i} a JOIN el ON el.vec_id = a.vec_id GROUP BY ALL) GROUP BY cluster) m
+  ON m.cluster = c.cluster)""")
+    return fx.with_views(f"SELECT vec_id, cluster FROM a{steps}", "E", extra=CENTRES + ",\n" + LONG_E + ",\n" + ",\n".join(parts))
+
+
+# The two-sided p value: the density of t integrated by the midpoint rule over the
+# angle u with tan(u) = x / sqrt(df), from the observed t on.
+TTEST_P = """raw AS (SELECT CAST(cluster AS INTEGER) AS cluster, (m1 - m2) / sqrt(v1 / n1 + v2 / n2) AS t,
+    pow(v1 / n1 + v2 / n2, 2) / (pow(v1 / n1, 2) / (n1 - 1) + pow(v2 / n2, 2) / (n2 - 1)) AS df
+  FROM tt WHERE n1 >= 2 AND n2 >= 2),
+arc AS (SELECT *, atan(abs(t) / sqrt(df)) AS low FROM raw),
+wide AS (SELECT *, least(pi() / 2, low + 40 / sqrt(df)) - low AS span FROM arc),
+pv AS (SELECT cluster, 2 * exp(lgamma((df + 1) / 2) - lgamma(df / 2)) / sqrt(pi()) *
+         sum(pow(cos(low + span * (i + 0.5) / 20000), df - 1)) * span / 20000 AS p
+  FROM wide CROSS JOIN range(20000) r(i) GROUP BY cluster, t, df, low, span)"""
+
 SQL = {
+    "compactness_ttest_p": fx.with_views(
+        "SELECT tres.*, round_even(pv.p, 6) AS p_value FROM tres LEFT JOIN pv USING (cluster)", "E",
+        extra=LONG_E + ",\n" + OWN + ",\n" + TTEST + ",\n" + TTEST_P),
+    "kmeans_fit": _lloyd_sql(45),
+    "cluster_map": fx.with_views("""
+SELECT posting_id, cluster, round_even(pc1, 2) AS pc1, round_even(pc2, 2) AS pc2,
+       round_even(avg(pc1) OVER w, 2) AS centre1, round_even(avg(pc2) OVER w, 2) AS centre2, CAST(NULL AS DOUBLE) AS pc3,
+       'Company: ' || coalesce(company_name, 'nan') || ' | Title: ' || coalesce(title, 'nan') ||
+       ' | Top Skills: ' || coalesce(array_to_string(s.s[1:5], ', '), '') AS profile
+FROM (SELECT *, normalized_salary AS pc1, CAST(posting_id % 100 AS DOUBLE) AS pc2, CAST(work_type[1] AS INTEGER) AS cluster FROM P) p
+LEFT JOIN (SELECT posting_id, list_sort(list(DISTINCT skill)) AS s FROM S GROUP BY posting_id) s USING (posting_id)
+WINDOW w AS (PARTITION BY cluster)""", "P", "S"),
     "kmeans_assign_euclidean": _assign_sql("euclidean"),
     "kmeans_assign_manhattan": _assign_sql("manhattan"),
     "kmeans_assign_minkowski": _assign_sql("minkowski"),
@@ -285,7 +335,8 @@ QUERIES = {
     "kmeans_assign_manhattan": (_assign("manhattan"), SQL["kmeans_assign_manhattan"]),
     "kmeans_assign_minkowski": (_assign("minkowski"), SQL["kmeans_assign_minkowski"]),
     "kmeans_update": (q_kmeans_update, SQL["kmeans_update"]),
-    "kmeans_fit": (q_kmeans_fit, None),
+    "kmeans_fit": (q_kmeans_fit, SQL["kmeans_fit"]),
+    "cluster_map": (q_cluster_map, SQL["cluster_map"]),
     "cluster_fit": (q_cluster_fit, None),
     "skill_cluster_fit": (q_skill_cluster_fit, None),
     "pca_scores": (q_pca_scores, None),
@@ -300,7 +351,7 @@ QUERIES = {
     "embedding_covariance": (q_embedding_covariance, SQL["embedding_covariance"]),
     "cluster_sizes": (q_cluster_sizes, SQL["cluster_sizes"]),
     "compactness_ttest": (q_compactness_ttest, SQL["compactness_ttest"]),
-    "compactness_ttest_p": (q_compactness_ttest_p, None),
+    "compactness_ttest_p": (q_compactness_ttest_p, SQL["compactness_ttest_p"]),
     "compactness_long": (q_compactness_long, SQL["compactness_long"]),
     "cluster_salary": (q_cluster_salary, SQL["cluster_salary"]),
     "cluster_skill_labels": (q_cluster_skill_labels, SQL["cluster_skill_labels"]),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,9 +12,10 @@ from hirescope.functions.salary import PAY_PERIOD_FACTORS, epoch_ms_to_timestamp
 from hirescope.operators import explore as X
 from hirescope.operators import filters as FL
 from hirescope.plans.market import market_view
-from hirescope.plans.prepare import prepare, with_skill_list
+from hirescope.plans.prepare import prepare, with_skill_list, write_prepared
 from hirescope.queries.text import extract_cte, lex_cte
 from hirescope.sources import fixtures as fx
+from hirescope.session import ensure_checkpoint_dir
 from hirescope.sources.tables import load_table
 
 IN_FILTERS = {"work_type": ["1-URGENT", "2-HIGH"], "formatted_experience_level": ["F", "P"], "company_name": []}
@@ -84,7 +87,14 @@ def _prepare_input(spark, sf):
 
 
 def q_prepare_batch(spark: SparkSession, sf: str) -> DataFrame:
-    clean, skills = prepare(_prepare_input(spark, sf), fx.raw_lexicon(spark, sf), negative="zero_row", max_len=4)
+    """J33 end to end: an aliased key, epoch-ms times, negative salaries, extraction, and
+    both tables written by the parquet sink and read back."""
+    given = _prepare_input(spark, sf).withColumnRenamed("posting_id", "job_id").withColumn(
+        "listed_time", F.col("job_id") * F.lit(3_600_000.0))
+    clean, skills = prepare(given, fx.raw_lexicon(spark, sf), negative="zero_row", max_len=4)
+    out = f"{ensure_checkpoint_dir(spark)}/prepared-{uuid.uuid4().hex}"
+    write_prepared(clean, skills, out)
+    clean, skills = (spark.read.parquet(f"{out}/{name}") for name in ("postings", "posting_skill"))
     return with_skill_list(clean, skills)
 
 
@@ -154,7 +164,8 @@ cleanp AS (SELECT CASE WHEN normalized_salary < 0 THEN 0 ELSE posting_id END AS
                   CASE WHEN normalized_salary < 0 THEN '0' ELSE company_name END AS company_name,
                   CASE WHEN normalized_salary < 0 THEN '0' ELSE work_type END AS work_type,
                   CASE WHEN normalized_salary < 0 THEN '0' ELSE description END AS description,
-                  CASE WHEN normalized_salary < 0 THEN 0.0 ELSE normalized_salary END AS normalized_salary
+                  CASE WHEN normalized_salary < 0 THEN 0.0 ELSE normalized_salary END AS normalized_salary,
+                  TIMESTAMP '1970-01-01' + to_hours(CASE WHEN normalized_salary < 0 THEN 0 ELSE posting_id END) AS listed_time
            FROM base),
 """ + lex_cte(4) + ",\n" + extract_cte("cleanp", 4) + """,
 per AS (SELECT posting_id, list_sort(list(DISTINCT skill)) AS s FROM found GROUP BY posting_id)"""),
