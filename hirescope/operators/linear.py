@@ -133,19 +133,24 @@ class FoldStats:
 @dataclass
 class LinearModel:
     """The refit model, plus cross-validation results."""
-    names: list[str]                 # feature names, index 0 is the intercept
+    keys: list[str]                  # internal feature names, index 0 is the intercept
     beta: np.ndarray
     cat_features: list[str]
     skills_used: list[str]
     folds: list[dict] = field(default_factory=list)
 
+    @property
+    def names(self) -> list[str]:
+        """Feature names as shown, in the order of ``beta``."""
+        return [k.removeprefix(SKILL_KEY) for k in self.keys]
+
     @property
     def intercept(self) -> float:
         return float(self.beta[0])
 
     def coefficients(self, spark: SparkSession) -> DataFrame:
         """(feature, coefficient, abs_coeff) without the intercept."""
-        rows = [(n.removeprefix(SKILL_KEY), float(b), float(abs(b))) for n, b in zip(self.names[1:], self.beta[1:])]
+        rows = [(n, float(b), float(abs(b))) for n, b in zip(self.names[1:], self.beta[1:])]
         return spark.createDataFrame(rows, "feature string, coefficient double, abs_coeff double")
 
     def cv_summary(self) -> dict:
@@ -218,7 +223,7 @@ def _fit_dense(rows: DataFrame, k: int, cat_features: list[str], skills_used: li
     total_b = sum(s.xty for s in stats)
     betas = {f: min_norm_solve(total_g - s.g, total_b - s.xty) for f, s in enumerate(stats) if s.n} if k > 1 else {}
     beta = min_norm_solve(total_g, total_b)
-    return LinearModel(names=names, beta=beta, cat_features=cat_features, skills_used=skills_used,
+    return LinearModel(keys=names, beta=beta, cat_features=cat_features, skills_used=skills_used,
                        folds=fold_scores(pat, names, betas))
 
 
@@ -310,7 +315,7 @@ def _fit_cg(rows: DataFrame, names_df: DataFrame, k: int, cat_features: list[str
         beta = cg(xty(None), None)
     finally:
         long.unpersist()
-    return LinearModel(names=names, beta=beta, cat_features=cat_features, skills_used=skills_used,
+    return LinearModel(keys=names, beta=beta, cat_features=cat_features, skills_used=skills_used,
                        folds=fold_scores(pat, names, betas))
 
 
@@ -332,7 +337,7 @@ def predict(model: LinearModel, df: DataFrame, skills_col: str = "skills", out:
     -> 0), so predicting keeps the partitioning of ``df`` (no shuffle).
     """
     spark = df.sparkSession
-    coef = dict(zip(model.names, model.beta))
+    coef = dict(zip(model.keys, model.beta))
     pred = F.lit(float(model.beta[0]))
     res = df
     for c in model.cat_features:

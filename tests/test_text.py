@@ -51,4 +51,4 @@ def test_skill_wide_zero_default(spark):
     p = spark.createDataFrame([(1, "a"), (2, "b")], "posting_id long, title string")
     s = spark.createDataFrame([(1, "python"), (1, "sql")], "posting_id long, skill string")
     rows = {r.posting_id: r for r in skill_wide(p, s).collect()}
-    assert rows[1].python == 1 and rows[1].sql == 1 and rows[2].python == 0 and rows[2].sql == 0
+    assert rows[1].skill_python == 1 and rows[1].skill_sql == 1 and rows[2].skill_python == 0 and rows[2].skill_sql == 0
