@@ -77,15 +77,3 @@ def sq_distance(x: Column, c: Column) -> Column:
 
 def dot(x: Column, c: Column) -> Column:
     return _sum(F.zip_with(x, c, lambda a, b: a * b))
-
-
-def nearest(x: Column, centres: Sequence[Sequence[float]], metric: str = "euclidean", p: float = 3.0) -> Column:
-    """Index of the nearest centre; a tie goes to the lower index.
-
-    One higher-order function over the literal k x d centre matrix: the
-    distances array is built once per point and ``array_position`` of its
-    minimum is the first (lowest) index that attains it.
-    """
-    cen = lit_mat(centres)
-    d = F.transform(cen, lambda c: distance(x, c, metric, p))
-    return (F.array_position(d, F.array_min(d)) - 1).cast("int")

@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from hirescope.functions.vectors import block, block_distances, distance, dot, lit_mat, lit_vec, nearest, sq_distance
+from hirescope.functions.vectors import block, block_distances, distance, dot, lit_mat, lit_vec, sq_distance
+from hirescope.operators.filters import positive_salary
 from hirescope.operators.quantiles import exact_quantiles
 from hirescope.operators.sampling import seeded_sample
 
@@ -417,7 +418,7 @@ def distances_to_own_centre(labels: DataFrame, centres: np.ndarray | None = None
 
 def cluster_salary(labels: DataFrame, label: str = "cluster", salary: str = "normalized_salary") -> DataFrame:
     """B10 + D13 + F4: mean, median, min, max, size (2 decimals) and error bars."""
-    pos = labels.where(F.col(salary) > 0)
+    pos = positive_salary(labels, salary)
     agg = exact_quantiles(pos, label, salary, (0.5,), names=("median",),
                           extra_aggs=[F.avg(salary).alias("mean"), F.min(salary).alias("min"),
                                       F.max(salary).alias("max")]).withColumnRenamed("n", "size")
