@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirescope.session import ensure_checkpoint_dir
+from hirescope.execution import cut_lineage
 
 # The word separator of all contracts: space and U+0009..U+000D.
 SPACE_CHARS = " \t\n\x0b\f\r"
@@ -18,14 +16,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stash(df: DataFrame) -> DataFrame:
-    """Cut the lineage: write ``df`` once, as Parquet, below the shared folder
-    named by ``spark.checkpoint.dir``, and read it back. A lost executor then
-    costs a re-read of files that every node can reach, not a recomputation."""
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+# Cut the lineage: a table written once into the shared folder, and read back.
+stash = cut_lineage
 
 
 def fresh(df: DataFrame, base: str) -> str:

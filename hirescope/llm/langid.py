@@ -18,13 +18,14 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hirescope.execution import broadcast_if_small
 from hirescope.llm.common import held_out
 
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -63,7 +64,7 @@ def fit_lang_model(labelled: DataFrame, docs_per_lang: int = 2000, vocab: int =
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     sizes = rows.groupBy("lang").agg(F.count("*").alias("_rows"))
     u = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed)), F.lit(1 << 20)) / float(1 << 20)
-    sample = rows.join(sizes, "lang").where(u * F.col("_rows") < docs_per_lang).select("lang", "text")
+    sample = rows.join(broadcast_if_small(sizes), "lang").where(u * F.col("_rows") < docs_per_lang).select("lang", "text")
     counts = sample.mapInArrow(_count_batches, "lang string, kind int, gram string, n long").groupBy("lang", "kind", "gram").agg(
         F.sum("n").alias("n"))
     by = Window.partitionBy("lang", "kind")
@@ -86,48 +87,93 @@ def fit_lang_model(labelled: DataFrame, docs_per_lang: int = 2000, vocab: int =
     return {"langs": langs, "tables": tables}
 
 
+GAP = ""           # stands between texts; no word is empty
+UNIT = 40_000      # words handled at once
+
+
+def units(texts: list[str | None], gap: int = 1) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+    """The words of many texts in a row, ``gap`` gap marks after each text, as units
+    of about ``UNIT`` words; where a text starts in the unit, and its number. Longer
+    texts come in pieces that share ``gap - 1`` words, so that no window is lost."""
+    flat, starts, owners = [], [], []
+    for i, text in enumerate(texts):
+        words = LETTERS.findall(text.lower()) if text else []
+        for s in range(0, max(1, len(words)), UNIT):
+            starts.append(len(flat))
+            owners.append(i)
+            flat += words[s:s + UNIT + gap - 1]
+            flat += [GAP] * gap
+            if len(flat) >= UNIT:
+                yield flat, np.array(starts), np.array(owners)
+                flat, starts, owners = [], [], []
+    if starts:
+        yield flat, np.array(starts), np.array(owners)
+
+
+class WordTable:
+    """Vectors of words, computed once per distinct word and kept for reuse in a table
+    of ``room`` columns at most, which starts anew when it is full."""
+
+    def __init__(self, width: int, vectors: Callable[[list[str]], np.ndarray], room: int = 300_000):
+        self.vectors, self.memo, self.table = vectors, {}, np.zeros((width, room), np.float32)
+
+    def take(self, words: list[str]) -> np.ndarray:
+        """A column per word; far fewer words than ``room``."""
+        memo = self.memo
+        new = list(set(words).difference(memo))
+        if len(memo) + len(new) > self.table.shape[1]:
+            memo.clear()
+            new = list(set(words))
+        if new:
+            first = len(memo)
+            self.table[:, first:first + len(new)] = self.vectors(new)
+            memo.update(zip(new, range(first, first + len(new)), strict=True))
+        return self.table.take(np.fromiter(map(memo.__getitem__, words), np.int64, len(words)), axis=1)
+
+
 class LangScorer:
-    """Scores texts with a model. Vectors of unseen words are kept for reuse in a
-    table of ``room`` rows at most, which starts anew when it is full."""
+    """Scores words and texts with a model."""
 
-    def __init__(self, model: dict, room: int = 200_000):
+    def __init__(self, model: dict):
         self.langs = model["langs"]
         (words, vectors), *grams = model["tables"]
-        self.known = {w: i for i, w in enumerate(words)}
-        self.grams = {k: v for keys, rows in grams for k, v in zip(keys, rows, strict=True)}
-        self.rows = np.zeros((len(words) + room, len(self.langs)), np.float32)
-        self.rows[:len(words)] = vectors
-        self.memo = dict(self.known)
-
-    def _backoff(self, word: str) -> np.ndarray:
-        padded, total = f"_{word}_", np.zeros(len(self.langs), np.float32)
+        # Rows of all vectors, a row of zeros first; words and n-grams map to rows.
+        self.rows = np.concatenate([np.zeros((1, len(self.langs)), np.float32), vectors, *[v for _, v in grams]])
+        self.words = {w: i for i, w in enumerate(words, 1)}
+        self.grams = {g: i for i, g in enumerate((g for keys, _ in grams for g in keys), len(words) + 1)}
+        self.seen = WordTable(len(self.langs), self.vectors) if self.langs else None
+
+    def _backoff(self, word: str) -> list[int]:
+        """Rows of the longest n-gram known at each place of the word."""
+        padded, get, out = f"_{word}_", self.grams.get, [0]
         for i in range(len(padded)):
             for n in ORDERS:
-                if i + n <= len(padded) and (v := self.grams.get(padded[i:i + n])) is not None:
-                    total += v
+                row = get(padded[i:i + n]) if i + n <= len(padded) else None
+                if row is not None:
+                    out.append(row)
                     break
-        return total
+        return out
 
-    def _row(self, word: str) -> int:
-        i = self.memo[word] = len(self.memo)
-        self.rows[i] = self._backoff(word)
-        return i
+    def vectors(self, words: list[str]) -> np.ndarray:
+        """Log-frequency vectors, a column per word."""
+        rows = [[self.words[w]] if w in self.words else self._backoff(w) if w else [0] for w in words]
+        sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+        flat = np.fromiter((r for own in rows for r in own), np.int64, int(sizes.sum()))
+        return np.add.reduceat(self.rows[flat], np.cumsum(sizes) - sizes, axis=0).T
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        words = LETTERS.findall(text.lower()) if text else []
-        if not words or not self.langs:
-            return UNKNOWN, 0.0
-        total, step = np.zeros(len(self.langs)), 50_000
-        for s in range(0, len(words), step):
-            part = words[s:s + step]
-            if len(self.memo) + step > len(self.rows):
-                self.memo = dict(self.known)
-            memo, row = self.memo, self._row
-            at = [memo[w] if w in memo else row(w) for w in part]
-            total += self.rows[at].sum(axis=0, dtype=np.float64)
+    def decide(self, total: np.ndarray) -> tuple[str, float]:
         best = int(total.argmax())
         return self.langs[best], float(1.0 / np.exp(np.minimum(total - total[best], 0.0)).sum())
 
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        if not self.langs:
+            return [(UNKNOWN, 0.0)] * len(texts)
+        totals, sizes = np.zeros((len(texts), len(self.langs))), np.zeros(len(texts), np.int64)
+        for flat, starts, owners in units(texts):
+            np.add.at(totals, owners, np.add.reduceat(self.seen.take(flat), starts, axis=1, dtype=np.float64).T)
+            np.add.at(sizes, owners, np.diff(starts, append=len(flat)) - 1)
+        return [self.decide(t) if n else (UNKNOWN, 0.0) for t, n in zip(totals, sizes, strict=True)]
+
 
 def identify_language(docs: DataFrame, model: dict) -> DataFrame:
     """``doc_id``, ``lang_pred`` and ``score`` (posterior of the prediction) per row."""
@@ -136,7 +182,7 @@ def identify_language(docs: DataFrame, model: dict) -> DataFrame:
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = LangScorer(shared.value)
         for batch in batches:
-            got = [scorer.predict(t.as_py()) for t in batch.column(1)]
+            got = scorer.predict(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x for x, _ in got], pa.string()),
                                               pa.array([s for _, s in got], pa.float64())], ["doc_id", "lang_pred", "score"])
 
