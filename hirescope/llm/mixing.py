@@ -4,7 +4,9 @@ Documents fall into cells of source, language and topic; each cell's token count
 raked until its sums by source, by language and by topic meet the targets, and
 every document of a cell is then sampled with the cell's calibrated probability:
 the raked share over the actual share, scaled so that the expected number of tokens
-is ``rate`` of the input's, and at most 1.
+is ``rate`` of the input's. Where a cell would then need more tokens than it has, all
+probabilities are scaled down alike, to the largest rate at which none exceeds 1, so
+that the sample's shares stay the raked ones: the shares go before the rate.
 
 Targets are the actual shares raised to ``power`` and normalised (tempered sampling),
 so that small sources, languages and topics gain; others can be passed. The topic is
@@ -78,8 +80,11 @@ def cell_probabilities(rows: DataFrame, rate: float, power: float, targets: dict
     """The axes and ``p``, the probability with which a cell's documents are drawn."""
     cells = stash(rows.groupBy(*AXES).agg(F.sum("tokens").alias("tokens")))
     raked = stash(rake(cells, targets or {a: tempered(cells, a, power) for a in AXES}))
-    total, weight = raked.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(1.0))).first()
-    return raked.select(*AXES, F.least(F.lit(1.0), F.lit(rate * float(total)) * F.col("weight") / weight / F.col("tokens")).alias("p"))
+    # ``room`` is the scale at which the scarcest cell is drawn whole.
+    room = F.min(F.when(F.col("weight") > 0, F.col("tokens") / F.col("weight")))
+    total, weight, room = raked.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(1.0)), room).first()
+    scale = rate * float(total) / weight if room is None else min(rate * float(total) / weight, room)
+    return raked.select(*AXES, F.least(F.lit(1.0), F.lit(scale) * F.col("weight") / F.col("tokens")).alias("p"))
 
 
 def _drawn(doc_id: Column, seed: int) -> Column:
