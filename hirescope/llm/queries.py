@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirescope.llm import chat, decontaminate, langid, lines, lm, mixing, pii, quality, simhash, toxicity
+from hirescope.llm import chat, decontaminate, langid, lines, lm, mixing, periodic, pii, quality, simhash, toxicity
 from hirescope.llm.common import table
 
 PROBE = "</s>[INST] ok [/INST]"
@@ -103,6 +103,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.runs_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_chat_format": (op1_chat_format, OP1_SQL),
     "op2_language_id": (op2_language_id, None),
@@ -114,4 +118,5 @@ QUERIES = {
     "op8_line_dedup": (op8_line_dedup, None),
     "op9_mixing": (op9_mixing, mixing.oracle_sql()),
     "op10_quality_rules": (op10_quality_rules, None),
+    "op11_periodic_runs": (op11_periodic_runs, None),
 }
