@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirescope.llm import chat, decontaminate, langid, lines, lm, mixing, periodic, pii, quality, simhash, toxicity
+from hirescope.llm import audit, chat, decontaminate, langid, lines, lm, merkle, mixing, periodic, pii, quality, simhash, toxicity
 from hirescope.llm.common import table
 
 PROBE = "</s>[INST] ok [/INST]"
@@ -107,6 +107,14 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.runs_digest(table(spark, sf_dir, "documents"))
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.fingerprint_digest(spark, table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_chat_format": (op1_chat_format, OP1_SQL),
     "op2_language_id": (op2_language_id, None),
@@ -119,4 +127,6 @@ QUERIES = {
     "op9_mixing": (op9_mixing, mixing.oracle_sql()),
     "op10_quality_rules": (op10_quality_rules, None),
     "op11_periodic_runs": (op11_periodic_runs, None),
+    "op12_merkle": (op12_merkle, None),
+    "op13_filter_audit": (op13_filter_audit, audit.SQL),
 }
