@@ -101,11 +101,13 @@ def with_likeness(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
 def changed_pieces(df: DataFrame, text: str, fingerprint: str, other: str) -> DataFrame:
     """Where ``text`` (with its ``fingerprint``) differs from the text behind fingerprint
     ``other``: (columns of ``df``, section, place, piece), from branches that ``other`` lacks.
-    ``place`` counts the pieces of the text from 0."""
+    ``place`` counts the pieces of the text from 0. ``df`` is read from a table that holds
+    the fingerprints; made in the same plan, the optimiser would repeat their making."""
     keep = df.columns
     mine, theirs = sections_of(F.col(fingerprint)), sections_of(F.col(other))
-    lacks = df.where(root_of(F.col(fingerprint)) != root_of(F.col(other))).select(
-        *keep, pieces(F.col(text)).alias("__pieces"), theirs.alias("__theirs"), F.posexplode(mine).alias("section", "__branch"))
+    # Equal roots: nothing to follow.
+    follow = F.when(root_of(F.col(fingerprint)) != root_of(F.col(other)), mine)
+    lacks = df.select(*keep, pieces(F.col(text)).alias("__pieces"), theirs.alias("__theirs"), F.posexplode(follow).alias("section", "__branch"))
     size = lambda s: F.floor(F.length(F.substring_index(s, "=", -1)) / LEAF_DIGITS)
     before = F.aggregate(F.slice(mine, 1, F.col("section")), F.lit(0).cast("long"), lambda acc, s: acc + size(s))
     branches = (lacks.where(~F.array_contains("__theirs", F.col("__branch")))
@@ -147,17 +149,22 @@ def fingerprint_digest(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The contract's columns: every text, and its edit, whose last quarter is replaced by
     the beginning of the next document's text."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    sizes = rows.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(F.floor(F.length("text") / 4)).alias("take"))
-    links = next_ids(rows.select("doc_id")).join(sizes, "doc_id").select(F.col("doc_id").alias("to"), "take", F.col("next_id").alias("doc_id"))
-    given = with_fingerprint(rows.join(links, "doc_id"), "text", "next_fingerprint").select(
+    named = rows.where("doc_id IS NOT NULL")
+    sizes = named.groupBy("doc_id").agg(F.max(F.floor(F.length("text") / 4)).alias("take"))
+    links = next_ids(named.select("doc_id")).join(sizes, "doc_id").select(F.col("doc_id").alias("to"), "take", F.col("next_id").alias("doc_id"))
+    # Both joins deal ``named`` by id, so its texts are shuffled once.
+    given = with_fingerprint(named.join(links, "doc_id"), "text", "next_fingerprint").select(
         F.col("to").alias("doc_id"), F.struct("next_fingerprint", F.left("text", F.col("take").cast("int")).alias("head")).alias("next"))
     after = given.groupBy("doc_id").agg(F.min("next").alias("next"))
+    alone = F.lit(None).cast("struct<next_fingerprint:string,head:string>").alias("next")
+    told = named.join(after, "doc_id").select("doc_id", "text", "next").unionByName(
+        rows.where("doc_id IS NULL").select("doc_id", "text", alone))
     n, cut = F.length("text"), F.floor(F.length("text") / 4).cast("int")
     edited = F.concat(F.left("text", n - cut), F.left(F.coalesce("next.head", F.lit("")), cut))
-    pair = rows.join(after, "doc_id", "left").select(
+    pair = told.select(
         "doc_id", "text", n.cast("long").alias("n_chars"), edited.alias("edited"), F.col("next.next_fingerprint").alias("next_fingerprint"))
     both = with_fingerprint(with_fingerprint(pair, "text", "fingerprint"), "edited", "edited_fingerprint")
-    told = both.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+    out = both.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
                        "fingerprint", "edited_fingerprint", "next_fingerprint")
-    near = with_likeness(with_likeness(told, "fingerprint", "edited_fingerprint", "near_edited"), "fingerprint", "next_fingerprint", "near_next")
+    near = with_likeness(with_likeness(out, "fingerprint", "edited_fingerprint", "near_edited"), "fingerprint", "next_fingerprint", "near_next")
     return near.drop("next_fingerprint")

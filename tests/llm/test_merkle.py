@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hirescope.llm import merkle
+from hirescope.llm.common import stash
 from hirescope.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -89,7 +90,7 @@ def test_changed_pieces_locate_an_edit(spark):
     said = [f"Sentence number {i} says {i * i}. " for i in range(300)]
     old, new = "".join(said), "".join([*said[:120], "Put in here. ", *said[120:200], *said[203:]])
     rows = spark.createDataFrame([(1, old, new)], "doc_id long, old string, new string")
-    rows = merkle.with_fingerprint(merkle.with_fingerprint(rows, "old", "fp_old"), "new", "fp_new")
+    rows = stash(merkle.with_fingerprint(merkle.with_fingerprint(rows, "old", "fp_old"), "new", "fp_new"))
     added = merkle.changed_pieces(rows, "new", "fp_new", "fp_old").select("place", "piece").collect()
     gone = merkle.changed_pieces(rows, "old", "fp_old", "fp_new").select("place", "piece").orderBy("place").collect()
     assert [tuple(r) for r in added] == [(120, "Put in here. ")]
