@@ -1,12 +1,15 @@
 """Operator 13, audit of how document filters interact, over a sparse document-term matrix.
 
-1. Each block of texts is counted into a CSR shard with word numbers of its own and the
-   list of its words (Arrow batches, numpy).
-2. The shards' words make one dictionary: the distinct words, numbered once in a written
-   table. Joined back by word, it gives every shard its global numbers; a word that is in
-   all texts is one row a shard there, so no word is a hot key.
-3. Row sums of the global shards are the words of a document, their nonzero counts its
-   distinct words; these decide filters A and B.
+1. Each block of texts is counted into a CSR shard (Arrow batches, numpy). A word's
+   global number is its 64-bit hash; a shard lists the numbers of its columns and indexes
+   that list. A task sends each word that is new to it once; that a word is not new is
+   told by its number and a second hash.
+2. The words sent make the global dictionary, a written table of distinct (number, word);
+   no text and no shard is shuffled for it, and a word that is in all texts is one row a
+   task. Two words with one number: the matrix is made anew with another seed, so the
+   numbers tell words apart at any size.
+3. Row sums of the shards are the words of a document, their nonzero counts its distinct
+   words; these decide filters A and B.
 4. The other flags are attached: C and D are read from the text in step 1, E compares the
    least id of a text's 256-bit digest. Rows are collapsed by id, then by digest and what
    the audit needs to know, before the least id of a digest is taken, so a group of copies
@@ -24,12 +27,14 @@ empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import json
 from collections.abc import Iterator
 from itertools import permutations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,7 +49,8 @@ SYMBOLS = b"#$%&*|"
 SHARD_WORDS = 1 << 18    # words of a shard, if they are not one text's
 
 SHARD = ("shard long, doc_id array<long>, part array<string>, digest array<binary>, flags array<int>, "
-         "indptr array<long>, indices array<int>, counts array<int>, words array<string>")
+         "indptr array<long>, indices array<int>, counts array<int>, columns array<long>, "
+         "new_ids array<long>, new_words array<string>")
 ROW_SUMS = "doc_id long, part string, digest binary, flags int, n_words long, n_distinct long"
 
 _IS_CAPITAL = np.zeros(256, bool)
@@ -53,16 +59,43 @@ _IS_SYMBOL = np.zeros(256, bool)
 _IS_SYMBOL[list(SYMBOLS)] = True
 
 
-def text_flags(text: bytes) -> int:
+def _buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Borders and octets of an array of strings."""
+    borders = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1]
+    return borders, np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+
+
+def text_flags(octets: np.ndarray) -> int:
     """Filters C (4) and D (8) of a UTF-8 text."""
-    octets = np.frombuffer(text, np.uint8)
     points = int(((octets & 0xC0) != 0x80).sum())
     return 4 * (100 * int(_IS_CAPITAL[octets].sum()) > MAX_CAPITALS_PCT * points) + 8 * bool(_IS_SYMBOL[octets].any())
 
 
-def _csr(words: list[bytes], sizes: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+def word_numbers(words: pa.Array, seed: int) -> np.ndarray:
+    """A 64-bit multilinear hash of each word (none is empty): octets times seeded factors by place."""
+    if not len(words):
+        return np.zeros(0, np.int64)
+    borders, octets = _buffers(words)
+    octets, length = octets[borders[0]:borders[-1]], np.diff(borders)
+    place = np.arange(len(octets)) - np.repeat(borders[:-1] - borders[0], length)
+    factor = np.random.default_rng(seed).integers(0, 1 << 64, int(length.max()), np.uint64) | np.uint64(1)
+    total = np.add.reduceat((octets.astype(np.uint64) + np.uint64(1)) * factor[place], borders[:-1] - borders[0])
+    return ((total ^ (total >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+
+
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, one after another, and how many each has."""
+    trimmed = pc.ascii_trim_whitespace(texts)
+    parts = pc.ascii_split_whitespace(trimmed)
+    empty = pc.equal(trimmed, "").to_numpy(zero_copy_only=False)
+    sizes = np.where(empty, 0, pc.list_value_length(parts).to_numpy())
+    words = parts.flatten()
+    return words.filter(pc.not_equal(words, "")) if empty.any() else words, sizes
+
+
+def _csr(words: pa.Array, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
     """indptr, indices, counts and the word list of a block of texts."""
-    coded = pa.array(words, pa.binary()).dictionary_encode()
+    coded = words.dictionary_encode()
     kinds = max(len(coded.dictionary), 1)
     rows = np.repeat(np.arange(len(sizes), dtype=np.int64), sizes)
     cells, counts = np.unique(rows * kinds + coded.indices.to_numpy(zero_copy_only=False), return_counts=True)
@@ -75,49 +108,52 @@ def _one(values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
-def local_shards(docs: DataFrame) -> DataFrame:
-    """CSR shards with word numbers of their own, which index ``words``."""
+def shards(docs: DataFrame, seed: int) -> DataFrame:
+    """CSR shards of ``docs``: ``indices`` point into ``columns``, the words' numbers under
+    ``seed``; ``new_ids`` and ``new_words`` are those that the task had not sent before."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = 0
-
-        def shard(rows: pa.RecordBatch, words: list[bytes], sizes: list[int], flags: list[int]) -> pa.RecordBatch:
-            nonlocal made
-            indptr, indices, counts, kinds = _csr(words, sizes)
-            key = (TaskContext.get().partitionId() << 32) + made
-            made += 1
-            lists = [rows.column(0), rows.column(1), rows.column(2), pa.array(flags, pa.int32()), pa.array(indptr, pa.int64()),
-                     pa.array(indices), pa.array(counts), kinds.cast(pa.string())]
-            return pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), *map(_one, lists)],
-                                              ["shard", "doc_id", "part", "digest", "flags", "indptr", "indices", "counts", "words"])
-
+        made, sent, sent_check = 0, np.zeros(0, np.int64), np.zeros(0, np.int64)  # ordered by number
         for batch in batches:
-            words, sizes, flags, since = [], [], [], 0
-            for i, text in enumerate(batch.column(3)):
-                body = text.as_buffer().to_pybytes()
-                own = body.split()
-                words += own
-                sizes.append(len(own))
-                flags.append(text_flags(body))
-                if len(words) >= SHARD_WORDS or i + 1 == batch.num_rows:
-                    yield shard(batch.slice(since, i + 1 - since), words, sizes, flags)
-                    words, sizes, flags, since = [], [], [], i + 1
-
-    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+            borders, octets = _buffers(batch.column(3))
+            words, sizes = split_words(batch.column(3))
+            ends, since, first = np.cumsum(sizes), 0, 0
+            while since < batch.num_rows:
+                until = max(since + 1, int(np.searchsorted(ends, first + SHARD_WORDS, "right")))
+                last = int(ends[until - 1])
+                indptr, indices, counts, kinds = _csr(words.slice(first, last - first), sizes[since:until])
+                columns, check = word_numbers(kinds, 2 * seed), word_numbers(kinds, 2 * seed + 1)
+                if len(sent):
+                    at = np.minimum(np.searchsorted(sent, columns), len(sent) - 1)
+                    new = np.flatnonzero((sent[at] != columns) | (sent_check[at] != check))
+                else:
+                    new = np.arange(len(columns))
+                order = np.argsort(merged := np.concatenate([sent, columns[new]]), kind="stable")
+                sent, sent_check = merged[order], np.concatenate([sent_check, check[new]])[order]
+                key = (TaskContext.get().partitionId() << 32) + made
+                made += 1
+                flags = [text_flags(octets[borders[i]:borders[i + 1]]) for i in range(since, until)]
+                given = batch.slice(since, until - since)
+                lists = [given.column(0), given.column(1), given.column(2), pa.array(flags, pa.int32()), pa.array(indptr, pa.int64()),
+                         pa.array(indices), pa.array(counts), pa.array(columns), pa.array(columns[new]), kinds.take(pa.array(new))]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([key], pa.int64()), *map(_one, lists)],
+                    ["shard", "doc_id", "part", "digest", "flags", "indptr", "indices", "counts", "columns", "new_ids", "new_words"])
+                since, first = until, last
+
+    text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("part"),
-                       F.unhex(F.sha2(text, 256)).alias("digest"), text.alias("text")).mapInArrow(count, SHARD)
+                       F.unhex(F.sha2(text.cast("binary"), 256)).alias("digest"), text.alias("text")).mapInArrow(count, SHARD)
 
 
-def term_matrix(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The document-term matrix of ``docs`` (doc_id, source, text): CSR shards whose
-    ``indices`` are not yet global, with ``numbers`` (at, word_id) that make them so, and
-    the dictionary (word, word_id)."""
-    shards = stash(local_shards(docs))
-    entries = shards.select("shard", F.posexplode("words").alias("at", "word"))
-    # Written once: a word's number cannot change between its uses.
-    dictionary = stash(entries.select("word").distinct().withColumn("word_id", F.monotonically_increasing_id()))
-    numbers = (entries.join(dictionary, "word")
-                      .groupBy("shard").agg(F.collect_list(F.struct("at", "word_id")).alias("numbers")))
-    return shards.drop("words").join(numbers, "shard", "left"), dictionary
+def term_matrix(docs: DataFrame, first_seed: int = 0) -> tuple[DataFrame, DataFrame]:
+    """The document-term matrix of ``docs`` (doc_id, source, text) as CSR shards, and the
+    dictionary (word_id, word) of its columns; both are written."""
+    for seed in itertools.count(first_seed):
+        matrix = stash(shards(docs, seed))
+        sent = matrix.select(F.explode(F.arrays_zip("new_ids", "new_words")).alias("e"))
+        dictionary = stash(sent.select(F.col("e.new_ids").alias("word_id"), F.col("e.new_words").alias("word")).distinct())
+        if dictionary.groupBy("word_id").count().where("count > 1").isEmpty():
+            return matrix.drop("new_ids", "new_words"), dictionary
 
 
 def row_sums(matrix: DataFrame) -> DataFrame:
@@ -125,24 +161,18 @@ def row_sums(matrix: DataFrame) -> DataFrame:
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                doc_id, part, digest, flags, indptr, indices, counts, numbers = (batch.column(c)[i].values for c in range(1, 9))
-                bounds, cells = indptr.to_numpy(), indices.to_numpy()
-                if numbers is not None:
-                    word_id = np.zeros(len(numbers), np.int64)
-                    word_id[numbers.field("at").to_numpy()] = numbers.field("word_id").to_numpy()
-                    cells = word_id[cells]
+                doc_id, part, digest, flags, indptr, indices, counts, columns = (batch.column(c)[i].values for c in range(8))
+                bounds = indptr.to_numpy()
                 total = np.concatenate([[0], np.cumsum(counts.to_numpy(), dtype=np.int64)])
-                # Nonzero cells: the distinct columns of a row.
+                ids, number = np.unique(columns.to_numpy(), return_inverse=True)
                 rows = np.repeat(np.arange(len(doc_id)), np.diff(bounds))
-                order = np.lexsort((cells, rows))
-                new = np.ones(len(cells), bool)
-                new[1:] = (np.diff(rows[order]) != 0) | (np.diff(cells[order]) != 0)
-                nonzero = np.bincount(rows[order][new], minlength=len(doc_id))
+                cells = np.unique(rows * max(len(ids), 1) + number[indices.to_numpy()])
+                nonzero = np.bincount(cells // max(len(ids), 1), minlength=len(doc_id))
                 yield pa.RecordBatch.from_arrays(
                     [doc_id, part, digest, flags, pa.array(np.diff(total[bounds])), pa.array(nonzero, pa.int64())],
                     ["doc_id", "part", "digest", "flags", "n_words", "n_distinct"])
 
-    return matrix.select("shard", "doc_id", "part", "digest", "flags", "indptr", "indices", "counts", "numbers").mapInArrow(fold, ROW_SUMS)
+    return matrix.select("doc_id", "part", "digest", "flags", "indptr", "indices", "counts", "columns").mapInArrow(fold, ROW_SUMS)
 
 
 def failed_sets(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from collections import defaultdict
 from itertools import permutations
 
 import pytest
+from pyspark.sql import functions as F
 
 from hirescope.llm import audit
 from hirescope.llm.queries import QUERIES
@@ -85,8 +86,23 @@ def test_matrix_holds_every_count(spark):
     assert len(word) == len(set(word.values())) == 12
     got = {}
     for r in matrix.collect():
-        number = {x.at: x.word_id for x in r.numbers}
         for k, doc in enumerate(r.doc_id):
-            cells = range(r.indptr[k], r.indptr[k + 1])
-            got[doc] = {word[number[r.indices[c]]]: r.counts[c] for c in cells}
+            got[doc] = {word[r.columns[r.indices[c]]]: r.counts[c] for c in range(r.indptr[k], r.indptr[k + 1])}
     assert got == {i: {w: t.split().count(w) for w in t.split()} for i, _, t in docs}
+
+
+def test_words_with_one_number_get_others(spark, tmp_path):
+    """A seed under which two words collide is given up (the hash is coarsened for it)."""
+    given = spark.createDataFrame([(1, "s", "a b c d e f"), (2, "s", "a x")], "doc_id long, source string, text string")
+    real = audit.shards
+
+    def coarse(docs, seed):
+        made = real(docs, seed)
+        return made.withColumn("new_ids", F.transform("new_ids", lambda x: F.when(F.lit(seed) == 0, x % 2).otherwise(x)))
+
+    audit.shards = coarse
+    try:
+        matrix, dictionary = audit.term_matrix(given)
+    finally:
+        audit.shards = real
+    assert dictionary.count() == 7 and {x for r in matrix.collect() for x in r.columns} == {r.word_id for r in dictionary.collect()}
