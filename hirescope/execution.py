@@ -20,13 +20,15 @@ from hirescope.session import ensure_checkpoint_dir
 # Rows we are willing to ship to every executor for a hinted broadcast join
 # (the tables broadcast here are narrow: a key and a number or a short string).
 DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 256 << 20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                       known_rows: int | None = None) -> DataFrame:
-    """Return ``broadcast(df)`` when it provably has at most ``max_rows`` rows."""
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, known_rows: int | None = None,
+                       known_bytes: int = 0, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Return ``broadcast(df)`` when it provably has at most ``max_rows`` rows (and, where
+    the caller knows the size of its strings, at most ``max_bytes``)."""
     n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if n <= max_rows and known_bytes <= max_bytes else df
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -1,16 +1,20 @@
 """Lexicon, skill extraction and derived skill tables.
 
-Extraction plan: normalise + tokenise each text (one projection), explode its
-windows of tokens, keep those whose first token begins a phrase, inner-join their
-n-grams with the lexicon (broadcast after a row-count check; a shuffle join above
-the bound), then ``distinct`` on
-(posting, phrase). The partial aggregate before that shuffle already removes
-every repeat within a text, because all n-grams of one text come from one task,
-so the shuffle carries only distinct matches.
+Extraction plan: the lexicon becomes a trie, one row for each distinct beginning of a
+phrase (``phrase_trie``). Each text is tokenised once; its tokens meet the trie's first
+level inside one generated stage, and only where a token begins a phrase a row is made,
+with the few tokens that follow. Such a row walks the trie a level at a time, a join on
+(node, next token) each, until no edge fits. All levels are broadcast after a check of
+their rows and bytes; above the bound the planner joins them by shuffle. The phrases
+met are told apart as numbers: the partial aggregate of the final ``distinct`` removes
+every repeat within a text before the shuffle, and the phrase's words come back last.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -37,42 +41,77 @@ def build_lexicon(raw: DataFrame, min_len: int = 1, max_len: int = 3, column: st
               .distinct())
 
 
-def lexicon_lengths(lexicon: DataFrame) -> list[int]:
-    """Distinct phrase lengths (at most max_len values) - drives which n-grams to build."""
-    return sorted(r[0] for r in lexicon.select("n_words").distinct().collect())
-
-
 def text_tokens(postings: DataFrame, id_col: str = "posting_id", text_col: str = "description") -> DataFrame:
     """(id, toks): missing text counts as ''."""
     return postings.select(F.col(id_col).alias(id_col),
                            tokenize(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("toks"))
 
 
-def extract_skills(postings: DataFrame, lexicon: DataFrame, id_col: str = "posting_id",
-                   text_col: str = "description", lengths: list[int] | None = None) -> DataFrame:
+@dataclass(frozen=True)
+class PhraseTrie:
+    """``nodes``: one row per distinct beginning of a phrase, with ``depth``, ``parent``
+    (the node of the beginning one word shorter), ``word``, ``node`` and ``phrase`` (the
+    whole phrase where one ends, else null)."""
+    nodes: DataFrame
+    depth: int
+    rows: int
+    bytes: int
+
+    def small(self, part: DataFrame) -> DataFrame:
+        """``part`` of the nodes, broadcast if the whole trie may be."""
+        return broadcast_if_small(part, LEXICON_BROADCAST_ROWS, self.rows, self.bytes)
+
+
+def phrase_trie(lexicon: DataFrame) -> PhraseTrie:
+    """The trie of the lexicon's phrases, written once.
+
+    A node is a 64-bit hash of its beginning, under the first seed that gives every
+    beginning a node of its own, so that walks are exact."""
+    ends = F.size("w")
+    begun = cut_lineage(
+        lexicon.select("phrase", F.split("phrase", " ").alias("w"))
+               .select("phrase", "w", ends.alias("n"), F.explode(F.sequence(F.lit(1), ends)).alias("depth"))
+               .select("depth", F.array_join(F.slice("w", F.lit(1), F.col("depth")), " ").alias("begin"),
+                       F.when(F.col("depth") == F.col("n"), F.col("phrase")).alias("phrase"))
+               .groupBy("depth", "begin").agg(F.max("phrase").alias("phrase")))
+    for seed in count():
+        node = lambda text: F.xxhash64(F.lit(seed), text)  # noqa: B023, E731
+        seen = begun.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(node(F.col("begin"))).alias("nodes"),
+                         F.max("depth").alias("depth"), F.sum(F.octet_length("begin")).alias("octets")).first()
+        if seen["nodes"] == seen["rows"]:
+            break
+    word, before = F.substring_index("begin", " ", -1), F.regexp_replace("begin", " ?[^ ]*$", "")
+    nodes = begun.select("depth", node(before).alias("parent"), word.alias("word"), node(F.col("begin")).alias("node"), "phrase")
+    # A word and a phrase are no longer than the beginning; 64 for the rest of a row.
+    return PhraseTrie(nodes, seen["depth"] or 0, seen["rows"], 2 * (seen["octets"] or 0) + 64 * seen["rows"])
+
+
+def extract_skills(postings: DataFrame, lexicon: DataFrame | PhraseTrie, id_col: str = "posting_id",
+                   text_col: str = "description") -> DataFrame:
     """Distinct (id, skill) for every lexicon phrase found in a text.
 
     Overlapping and nested matches all count; rows sharing an id get the union
-    of their skills (C2 semantics). One plan for every lexicon: each position of a
-    text gives its window of tokens; a semi-join on the first token leaves the
-    positions where a phrase can begin; only there the n-grams are built and joined
-    with the phrases. Both joins broadcast their small side after a count.
+    of their skills (C2 semantics). The lexicon may be given as a trie already built.
     """
-    lex = cut_lineage(lexicon.select("phrase", "n_words", F.split("phrase", " ")[0].alias("first")))
-    ls = lengths if lengths is not None else lexicon_lengths(lex)
-    if not ls:
+    trie = lexicon if isinstance(lexicon, PhraseTrie) else phrase_trie(lexicon)
+    if not trie.depth:
         return postings.select(id_col, F.lit("").alias("skill")).limit(0)
-    known = lex.count()
-    phrases = broadcast_if_small(lex.select(F.col("phrase").alias("skill")), LEXICON_BROADCAST_ROWS, known)
-    firsts = broadcast_if_small(lex.select("first").distinct(), LEXICON_BROADCAST_ROWS, known)
-    toks = text_tokens(postings.select(id_col, text_col), id_col, text_col)
-    windows = F.when(F.size("toks") == 0, F.array().cast("array<array<string>>")).otherwise(
-        F.transform(F.sequence(F.lit(1), F.size("toks")), lambda i: F.slice("toks", i, F.lit(max(ls)))))
-    begun = (toks.select(id_col, F.explode(windows).alias("w")).withColumn("first", F.col("w")[0])
-                 .join(firsts, "first", "left_semi"))
-    # Words hold no space, so a window too short for a length gives a shorter phrase again.
-    grams = F.array_distinct(F.array(*[F.array_join(F.slice("w", 1, n), " ") for n in ls]))
-    return begun.select(id_col, F.explode(grams).alias("skill")).join(phrases, "skill").select(id_col, "skill").distinct()
+
+    def level(k: int) -> DataFrame:
+        return trie.small(trie.nodes.where(F.col("depth") == k).select(
+            F.col("parent").alias(f"__parent{k}"), F.col("word").alias(f"__word{k}"), F.col("node").alias(f"__node{k}"),
+            F.col("phrase").isNotNull().alias(f"__ends{k}")))
+
+    at = text_tokens(postings.select(id_col, text_col), id_col, text_col).select(id_col, "toks", F.posexplode("toks").alias("__at", "__word"))
+    walk = at.join(level(1), F.col("__word") == F.col("__word1")).select(
+        id_col, "__node1", "__ends1", F.slice("toks", F.col("__at") + 2, F.lit(max(trie.depth - 1, 1))).alias("__rest"))
+    for k in range(2, trie.depth + 1):
+        fits = (F.col(f"__node{k - 1}") == F.col(f"__parent{k}")) & (F.get("__rest", F.lit(k - 2)) == F.col(f"__word{k}"))
+        walk = walk.join(level(k), fits, "left").drop(f"__parent{k}", f"__word{k}")
+    met = F.array(*[F.when(F.col(f"__ends{k}"), F.col(f"__node{k}")) for k in range(1, trie.depth + 1)])
+    found = walk.select(id_col, F.explode(F.array_compact(met)).alias("node")).distinct()
+    phrases = trie.small(trie.nodes.where("phrase IS NOT NULL").select("node", F.col("phrase").alias("skill")))
+    return found.join(phrases, "node").select(id_col, "skill")
 
 
 def skill_flags(postings: DataFrame, skills: DataFrame, id_col: str = "posting_id") -> DataFrame:
