@@ -11,18 +11,21 @@ table of co-occurrence counts and X'y a table of sums of y:
 3. pattern pairs are exploded and summed per (fold, i, j).
 
 One aggregation pass gives the Gram sums of every fold; the training Gram of
-fold f is total - fold f. Only these d x d sufficient statistics reach the
-driver, where the minimum-norm solution pinv(X'X) X'y is taken with a
-Hermitian eigen-decomposition.
+fold f is total - fold f. Up to ``MAX_DENSE_FEATURES`` these d x d sufficient
+statistics reach the driver, where the minimum-norm solution pinv(X'X) X'y is taken
+with a Hermitian eigen-decomposition. Wider designs never form feature pairs and
+bring nothing of length d to the driver: conjugate gradients run on tables keyed by
+feature, all folds and the final fit at once (``_fit_cg``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirescope.execution import broadcast_if_small, cut_lineage
@@ -133,25 +136,31 @@ class FoldStats:
 @dataclass
 class LinearModel:
     """The refit model, plus cross-validation results."""
-    keys: list[str]                  # internal feature names, index 0 is the intercept
-    beta: np.ndarray
+    coefs: DataFrame                 # (key, beta): a row per feature, the intercept included
+    intercept: float
+    n_features: int
     cat_features: list[str]
     skills_used: list[str]
     folds: list[dict] = field(default_factory=list)
 
+    @cached_property
+    def _collected(self) -> list:
+        """All coefficients, intercept first: for models small enough to look at."""
+        return self.coefs.orderBy(F.col("key") != INTERCEPT, "key").collect()
+
     @property
     def names(self) -> list[str]:
         """Feature names as shown, in the order of ``beta``."""
-        return [k.removeprefix(SKILL_KEY) for k in self.keys]
+        return [r["key"].removeprefix(SKILL_KEY) for r in self._collected]
 
     @property
-    def intercept(self) -> float:
-        return float(self.beta[0])
+    def beta(self) -> np.ndarray:
+        return np.array([r["beta"] for r in self._collected])
 
-    def coefficients(self, spark: SparkSession) -> DataFrame:
-        """(feature, coefficient, abs_coeff) without the intercept."""
-        rows = [(n, float(b), float(abs(b))) for n, b in zip(self.names[1:], self.beta[1:])]
-        return spark.createDataFrame(rows, "feature string, coefficient double, abs_coeff double")
+    def coefficients(self) -> DataFrame:
+        """(feature, coefficient, abs_coeff) without the intercept."""
+        return self.coefs.where(F.col("key") != INTERCEPT).select(
+            F.regexp_replace("key", f"^{SKILL_KEY}", "").alias("feature"), F.col("beta").alias("coefficient"), F.abs("beta").alias("abs_coeff"))
 
     def cv_summary(self) -> dict:
         r2 = np.array([f["r2"] for f in self.folds], dtype=float)
@@ -188,13 +197,11 @@ def fit_least_squares(df: DataFrame, skills_long: DataFrame | None, cat_features
     ``df`` must already be the training set (J22). Rows are pre-aggregated by
     (fold, feature pattern). Up to ``dense_max`` features, one pass gives every
     fold's X'X and X'y and the driver solves d x d systems (train = total -
-    fold). Wider designs (e.g. one-hot titles) never form feature pairs: the
-    normal equations are solved by conjugate gradients from zero, which stays
-    in the row space and so reaches the minimum-norm solution; each product
-    X'X v is one distributed pass over the patterns, and a solve that has not
-    converged raises. Each fold is scored on its patterns: squared deviations
-    within a pattern plus n (mean - prediction)^2, a sum of squares that holds
-    for targets of any size.
+    fold). Wider designs (e.g. one-hot titles) are solved by conjugate gradients from
+    zero, which stay in the row space and so reach the minimum-norm solution; a solve
+    that has not converged raises. Each fold is scored on its patterns: squared
+    deviations within a pattern plus n (mean - prediction)^2, a sum of squares that
+    holds for targets of any size.
     """
     from hirescope.operators.sampling import fold_of
 
@@ -202,121 +209,127 @@ def fit_least_squares(df: DataFrame, skills_long: DataFrame | None, cat_features
     k = int(k_folds) if k_folds and k_folds >= 2 else 1
     base = with_skill_array(df.select(id_col, target, *cat_features), skills_long, skills_used, id_col)
     fold = fold_of(id_col, k, seed) if k > 1 else None
-    rows = design_rows(base, cat_features, target, id_col, fold)
-    names_df = rows.select(F.explode("feats").alias("i")).distinct()
-    d = names_df.count()
+    pat = cut_lineage(_patterns(design_rows(base, cat_features, target, id_col, fold)).withColumn("pid", F.monotonically_increasing_id()))
+    d = pat.select(F.explode("feats").alias("i")).distinct().count()
     if d == 0:
         raise ValueError("no training rows")
     if d <= dense_max:
-        return _fit_dense(rows, k, cat_features, skills_used)
-    return _fit_cg(rows, names_df, k, cat_features, skills_used, cg_tol, cg_max_iter)
+        coefs, per_fold = _fit_dense(pat, k)
+    else:
+        coefs, per_fold = _fit_cg(pat, k, d, cg_tol, cg_max_iter)
+    intercept = coefs.where(F.col("key") == INTERCEPT).first()["beta"]
+    folds = fold_scores(pat, per_fold, d * k) if k > 1 else []
+    return LinearModel(coefs, float(intercept), d, cat_features, skills_used, folds)
+
 
+def _fit_dense(pat: DataFrame, k: int) -> tuple[DataFrame, DataFrame | None]:
+    """(key, beta) of the fit to all rows, and (fold, i, b) of the fits without a fold."""
+    import pandas as pd
 
-def _fit_dense(rows: DataFrame, k: int, cat_features: list[str], skills_used: list[str]) -> LinearModel:
-    pat = cut_lineage(_patterns(rows))
+    spark = pat.sparkSession
     pairs, xty = _gram_of(pat)
     names = [r[0] for r in xty.select("i").distinct().orderBy("i").collect()]
-    names = [INTERCEPT] + [n for n in names if n != INTERCEPT]
     index = {n: i for i, n in enumerate(names)}
     stats = _collect_stats(pairs, xty, index, k)
     total_g = sum(s.g for s in stats)
     total_b = sum(s.xty for s in stats)
-    betas = {f: min_norm_solve(total_g - s.g, total_b - s.xty) for f, s in enumerate(stats) if s.n} if k > 1 else {}
-    beta = min_norm_solve(total_g, total_b)
-    return LinearModel(keys=names, beta=beta, cat_features=cat_features, skills_used=skills_used,
-                       folds=fold_scores(pat, names, betas))
-
+    coefs = spark.createDataFrame(pd.DataFrame({"key": names, "beta": min_norm_solve(total_g, total_b)}))
+    if k == 1:
+        return coefs, None
+    betas = {f: min_norm_solve(total_g - s.g, total_b - s.xty) for f, s in enumerate(stats) if s.n}
+    return coefs, spark.createDataFrame(pd.DataFrame({
+        "fold": np.repeat(np.array(list(betas), np.int32), len(names)), "i": names * len(betas), "b": np.concatenate(list(betas.values()))}))
 
-def fold_scores(pat: DataFrame, names: list[str], betas: dict[int, np.ndarray]) -> list[dict]:
-    """Each fold's scores under its own coefficients, from the patterns."""
-    if not betas:
-        return []
-    import pandas as pd
 
-    spark = pat.sparkSession
-    coefs = spark.createDataFrame(pd.DataFrame({
-        "fold": np.repeat(np.array(list(betas), np.int32), len(names)), "i": names * len(betas), "b": np.concatenate(list(betas.values()))}))
-    predicted = (pat.select("fold", "feats", F.explode("feats").alias("i"))
-                    .join(broadcast_if_small(coefs, known_rows=len(names) * len(betas)), ["fold", "i"], "left")
-                    .groupBy("fold", "feats").agg(F.sum(F.coalesce("b", F.lit(0.0))).alias("pred")))
+def fold_scores(pat: DataFrame, coefs: DataFrame, n_coefs: int) -> list[dict]:
+    """Each fold's scores under its own coefficients (fold, i, b), from the patterns."""
+    predicted = (pat.select("fold", "pid", F.explode("feats").alias("i"))
+                    .join(broadcast_if_small(coefs, known_rows=n_coefs), ["fold", "i"], "left")
+                    .groupBy("pid").agg(F.sum(F.coalesce("b", F.lit(0.0))).alias("pred")))
     whole = pat.groupBy("fold").agg((F.sum("sy") / F.sum("n")).alias("mean"))
     off = lambda c: F.sum(F.col("within") + F.col("n") * F.pow(F.col("ybar") - F.col(c), 2))
-    rows = (pat.join(predicted, ["fold", "feats"]).join(F.broadcast(whole), "fold")  # one row per fold
+    rows = (pat.join(predicted, "pid").join(F.broadcast(whole), "fold")  # one row per fold
                .groupBy("fold").agg(F.sum("n").alias("n"), off("pred").alias("sse"), off("mean").alias("sst")).orderBy("fold").collect())
-    n_all = sum(r["n"] for r in pat.groupBy("fold").agg(F.sum("n").alias("n")).collect())
+    n_all = sum(r["n"] for r in rows)
     return [{"fold": r["fold"], "n_test": int(r["n"]), "n_train": int(n_all - r["n"]), "sse": r["sse"], "sst": r["sst"],
              "r2": float(_r2(r["sse"], r["sst"])), "mse": r["sse"] / r["n"]} for r in rows]
 
 
-def _fit_cg(rows: DataFrame, names_df: DataFrame, k: int, cat_features: list[str], skills_used: list[str],
-            tol: float, max_iter: int) -> LinearModel:
-    import pandas as pd
+def _fit_cg(pat: DataFrame, k: int, d: int, tol: float, max_iter: int) -> tuple[DataFrame, DataFrame | None]:
+    """As ``_fit_dense``, by conjugate gradients without vectors on the driver.
 
-    spark = rows.sparkSession
-    names = [INTERCEPT] + sorted(r[0] for r in names_df.collect() if r[0] != INTERCEPT)  # the coefficient vector's index
-    d = len(names)
-    idx = spark.createDataFrame(pd.DataFrame({"i": names, "idx": np.arange(d, dtype=np.int64)}))
-    # Written once: a pattern's number cannot change between its uses.
-    pat = cut_lineage(_patterns(rows).withColumn("pid", F.monotonically_increasing_id()))
-    # Long form (pid, fold, idx, w, sy), hash-partitioned by pattern and cached, so in
-    # every product below the group-by and join on pid need no exchange; only the final
-    # group-by on the feature index shuffles. A lost block is recomputed from ``pat``.
-    long = (pat.select("pid", "fold", F.col("n").alias("w"), "sy", F.explode("feats").alias("i"))
-               .join(broadcast_if_small(idx, known_rows=d), "i")
-               .select("pid", "fold", "idx", "w", "sy").repartition("pid").persist())
-    fold_ids = sorted(r[0] for r in pat.select("fold").distinct().collect())
-
-    def xty(where) -> np.ndarray:
-        src = long if where is None else long.where(where)
-        out = np.zeros(d)
-        for i, v in src.groupBy("idx").agg(F.sum("sy")).collect():
-            out[i] = v
-        return out
-
-    def gram_mv(v: np.ndarray, where) -> np.ndarray:
-        src = long if where is None else long.where(where)
-        vdf = spark.createDataFrame(pd.DataFrame({"idx": np.arange(d, dtype=np.int64), "v": v}))
-        t = (src.join(broadcast_if_small(vdf, known_rows=d), "idx")
-                .groupBy("pid").agg(F.sum("v").alias("t"), F.first("w").alias("w")))
-        g = src.select("pid", "idx").join(t, "pid").groupBy("idx").agg(F.sum(F.col("w") * F.col("t")).alias("g"))
-        out = np.zeros(d)
-        for i, val in g.collect():
-            out[i] = val
-        return out
-
-    def cg(b: np.ndarray, where) -> np.ndarray:
-        x = np.zeros(d)
-        r = b.copy()
-        p = r.copy()
-        rs = r @ r
-        stop = (tol * np.sqrt(b @ b)) ** 2
-        for _ in range(max_iter):
-            if rs <= stop:
-                return x
-            ap = gram_mv(p, where)
-            pap = p @ ap
-            if pap <= 0:
-                break
-            a = rs / pap
-            x += a * p
-            r -= a * ap
-            rs_new = r @ r
-            p = r + (rs_new / rs) * p
-            rs = rs_new
-        if rs <= max(stop, (1e-9 * np.sqrt(b @ b)) ** 2):
-            return x  # rounding stops the descent short of a very small ``tol``
-        raise RuntimeError(f"conjugate gradients did not converge: residual {np.sqrt(rs):.3g} of {np.sqrt(b @ b):.3g}")
+    System f (of k) leaves fold f out, the last one holds all rows. Their solutions,
+    residuals and directions are columns of one table keyed by feature; one pass over
+    the patterns multiplies every system's matrix with its residual, so passes do not
+    grow with k. The recurrence is the one with a single synchronisation a step: the
+    driver gets two dot products per system and the intercept's entries. The patterns
+    are dealt by their number once; where the residuals may be broadcast, a step
+    shuffles partial sums per feature only. Each step's table is written.
+    """
+    systems = range(k + 1 if k > 1 else 1)
+    last = len(systems) - 1
+    # A lost block is recomputed from the written patterns.
+    dealt = pat.select("pid", "fold", "n", "sy", "feats").repartition("pid").persist()
+    trains = lambda s: F.lit(1.0) if s == last else (F.col("fold") != s).cast("double")
+    col = lambda name, s: F.col(f"{name}{s}")
+
+    def product(state: DataFrame, at_intercept: list[float]) -> DataFrame:
+        """(key, w0, w1, ...): every system's X'X times its residual."""
+        vector = state.where(F.col("key") != INTERCEPT).select("key", *[f"r{s}" for s in systems])
+        sums = (dealt.select("pid", F.explode("feats").alias("key")).where(F.col("key") != INTERCEPT)
+                     .join(broadcast_if_small(vector, LEVEL_BROADCAST_ROWS, d, d * (64 + 8 * len(systems))), "key")
+                     .groupBy("pid").agg(*[F.sum(f"r{s}").alias(f"t{s}") for s in systems]))
+        own = [(F.col("n") * trains(s) * (F.coalesce(col("t", s), F.lit(0.0)) + at_intercept[s])).alias(f"u{s}") for s in systems]
+        return (dealt.join(sums, "pid", "left").select(F.explode("feats").alias("key"), *own)
+                     .groupBy("key").agg(*[F.sum(f"u{s}").alias(f"w{s}") for s in systems]))
 
     try:
-        betas = {}
-        for f in fold_ids if k > 1 else []:
-            train = F.col("fold") != F.lit(f)
-            betas[f] = cg(xty(train), train)
-        beta = cg(xty(None), None)
+        start = (dealt.select("fold", "sy", F.explode("feats").alias("key"))
+                      .groupBy("key").agg(*[F.sum(F.col("sy") * trains(s)).alias(f"r{s}") for s in systems]))
+        state = cut_lineage(start.select("key", *[f"r{s}" for s in systems], *[F.lit(0.0).alias(f"{v}{s}") for v in "xpq" for s in systems]))
+        head = state.where(F.col("key") == INTERCEPT).first()
+        at_intercept = [head[f"r{s}"] for s in systems]
+        first, before, alpha = [None] * len(systems), [0.0] * len(systems), [0.0] * len(systems)
+        size, open_systems = [0.0] * len(systems), set(systems)
+        for step in range(max_iter + 1):
+            state = cut_lineage(state.join(product(state, at_intercept), "key"))
+            here = F.col("key") == INTERCEPT
+            told = state.agg(*[F.sum(col("r", s) * col("r", s)).alias(f"rr{s}") for s in systems],
+                             *[F.sum(col("r", s) * col("w", s)).alias(f"rw{s}") for s in systems],
+                             *[F.max(F.when(here, col(v, s))).alias(f"{v}{s}") for v in "rwq" for s in systems]).first()
+            beta = [0.0] * len(systems)
+            for s in systems:
+                size[s] = told[f"rr{s}"]
+                if step == 0:
+                    first[s] = size[s]
+                if s not in open_systems:
+                    continue
+                beta[s] = size[s] / before[s] if step else 0.0
+                curve = told[f"rw{s}"] - (beta[s] * size[s] / alpha[s] if step else 0.0)
+                if size[s] <= tol ** 2 * first[s] or curve <= 0 or step == max_iter:
+                    open_systems.discard(s)
+                    alpha[s] = beta[s] = 0.0
+                else:
+                    alpha[s], before[s] = size[s] / curve, size[s]
+            if not open_systems:
+                break
+            follow = lambda v, a, s: F.lit(beta[s]) * col(v, s) + col(a, s)  # noqa: B023, E731
+            p, q = [follow("p", "r", s) for s in systems], [follow("q", "w", s) for s in systems]
+            at_intercept = [told[f"r{s}"] - alpha[s] * (told[f"w{s}"] + beta[s] * told[f"q{s}"]) for s in systems]
+            state = state.select(
+                "key", *[(col("r", s) - F.lit(alpha[s]) * q[s]).alias(f"r{s}") for s in systems],
+                *[(col("x", s) + F.lit(alpha[s]) * p[s]).alias(f"x{s}") for s in systems],
+                *[p[s].alias(f"p{s}") for s in systems], *[q[s].alias(f"q{s}") for s in systems])
+        for s in systems:  # rounding may stop the descent short of a very small ``tol``
+            if size[s] > max(tol, 1e-9) ** 2 * first[s]:
+                raise RuntimeError(f"conjugate gradients did not converge: residual {size[s] ** 0.5:.3g} of {first[s] ** 0.5:.3g}")
     finally:
-        long.unpersist()
-    return LinearModel(keys=names, beta=beta, cat_features=cat_features, skills_used=skills_used,
-                       folds=fold_scores(pat, names, betas))
+        dealt.unpersist()
+    coefs = state.select("key", col("x", last).alias("beta"))
+    if k == 1:
+        return coefs, None
+    each = F.explode(F.array(*[F.struct(F.lit(f).alias("fold"), col("x", f).alias("b")) for f in range(k)]))
+    return coefs, state.select(F.col("key").alias("i"), each.alias("c")).select("c.fold", "i", "c.b")
 
 
 def gram_table(df: DataFrame, skills_long: DataFrame | None, cat_features: Sequence[str],
@@ -336,22 +349,18 @@ def predict(model: LinearModel, df: DataFrame, skills_col: str = "skills", out:
     Each category is a broadcast left join with its level table (unknown level
     -> 0), so predicting keeps the partitioning of ``df`` (no shuffle).
     """
-    spark = df.sparkSession
-    coef = dict(zip(model.keys, model.beta))
-    pred = F.lit(float(model.beta[0]))
-    res = df
+    pred, res = F.lit(model.intercept), df
     for c in model.cat_features:
-        prefix = f"{c}_"
-        lv = [(n[len(prefix):], float(b)) for n, b in coef.items() if n.startswith(prefix)]
-        tcol = f"__coef_{c}"
-        table = spark.createDataFrame(lv, f"__lvl string, {tcol} double")
-        res = res.join(broadcast_if_small(table, LEVEL_BROADCAST_ROWS, known_rows=len(lv)),
+        prefix, tcol = f"{c}_", f"__coef_{c}"
+        table = model.coefs.where(F.col("key").startswith(prefix)).select(
+            F.substr("key", F.lit(len(prefix) + 1)).alias("__lvl"), F.col("beta").alias(tcol))
+        res = res.join(broadcast_if_small(table, LEVEL_BROADCAST_ROWS, known_rows=model.n_features),
                        F.col(c).cast("string") == F.col("__lvl"), "left").drop("__lvl")
         pred = pred + F.coalesce(F.col(tcol), F.lit(0.0))
-    if model.skills_used:
-        sk = {s: float(coef[SKILL_KEY + s]) for s in model.skills_used if SKILL_KEY + s in coef}
-        if sk:
-            m = F.create_map(*[x for kv in sk.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
+    if model.skills_used:  # at most the skills the caller chose
+        held = model.coefs.where(F.col("key").isin([SKILL_KEY + s for s in model.skills_used])).collect()
+        if held:
+            m = F.create_map(*[x for r in held for x in (F.lit(r["key"].removeprefix(SKILL_KEY)), F.lit(r["beta"]))])
             pred = pred + F.aggregate(F.col(skills_col), F.lit(0.0),
                                       lambda acc, s: acc + F.coalesce(m[s], F.lit(0.0)))
     res = res.withColumn(out, pred)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hirescope.operators.filters import dropna_subset
-from hirescope.operators.linear import CATEGORY_COLUMNS, LinearModel, fit_least_squares, predict, \
+from hirescope.operators.linear import CATEGORY_COLUMNS, MAX_DENSE_FEATURES, LinearModel, fit_least_squares, predict, \
     with_skill_array
 from hirescope.operators.sampling import seeded_sample
 
@@ -28,14 +28,14 @@ def training_set(df: DataFrame, sample_n: int | None = None, id_col: str = "post
 
 def train_regression(df: DataFrame, skills_long: DataFrame | None, cat_features: Sequence[str],
                      skills_used: Sequence[str], k_folds: int = 3, sample_n: int | None = None,
-                     id_col: str = "posting_id", seed: int = 42) -> LinearModel:
+                     id_col: str = "posting_id", seed: int = 42, dense_max: int = MAX_DENSE_FEATURES) -> LinearModel:
     """J27 + J28. Raises when fewer rows than folds remain (tested after dropping)."""
     if not cat_features and not skills_used:
         raise ValueError("choose at least one of company, location, title or a skill")
     train = training_set(df, sample_n, id_col, seed)
     if k_folds >= 2 and train.limit(k_folds).count() < k_folds:
         raise ValueError(f"fewer than {k_folds} training rows for {k_folds}-fold CV")
-    return fit_least_squares(train, skills_long, cat_features, skills_used, k_folds, TARGET, id_col, seed)
+    return fit_least_squares(train, skills_long, cat_features, skills_used, k_folds, TARGET, id_col, seed, dense_max)
 
 
 def parity_table(model: LinearModel, df: DataFrame, skills_long: DataFrame | None,

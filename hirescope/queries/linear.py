@@ -40,8 +40,7 @@ def q_gram_matrix(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_ols_coefficients(spark: SparkSession, sf: str) -> DataFrame:
     m = _model(spark, sf, 0)
-    rows = [(n, round(float(b), 2)) for n, b in zip(m.names, m.beta)]
-    return spark.createDataFrame(rows, "feature string, coefficient double")
+    return m.coefs.select(F.ltrim("key", F.lit(LN.SKILL_KEY)).alias("feature"), F.bround("beta", 2).alias("coefficient"))
 
 
 def q_ols_predictions(spark: SparkSession, sf: str) -> DataFrame:
@@ -88,7 +87,7 @@ def q_scenario_predict(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_top_coefficients(spark: SparkSession, sf: str) -> DataFrame:
     m = _model(spark, sf, 0)
-    t = LN.top_coefficients(m.coefficients(spark), 3)
+    t = LN.top_coefficients(m.coefficients(), 3)
     return t.select("feature", F.bround("coefficient", 2).alias("coefficient"))
 
 
@@ -122,11 +121,25 @@ def q_scenario_skills(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_ols_multi_fit(spark: SparkSession, sf: str) -> DataFrame:
-    """Company + location + two skills, 3-fold CV: fold scores (checked against numpy in tests)."""
+    """Company + location + two skills, 3-fold CV: fold scores."""
     m = RG.train_regression(fx.postings(spark, sf), fx.posting_skills(spark, sf),
                             ["company_name", "location"], ["SMALL", "PROMO"], k_folds=K)
-    rows = [(f["fold"], f["n_test"], float(f["r2"]), float(f["mse"])) for f in m.folds]
-    return spark.createDataFrame(rows, "fold int, n_test bigint, r2 double, mse double")
+    return _fold_rows(spark, m)
+
+
+def q_kfold_nested(spark: SparkSession, sf: str) -> DataFrame:
+    """Company + location + title (one level per customer), 3-fold CV."""
+    return _fold_rows(spark, RG.train_regression(fx.postings(spark, sf), None, ["company_name", "location", "title"], [], k_folds=K))
+
+
+def q_kfold_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """Title one-hot, 3-fold CV, by conjugate gradients at every size."""
+    return _fold_rows(spark, RG.train_regression(fx.postings(spark, sf), None, ["title"], [], k_folds=K, dense_max=0))
+
+
+def _fold_rows(spark: SparkSession, m: LN.LinearModel) -> DataFrame:
+    rows = [(f["fold"], f["n_test"], round(f["r2"], 6), round(float(np.sqrt(f["mse"])), 2)) for f in m.folds]
+    return spark.createDataFrame(rows, "fold int, n_test bigint, r2 double, rmse double")
 
 
 # --------------------------------------------------------------------------- oracle SQL
@@ -145,6 +158,63 @@ fp AS (SELECT t.fold, t.y, coalesce(fm.m, fb.b0) AS p FROM ft t JOIN fb ON fb.fo
        LEFT JOIN fm ON fm.fold = t.fold AND fm.company_name = t.company_name),
 fs AS (SELECT fold, count(*) AS n_test, sum((y - p) * (y - p)) AS sse, var_pop(y) * count(*) AS sst FROM fp GROUP BY fold)"""
 
+# Solves each fold's normal equations ``eqs`` (fold, m: rows of the augmented matrix, of
+# ``size`` unknowns) by elimination; ``sol`` (fold, i, b).
+def _solve_sql(size: int) -> str:
+    return f"""el AS (
+  SELECT fold, 0 AS k, m FROM eqs
+  UNION ALL SELECT fold, k + 1, list_transform(m, lambda r, i: CASE WHEN i = k + 1 THEN list_transform(r, lambda v: v / r[k + 1])
+    ELSE list_transform(r, lambda v, j: v - r[k + 1] / m[k + 1][k + 1] * m[k + 1][j]) END)
+  FROM el WHERE k < {size}),
+sol AS (SELECT fold, i, m[i][{size} + 1] AS b FROM el, (SELECT unnest(range(1, {size} + 1)) AS i) WHERE k = {size})"""
+
+
+# ``zs`` (fold, id, i, y): the features of each training row of each fold's fit.
+_EQS = """gr AS (SELECT a.fold, a.i, b.i AS j, count(*)::DOUBLE AS g FROM zs a JOIN zs b USING (fold, id) GROUP BY ALL),
+rhs AS (SELECT fold, i, sum(y) AS g FROM zs GROUP BY ALL),
+eqs AS (SELECT fold, list(r ORDER BY i) AS m FROM (
+  SELECT f.fold, a.i, list(coalesce(gr.g, 0) {ridge} ORDER BY b.i) || [coalesce(any_value(rhs.g), 0)] AS r
+  FROM (SELECT DISTINCT fold FROM zs) f CROSS JOIN fe a CROSS JOIN fe b
+  LEFT JOIN gr ON gr.fold = f.fold AND gr.i = a.i AND gr.j = b.i LEFT JOIN rhs ON rhs.fold = f.fold AND rhs.i = a.i
+  GROUP BY f.fold, a.i) GROUP BY fold)"""
+
+# One level of each category left out: the fit is the same, the equations are regular.
+MULTI = f"""rows0 AS (SELECT posting_id AS id, company_name, location, normalized_salary AS y,
+         ('0x' || substr(md5('42:' || posting_id), 1, 8))::BIGINT % {K} AS fold FROM P
+       WHERE company_name IS NOT NULL AND location IS NOT NULL AND title IS NOT NULL AND normalized_salary IS NOT NULL),
+fnames AS (SELECT DISTINCT 'c:' || company_name AS f FROM rows0 WHERE company_name > (SELECT min(company_name) FROM rows0)
+  UNION ALL SELECT DISTINCT 'l:' || location FROM rows0 WHERE location > (SELECT min(location) FROM rows0)
+  UNION ALL SELECT unnest(['', 's:SMALL', 's:PROMO'])),
+fe AS (SELECT f, row_number() OVER (ORDER BY f) AS i FROM fnames),
+z AS (SELECT r.id, r.fold, r.y, fe.i FROM (
+    SELECT id, fold, y, unnest(['', 'c:' || company_name, 'l:' || location]) AS f FROM rows0
+    UNION ALL SELECT r.id, r.fold, r.y, 's:' || S.skill FROM rows0 r JOIN S ON S.posting_id = r.id WHERE S.skill IN ('SMALL', 'PROMO')) r
+  JOIN fe USING (f)),
+zs AS (SELECT t.fold, z.id, z.i, z.y FROM z, (SELECT unnest(range({K})) AS fold) t WHERE z.fold <> t.fold),
+{_EQS.format(ridge='')},
+{_solve_sql(31)},
+pr AS (SELECT z.fold, z.id, any_value(z.y) AS y, sum(sol.b) AS p FROM z JOIN sol ON sol.fold = z.fold AND sol.i = z.i GROUP BY z.fold, z.id)"""
+
+# Titles refine the other two categories. Every title seen in training gets its mean; of
+# the coefficients that do so the least norm minimises |g|^2 + sum over titles (m_t - z_t g)^2
+# for the g of intercept, companies and locations, which predict the titles not seen.
+NESTED = f"""rows0 AS (SELECT posting_id, company_name, location, title, normalized_salary AS y,
+         ('0x' || substr(md5('42:' || posting_id), 1, 8))::BIGINT % {K} AS fold FROM P
+       WHERE company_name IS NOT NULL AND location IS NOT NULL AND title IS NOT NULL AND normalized_salary IS NOT NULL),
+tm AS (SELECT t.fold, r.title, any_value(r.company_name) AS company_name, any_value(r.location) AS location, avg(r.y) AS m
+       FROM rows0 r, (SELECT unnest(range({K})) AS fold) t WHERE r.fold <> t.fold GROUP BY t.fold, r.title),
+fe AS (SELECT f, row_number() OVER (ORDER BY f) AS i FROM (
+  SELECT '' AS f UNION SELECT 'c:' || company_name FROM rows0 UNION SELECT 'l:' || location FROM rows0)),
+zs AS (SELECT fold, title AS id, fe.i, m AS y FROM (SELECT fold, title, m, unnest(['', 'c:' || company_name, 'l:' || location]) AS f FROM tm) JOIN fe USING (f)),
+{_EQS.format(ridge='+ (a.i = b.i)::INT')},
+{_solve_sql(31)},
+un AS (SELECT r.posting_id, sum(sol.b) AS p FROM (SELECT posting_id, fold, unnest(['', 'c:' || company_name, 'l:' || location]) AS f FROM rows0) r
+       JOIN fe USING (f) JOIN sol ON sol.fold = r.fold AND sol.i = fe.i GROUP BY r.posting_id),
+pr AS (SELECT r.fold, r.y, coalesce(tm.m, un.p) AS p FROM rows0 r JOIN un USING (posting_id) LEFT JOIN tm ON tm.fold = r.fold AND tm.title = r.title)"""
+
+FOLD_SCORES = """SELECT fold::INT AS fold, count(*) AS n_test, round_even(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) AS r2,
+       round_even(sqrt(avg((y - p) * (y - p))), 2) AS rmse FROM pr GROUP BY fold"""
+
 SQL = {
     "one_hot": fx.with_views("SELECT posting_id, " + ", ".join(
         f"CAST(coalesce(company_name = '{v}', false) AS INTEGER) AS \"company_name_{v}\"" for v in SEGMENTS) + " FROM P", "P"),
@@ -192,6 +262,11 @@ FROM (SELECT y, avg(y) OVER (PARTITION BY title) AS m FROM (
         SELECT title, normalized_salary AS y FROM P
         WHERE company_name IS NOT NULL AND location IS NOT NULL AND title IS NOT NULL
           AND normalized_salary IS NOT NULL))""", "P"),
+    "ols_multi_fit": fx.with_views(FOLD_SCORES, "P", "S", extra=MULTI, recursive=True),
+    "kfold_nested": fx.with_views(FOLD_SCORES, "P", extra=NESTED, recursive=True),
+    "kfold_wide": fx.with_views("""
+SELECT CAST(fold AS INTEGER) AS fold, n_test, round_even(1 - sse / sst, 6) AS r2, round_even(sqrt(sse / n_test), 2) AS rmse FROM fs""",
+        "P", extra=(TRAIN + ",\n" + FOLDS).replace("company_name", "title")),
     "seeded_sample": fx.with_views(
         "SELECT posting_id, company_name FROM P ORDER BY md5('42:' || posting_id), posting_id LIMIT 500", "P"),
     "scenario_skills": fx.with_views("""
@@ -216,7 +291,9 @@ QUERIES = {
     "top_coefficients": (q_top_coefficients, SQL["top_coefficients"]),
     "parity_range": (q_parity_range, SQL["parity_range"]),
     "ols_wide_metrics": (q_ols_wide_metrics, SQL["ols_wide_metrics"]),
-    "ols_multi_fit": (q_ols_multi_fit, None),
+    "ols_multi_fit": (q_ols_multi_fit, SQL["ols_multi_fit"]),
+    "kfold_nested": (q_kfold_nested, SQL["kfold_nested"]),
+    "kfold_wide": (q_kfold_wide, SQL["kfold_wide"]),
     "seeded_sample": (q_seeded_sample, SQL["seeded_sample"]),
     "scenario_skills": (q_scenario_skills, SQL["scenario_skills"]),
 }

@@ -48,7 +48,7 @@ def test_wide_fit_reports_all_coefficients_and_convergence(spark):
     rows = [(i, f"t{i % 150}", float(i % 150)) for i in range(900)]
     df = spark.createDataFrame(rows, "posting_id long, title string, normalized_salary double")
     m = LN.fit_least_squares(df, None, ["title"], [], dense_max=10)
-    assert LN.top_coefficients(m.coefficients(spark), 100).count() == 100
+    assert LN.top_coefficients(m.coefficients(), 100).count() == 100
     dense = LN.fit_least_squares(df, None, ["title"], [])
     assert np.allclose(dict(zip(m.names, m.beta, strict=True))["title_t7"], dict(zip(dense.names, dense.beta, strict=True))["title_t7"], atol=1e-6)
     with pytest.raises(RuntimeError, match="converge"):
