@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from hirescope.execution import cut_lineage
 from hirescope.functions.vectors import block, block_distances, distance, dot, lit_mat, lit_vec, sq_distance
 from hirescope.operators.filters import positive_salary
 from hirescope.operators.quantiles import exact_quantiles
@@ -255,8 +256,7 @@ def silhouette_sq(labels: DataFrame, col: str = "x", label: str = "cluster") ->
     """J10 (scalable form): mean silhouette with squared euclidean distance.
 
     Decomposes into per-cluster sums, so no pair of points is formed
-    (MLlib's ClusteringEvaluator). Exact euclidean silhouette needs every pair
-    and is not offered.
+    (MLlib's ClusteringEvaluator).
     """
     ev = ClusteringEvaluator(featuresCol="__v", predictionCol="__l", metricName="silhouette",
                              distanceMeasure="squaredEuclidean")
@@ -264,6 +264,93 @@ def silhouette_sq(labels: DataFrame, col: str = "x", label: str = "cluster") ->
     return float(ev.evaluate(data))
 
 
+def _packed(points: DataFrame, col: str, label: str, id_col: str, size: int) -> DataFrame:
+    """(block, ids, labels, xs): the points dealt by a hash of their id into blocks of
+    about ``size``, each one row with its coordinates end to end."""
+    blocks = max(1, math.ceil(points.count() / size))
+    return cut_lineage(
+        points.groupBy(F.pmod(F.xxhash64(F.col(id_col)), F.lit(blocks)).cast("int").alias("block"))
+              .agg(F.collect_list(F.struct(F.col(id_col).alias("id"), F.col(label).alias("label"), F.col(col).cast("array<double>").alias("x"))).alias("p"))
+              .select("block", F.col("p.id").alias("ids"), F.col("p.label").alias("labels"), F.flatten("p.x").alias("xs")))
+
+
+def silhouette_points(labels: DataFrame, col: str = "x", label: str = "cluster", id_col: str = "id",
+                      queries: DataFrame | None = None, block_points: int = 2048) -> DataFrame:
+    """(id, label, silhouette) under euclidean distance, for the points of
+    ``queries`` (a subset of ``labels``; default: all) against all points.
+
+    Points are packed into blocks; a block of queries meets every block of points, one
+    pair of blocks at a time, and leaves one row: for each query the sum of its
+    distances to each cluster. So work grows with queries x points, but no pair of
+    points is ever a row, and a task holds two blocks. A point alone in its cluster has
+    silhouette 0, as has one with no distance to anything.
+    """
+    sizes = {r[label]: r["n"] for r in labels.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}  # k rows
+    names = sorted(sizes)
+    if len(names) < 2:
+        raise ValueError("need at least 2 clusters")
+    place, n = {name: i for i, name in enumerate(names)}, np.array([sizes[name] for name in names], float)
+    d = _dim(labels, col)
+    packed = _packed(labels, col, label, id_col, block_points)
+    asked = packed if queries is None else _packed(queries, col, label, id_col, block_points)
+    everywhere = [r["block"] for r in packed.select("block").collect()]  # n / block_points numbers
+
+    def against(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                mine, other = (batch.column(c)[i].values.to_numpy(zero_copy_only=False).reshape(-1, d) for c in (1, 2))
+                where = np.array([place[v] for v in batch.column(3)[i].as_py()])
+                squares = (mine * mine).sum(axis=1)[:, None] + (other * other).sum(axis=1)[None, :] - 2 * mine @ other.T
+                # The short form loses digits for points close to each other: those are taken again.
+                near = squares <= 1e-6 * ((mine * mine).sum(axis=1)[:, None] + 1e-300)
+                rows, cols = np.nonzero(near)
+                squares[rows, cols] = ((mine[rows] - other[cols]) ** 2).sum(axis=1)
+                member = np.zeros((len(other), len(n)))
+                member[np.arange(len(other)), where] = 1.0
+                sums = np.sqrt(np.maximum(squares, 0.0)) @ member
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), pa.array([sums.ravel()], pa.list_(pa.float64()))], ["block", "sums"])
+
+    pairs = (asked.select("block", F.col("xs").alias("mine"), F.explode(F.array(*map(F.lit, everywhere))).alias("other"))
+                  .join(packed.select(F.col("block").alias("other"), "xs", "labels"), "other"))
+    block_type = "block int, sums array<double>"
+    partial = pairs.select("block", "mine", "xs", "labels").mapInArrow(against, block_type)
+
+    def add(rows: pa.Table) -> pa.Table:
+        total = np.sum([r.values.to_numpy() for r in rows.column("sums")], axis=0)
+        return pa.table({"block": rows.column("block").slice(0, 1), "sums": pa.array([total], pa.list_(pa.float64()))})
+
+    summed = partial.groupBy("block").applyInArrow(add, block_type)
+    point = (asked.select("block", F.posexplode(F.arrays_zip("ids", "labels")).alias("at", "p"))
+                  .join(summed, "block")
+                  .select(F.col("p.ids").alias(id_col), F.col("p.labels").alias(label),
+                          F.slice("sums", F.col("at") * len(n) + 1, F.lit(len(n))).alias("sums")))
+    total, counts = F.col("sums"), lit_vec(n)
+    own = F.create_map(*[x for name, i in place.items() for x in (F.lit(name), F.lit(i))])[F.col(label)]
+    inside = F.get(total, own) / (F.get(counts, own) - 1)
+    means = F.zip_with(total, counts, lambda s, c: s / c)
+    outside = F.array_min(F.transform(means, lambda m, i: F.when(i != own, m)))
+    width = F.greatest(inside, outside)
+    return point.select(id_col, label, F.when((F.get(counts, own) == 1) | (width == 0), 0.0).otherwise((outside - inside) / width).alias("silhouette"))
+
+
+def silhouette_exact(labels: DataFrame, col: str = "x", label: str = "cluster", id_col: str = "id") -> float:
+    """The mean euclidean silhouette of all points. Distances grow with the square
+    of n; for many points use ``silhouette_estimate``."""
+    return float(silhouette_points(labels, col, label, id_col).agg(F.avg("silhouette")).first()[0])
+
+
+def silhouette_estimate(labels: DataFrame, n_sample: int, col: str = "x", label: str = "cluster", id_col: str = "id",
+                        seed: int = 42) -> tuple[float, float]:
+    """J10 for many points: the mean silhouette of a seeded sample, each against all
+    points, and its standard error. Unbiased, since each sampled value is exact; the
+    error falls with the part not sampled."""
+    total = labels.count()
+    sample = seeded_sample(labels.select(id_col, col, label), n_sample, id_col, seed)
+    r = silhouette_points(labels, col, label, id_col, sample).agg(
+        F.avg("silhouette").alias("mean"), F.var_samp("silhouette").alias("var"), F.count(F.lit(1)).alias("m")).first()
+    return float(r["mean"]), float(math.sqrt((r["var"] or 0.0) / r["m"] * (1 - r["m"] / total)))
+
+
 def _centres_by_label(labels: DataFrame, col: str, label: str) -> tuple[list[int], np.ndarray]:
     means = cluster_means(labels, 0, col, label)
     ks = sorted(means)

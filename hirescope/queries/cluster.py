@@ -68,7 +68,7 @@ def q_skill_cluster_fit(spark: SparkSession, sf: str) -> DataFrame:
 def q_pca_scores(spark: SparkSession, sf: str) -> DataFrame:
     pr = CL.pca(_e(spark, sf), 3, COL)
     s = F.col("scores")
-    return pr.scores.select(ID, s[0].alias("pc1"), s[1].alias("pc2"), s[2].alias("pc3"))
+    return pr.scores.select(ID, *[F.bround(s[i], 5).alias(f"pc{i + 1}") for i in range(3)])
 
 
 def q_pca_variance(spark: SparkSession, sf: str) -> DataFrame:
@@ -87,6 +87,16 @@ def q_silhouette_sq(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame([(round(v, 4),)], "silhouette double")
 
 
+def q_silhouette_exact(spark: SparkSession, sf: str) -> DataFrame:
+    v = CL.silhouette_exact(_e(spark, sf), COL, LAB, ID)
+    return spark.createDataFrame([(round(v, 6),)], "silhouette double")
+
+
+def q_silhouette_estimate(spark: SparkSession, sf: str) -> DataFrame:
+    mean, error = CL.silhouette_estimate(_e(spark, sf), 200, COL, LAB, ID)
+    return spark.createDataFrame([(round(mean, 6), round(error, 6))], "silhouette double, standard_error double")
+
+
 def q_davies_bouldin(spark: SparkSession, sf: str) -> DataFrame:
     v = CL.davies_bouldin(_e(spark, sf), COL, LAB)
     return spark.createDataFrame([(round(v, 6),)], "davies_bouldin double")
@@ -215,6 +225,33 @@ ab AS (SELECT p.vec_id, p.la,
 sv AS (SELECT e.vec_id, CASE WHEN s1.n = 1 THEN 0.0 ELSE (ab.b - ab.a) / greatest(ab.a, ab.b) END AS s
        FROM E e JOIN sz s1 ON s1.label = e.label LEFT JOIN ab ON ab.vec_id = e.vec_id)"""
 
+SIL_EXACT = SIL.replace(")) AS d", "))) AS d").replace("list_sum(", "sqrt(list_sum(")
+
+# The three leading eigenvectors of the covariance: a matrix squared 16 times over (and
+# scaled) leaves its leading one, which is then taken out of the covariance.
+_SQUARE = """s{n} AS (
+  SELECT 0 AS t, m FROM c{n}
+  UNION ALL SELECT t + 1, list_transform(q, lambda r: list_transform(r, lambda v: v / mx)) FROM (
+    SELECT t, q, list_max(list_transform(q, lambda r: list_max(list_transform(r, lambda v: abs(v))))) AS mx FROM (
+      SELECT t, list_transform(m, lambda r: list_transform(m, lambda o: list_dot_product(r, o))) AS q FROM s{n} WHERE t < 16))),
+r{n} AS (SELECT list_extract(m, list_position(dg, list_max(dg))::BIGINT) AS v FROM (
+  SELECT m, list_transform(m, lambda r, i: r[i]) AS dg FROM s{n} WHERE t = 16)),
+v{n} AS (SELECT list_transform(v, lambda x: x * sg / nm) AS v FROM (
+  SELECT v, sqrt(list_dot_product(v, v)) AS nm,
+         sign(v[list_position(list_transform(v, lambda x: abs(x)), list_max(list_transform(v, lambda x: abs(x))))]) AS sg FROM r{n})),
+e{n} AS (SELECT v, list_dot_product(v, list_transform(m, lambda r: list_dot_product(r, v))) AS ev FROM v{n}, c{n}),
+c{next} AS (SELECT list_transform(m, lambda r, i: list_transform(r, lambda x, j: x - ev * v[i] * v[j])) AS m FROM c{n}, e{n})"""
+
+PCA3 = """ex AS (SELECT vec_id, unnest(range(1, len(embedding) + 1)) AS dim, unnest(embedding)::DOUBLE AS x FROM E),
+mu AS (SELECT dim, avg(x) AS mu, var_pop(x) AS vp FROM ex GROUP BY dim),
+zx AS (SELECT vec_id, list(x - mu ORDER BY dim) AS z FROM ex JOIN mu USING (dim) GROUP BY vec_id),
+zl AS (SELECT vec_id, dim, x - mu AS z FROM ex JOIN mu USING (dim)),
+cv AS (SELECT a.dim AS i, b.dim AS j, sum(a.z * b.z) / ((SELECT count(*) FROM E) - 1) AS c FROM zl a JOIN zl b USING (vec_id) GROUP BY ALL),
+c1 AS (SELECT list(r ORDER BY i) AS m FROM (SELECT i, list(c ORDER BY j) AS r FROM cv GROUP BY i)),
+""" + ",\n".join(_SQUARE.format(n=n, next=n + 1) for n in (1, 2, 3)) + """,
+pc AS (SELECT vec_id, list_dot_product(z, (SELECT v FROM v1)) AS pc1, list_dot_product(z, (SELECT v FROM v2)) AS pc2,
+              list_dot_product(z, (SELECT v FROM v3)) AS pc3 FROM zx)"""
+
 CENT = """cm AS (SELECT label, list(m ORDER BY dim) AS c FROM lm GROUP BY label),
 sc AS (SELECT label, avg(dist) AS s FROM dd GROUP BY label),
 pairc AS (SELECT a.label AS i, b.label AS j, (sa.s + sb.s) / """ + _dist("a.c", "b.c", "euclidean") + """ AS r
@@ -278,6 +315,17 @@ asg AS (SELECT vec_id, cluster FROM (
   SELECT e.vec_id, c.cluster,
          row_number() OVER (PARTITION BY e.vec_id ORDER BY {_dist('e.embedding', 'c.c', 'euclidean')}, c.cluster) AS rk
   FROM E e CROSS JOIN cen c) WHERE rk = 1)"""),
+    "silhouette_exact": fx.with_views("SELECT round_even(avg(s), 6) AS silhouette FROM sv", "E", extra=SIL_EXACT),
+    "silhouette_estimate": fx.with_views("""
+SELECT round_even(avg(s), 6) AS silhouette, round_even(sqrt(var_samp(s) / count(*) * (1 - count(*) / (SELECT count(*) FROM E))), 6) AS standard_error
+FROM (SELECT s FROM sv ORDER BY md5('42:' || vec_id), vec_id LIMIT 200)""", "E", extra=SIL_EXACT),
+    "pca_scores": fx.with_views(
+        "SELECT vec_id, round_even(pc1, 5) AS pc1, round_even(pc2, 5) AS pc2, round_even(pc3, 5) AS pc3 FROM pc", "E", extra=PCA3, recursive=True),
+    "pca_variance": fx.with_views("""
+SELECT component, round_even(ev, 3) AS eigenvalue, round_even(100 * ev / tot, 3) AS pct_variance,
+       round_even(sum(100 * ev / tot) OVER (ORDER BY component), 3) AS cumulative_pct
+FROM (SELECT unnest(['PC1', 'PC2', 'PC3']) AS component, unnest([var_pop(pc1), var_pop(pc2), var_pop(pc3)]) AS ev FROM pc),
+     (SELECT sum(vp) AS tot FROM mu)""", "E", extra=PCA3, recursive=True),
     "silhouette_sq": fx.with_views("SELECT round_even(avg(s), 4) AS silhouette FROM sv", "E", extra=SIL),
     "davies_bouldin": fx.with_views(
         "SELECT round_even(avg(mx), 6) AS davies_bouldin FROM (SELECT i, max(r) AS mx FROM pairc GROUP BY i)",
@@ -339,9 +387,11 @@ QUERIES = {
     "cluster_map": (q_cluster_map, SQL["cluster_map"]),
     "cluster_fit": (q_cluster_fit, None),
     "skill_cluster_fit": (q_skill_cluster_fit, None),
-    "pca_scores": (q_pca_scores, None),
-    "pca_variance": (q_pca_variance, None),
+    "pca_scores": (q_pca_scores, SQL["pca_scores"]),
+    "pca_variance": (q_pca_variance, SQL["pca_variance"]),
     "kmeans_k_sweep": (q_kmeans_k_sweep, None),
+    "silhouette_exact": (q_silhouette_exact, SQL["silhouette_exact"]),
+    "silhouette_estimate": (q_silhouette_estimate, SQL["silhouette_estimate"]),
     "silhouette_sq": (q_silhouette_sq, SQL["silhouette_sq"]),
     "davies_bouldin": (q_davies_bouldin, SQL["davies_bouldin"]),
     "calinski_harabasz": (q_calinski_harabasz, SQL["calinski_harabasz"]),
