@@ -148,7 +148,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 def fingerprint_digest(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The contract's columns: every text, and its edit, whose last quarter is replaced by
     the beginning of the next document's text."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    # A cast that does nothing would leave an alias, and the two readings of ``named`` would differ.
+    key = F.col("doc_id") if dict(docs.dtypes)["doc_id"] == "bigint" else F.col("doc_id").cast("long")
+    rows = docs.select(key, F.coalesce("text", F.lit("")).alias("text"))
     named = rows.where("doc_id IS NOT NULL")
     sizes = named.groupBy("doc_id").agg(F.max(F.floor(F.length("text") / 4)).alias("take"))
     links = next_ids(named.select("doc_id")).join(sizes, "doc_id").select(F.col("doc_id").alias("to"), "take", F.col("next_id").alias("doc_id"))
