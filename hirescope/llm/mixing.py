@@ -2,17 +2,17 @@
 
 Documents fall into cells of source, language and topic; each cell's token count is
 raked until its sums by source, by language and by topic meet the targets, and
-every document of a cell is then sampled with the cell's calibrated probability:
+every document of a cell is then drawn with the cell's calibrated expectation ``p``:
 the raked share over the actual share, scaled so that the expected number of tokens
-is ``rate`` of the input's. Where a cell would then need more tokens than it has, all
-probabilities are scaled down alike, to the largest rate at which none exceeds 1, so
-that the sample's shares stay the raked ones: the shares go before the rate.
+is ``rate`` of the input's. Where a cell needs more tokens than it has, p exceeds 1:
+a document is taken floor(p) times, and once more with the probability that is left.
+So shares and rate are both held, whatever the targets.
 
 Targets are the actual shares raised to ``power`` and normalised (tempered sampling),
 so that small sources, languages and topics gain; others can be passed. The topic is
 read off the text by simple rules (``topic_of``). Documents are reduced to cells in
-one grouped sum; raking runs on the cell table with window sums, a cut of the
-lineage every few sweeps; cells are joined back to the documents. Whether a document
+one grouped sum; raking runs on the cell table with window sums, the
+lineage cut after each sweep; cells are joined back to the documents. Whether a document
 is drawn depends on a hash of its id, so a rerun draws the same ones.
 
 Defined results: null source, language or text are categories of their own (shown
@@ -34,7 +34,7 @@ from hirescope.llm.common import fresh, stash
 
 AXES = ("source", "lang", "topic")
 SWEEPS = 12
-SWEEPS_PER_CUT = 4
+SWEEPS_PER_CUT = 1
 
 
 def topic_of(text: Column) -> Column:
@@ -77,14 +77,11 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS)
 
 
 def cell_probabilities(rows: DataFrame, rate: float, power: float, targets: dict[str, DataFrame] | None = None) -> DataFrame:
-    """The axes and ``p``, the probability with which a cell's documents are drawn."""
+    """The axes and ``p``, how often a cell's documents are expected to be drawn."""
     cells = stash(rows.groupBy(*AXES).agg(F.sum("tokens").alias("tokens")))
     raked = stash(rake(cells, targets or {a: tempered(cells, a, power) for a in AXES}))
-    # ``room`` is the scale at which the scarcest cell is drawn whole.
-    room = F.min(F.when(F.col("weight") > 0, F.col("tokens") / F.col("weight")))
-    total, weight, room = raked.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(1.0)), room).first()
-    scale = rate * float(total) / weight if room is None else min(rate * float(total) / weight, room)
-    return raked.select(*AXES, F.least(F.lit(1.0), F.lit(scale) * F.col("weight") / F.col("tokens")).alias("p"))
+    total, weight = raked.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(1.0))).first()
+    return raked.select(*AXES, (F.lit(rate * float(total) / weight) * F.col("weight") / F.col("tokens")).alias("p"))
 
 
 def _drawn(doc_id: Column, seed: int) -> Column:
@@ -93,23 +90,29 @@ def _drawn(doc_id: Column, seed: int) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / float(1 << 52)
 
 
+def _copies(doc_id: Column, p: Column, seed: int) -> Column:
+    """How often a document with expectation ``p`` is taken."""
+    return (F.floor(p) + (_drawn(doc_id, seed) < p - F.floor(p)).cast("long")).cast("long")
+
+
 def mix(docs: DataFrame, rate: float = 0.5, power: float = 0.6, seed: int = 9, targets: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Every row's axes, ``tokens``, ``p`` and whether it is ``sampled``."""
+    """Every row's axes, ``tokens``, ``p``, its ``copies`` in the sample, and whether it is ``sampled`` at all."""
     rows = cells_of(docs)
-    p = broadcast_if_small(cell_probabilities(rows, rate, power, targets))
-    return rows.join(p, list(AXES), "left").select(
-        "doc_id", *AXES, "tokens", F.coalesce("p", F.lit(0.0)).alias("p"),
-        (_drawn(F.col("doc_id"), seed) < F.coalesce("p", F.lit(0.0))).alias("sampled"))
+    cell = broadcast_if_small(cell_probabilities(rows, rate, power, targets))
+    p = F.coalesce("p", F.lit(0.0))
+    copies = _copies(F.col("doc_id"), p, seed)
+    return rows.join(cell, list(AXES), "left").select("doc_id", *AXES, "tokens", p.alias("p"), copies.alias("copies"), (copies > 0).alias("sampled"))
 
 
 def sample_mixture(docs: DataFrame, rate: float = 0.5, power: float = 0.6, seed: int = 9) -> DataFrame:
-    """The rows of ``docs`` that are drawn, with all their columns."""
+    """The rows of ``docs`` that are drawn, as often as they are, with all their columns."""
     p = cell_probabilities(cells_of(docs), rate, power)
     names = {a: fresh(docs, f"cell_{a}") for a in (*AXES, "p")}
     marked = docs.withColumns({names["source"]: F.coalesce("source", F.lit("")), names["lang"]: F.coalesce("lang", F.lit("")),
                                names["topic"]: topic_of(F.coalesce("text", F.lit("")))})
     joined = marked.join(broadcast_if_small(p.select(*[F.col(a).alias(names[a]) for a in (*AXES, "p")])), [names[a] for a in AXES])
-    return joined.where(_drawn(F.col("doc_id"), seed) < F.col(names["p"])).select(*docs.columns)
+    times = F.array_repeat(F.lit(0), _copies(F.col("doc_id"), F.col(names["p"]), seed).cast("int"))
+    return joined.select(*docs.columns, F.explode(times).alias(fresh(docs, "copy"))).select(*docs.columns)
 
 
 def oracle_sql(rate: float = 0.5, power: float = 0.6, seed: int = 9, sweeps: int = SWEEPS) -> str:
@@ -134,8 +137,12 @@ w0 AS MATERIALIZED (
   SELECT source, lang, topic, sum(tokens)::BIGINT AS tokens, sum(tokens)::DOUBLE AS weight FROM given GROUP BY ALL HAVING sum(tokens) > 0),
 {targets},
 {", ".join(steps)},
-cell AS (SELECT source, lang, topic, least(1.0, {rate} * sum(tokens) OVER () * weight / sum(weight) OVER () / tokens) AS p FROM {last})
-SELECT doc_id, source, lang, topic, tokens, coalesce(p, 0.0) AS p,
-       ('0x' || substr(md5('{seed}:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE / {1 << 52}.0 < coalesce(p, 0.0) AS sampled
-FROM given LEFT JOIN cell USING (source, lang, topic)
+cell AS (SELECT source, lang, topic, {rate} * sum(tokens) OVER () * weight / sum(weight) OVER () / tokens AS p FROM {last}),
+drawn AS (
+  SELECT given.*, coalesce(p, 0.0) AS p,
+         ('0x' || substr(md5('{seed}:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE / {1 << 52}.0 AS u
+  FROM given LEFT JOIN cell USING (source, lang, topic))
+SELECT doc_id, source, lang, topic, tokens, p, floor(p)::BIGINT + (u < p - floor(p))::BIGINT AS copies,
+       floor(p)::BIGINT + (u < p - floor(p))::BIGINT > 0 AS sampled
+FROM drawn
 """
