@@ -17,6 +17,7 @@ null ids; other columns are ignored.
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -28,7 +29,9 @@ from pyspark.sql import functions as F
 from hirescope.execution import broadcast_if_small
 from hirescope.llm.common import held_out
 
-LETTERS = re.compile(r"[^\W\d_]+")
+# \w without digits and '_' still holds numerals such as fractions and Roman figures.
+NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+LETTERS = re.compile(rf"[^\W\d_{re.escape(NUMERALS)}]+")
 ORDERS = (4, 3, 2, 1)
 UNKNOWN = "und"
 

@@ -295,3 +295,21 @@ def test_label_model_separates():
     prob = quality.fit_label_model([((G, G, G), 900), ((B, G, G), 5), ((B, B, G), 40), ((B, B, A), 30), ((A, A, A), 3)])
     assert prob[G, G, G] > 0.9 > 0.5 > prob[B, B, G]
     assert quality.fit_label_model([]) == {}
+
+
+def test_numerals_are_no_letters():
+    from hirescope.llm.langid import LETTERS
+    assert LETTERS.findall("½ ② Ⅷ ٣ x²y _a1é") == ["x", "y", "a", "é"]
+
+
+def test_a_text_too_long_for_the_sample_is_passed_over(spark):
+    """One training text longer than a class's half of the bound changes no sample but its own."""
+    words = ["river", "stone", "cloud", "table", "green", "paper"]
+    rows = [(i, " ".join(words[(i + k) % 6] for k in range(12)) + (" awful slur" if i % 2 else " kind note")) for i in range(400)]
+    long_ids = [i for i in range(400, 480)]
+    docs = spark.createDataFrame(rows + [(i, "word " * 30000) for i in long_ids], "doc_id long, text string").selectExpr("*", "'en' AS lang")
+    marks = spark.createDataFrame([(i, i % 2) for i in range(400)] + [(i, 0) for i in long_ids], "doc_id long, toxic int")
+    model = toxicity.toxicity_model(docs, marks, max_words=40_000)
+    got = {r.doc_id: r.score for r in toxicity.score_toxicity(docs, model).collect()}
+    assert model["net"] is not None
+    assert sum(got[i] for i in range(1, 400, 2)) > 2 * sum(got[i] for i in range(0, 400, 2))
