@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
@@ -119,11 +120,7 @@ def pca(df: DataFrame, k: int, col: str = "x", out: str = "scores", center: bool
         mean = np.zeros_like(mean)
     vec = df.select(array_to_vector(col).alias("v"))
     model = MLPCA(k=int(k), inputCol="v", outputCol="p").fit(vec)
-    comps = np.array(model.pc.toArray(), dtype=float, copy=True)
-    for j in range(comps.shape[1]):
-        i = int(np.argmax(np.abs(comps[:, j])))
-        if comps[i, j] < 0:
-            comps[:, j] = -comps[:, j]
+    comps = _signed(np.array(model.pc.toArray(), dtype=float, copy=True))
     ev = np.array(model.explainedVariance.toArray(), dtype=float, copy=True)
     xc = F.zip_with(F.col(col), lit_vec(mean), lambda a, m: a - m)
     scores = df.withColumn("__xc", xc).withColumn(
@@ -131,6 +128,87 @@ def pca(df: DataFrame, k: int, col: str = "x", out: str = "scores", center: bool
     return PCAResult(scores=scores, components=comps, mean=mean, explained_ratio=ev)
 
 
+def _signed(comps: np.ndarray) -> np.ndarray:
+    """Components (columns) with their loading of largest magnitude made positive."""
+    top = np.abs(comps).argmax(axis=0)
+    return comps * np.where(comps[top, np.arange(comps.shape[1])] < 0, -1.0, 1.0)
+
+
+def _gathered(cols: pa.Array, table: np.ndarray) -> np.ndarray:
+    """Per list of column numbers the sum of those rows of ``table``."""
+    sums = np.concatenate([np.zeros((1, table.shape[1])), np.cumsum(table[cols.flatten().to_numpy(zero_copy_only=False)], axis=0)])
+    ends = np.cumsum(np.concatenate([[0], pa.compute.list_value_length(cols).to_numpy(zero_copy_only=False)]))
+    return sums[ends[1:]] - sums[ends[:-1]]
+
+
+def pca_sparse(df: DataFrame, k: int, d: int, cols: str = "cols", out: str = "scores", oversample: int = 8,
+               tol: float = 1e-9, max_iter: int = 300, seed: int = 42) -> PCAResult:
+    """J6 for wide 0/1 data: ``cols`` holds the numbers (0 to d - 1) of a point's columns that are 1.
+
+    Randomised subspace iteration: a block of k + ``oversample`` directions is multiplied
+    with the covariance in one pass over the sparse rows (numpy over Arrow batches, one
+    partial sum per task and column) and made orthonormal again, until every wanted
+    Ritz pair's residual is below ``tol`` of the first eigenvalue. The mean enters as a
+    correction, so rows stay sparse, and no d x d matrix exists anywhere; the driver holds
+    the block, d x (k + oversample) numbers.
+    """
+    wide = min(int(k) + oversample, d)
+    k = min(int(k), d)
+    n = df.count()
+    ones = df.select(F.explode(cols).alias("j")).groupBy("j").agg(F.count(F.lit(1)).alias("n")).toPandas()
+    mean = np.zeros(d)
+    mean[ones["j"].to_numpy(int)] = ones["n"].to_numpy(float) / max(n, 1)
+    total = float((mean * (1 - mean)).sum()) * n / max(n - 1, 1)
+    context = df.sparkSession.sparkContext
+    points = df.select(F.coalesce(F.col(cols).cast("array<int>"), F.array().cast("array<int>")).alias(cols))
+    kind = "j int, " + ", ".join(f"s{i} double" for i in range(wide))
+
+    def product(v: np.ndarray) -> np.ndarray:
+        """The covariance times ``v``."""
+        shared = context.broadcast((v, mean @ v))
+
+        def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            table, shift = shared.value
+            back = np.zeros_like(table)
+            for batch in batches:
+                given = batch.column(0)
+                y = _gathered(given, table) - shift
+                np.add.at(back, given.flatten().to_numpy(zero_copy_only=False),
+                          np.repeat(y, pa.compute.list_value_length(given).to_numpy(zero_copy_only=False), axis=0))
+            j = np.flatnonzero(back.any(axis=1))
+            yield pa.RecordBatch.from_arrays([pa.array(j, pa.int32()), *[pa.array(back[j, i]) for i in range(wide)]],
+                                             ["j", *[f"s{i}" for i in range(wide)]])
+
+        got = points.mapInArrow(sums, kind).groupBy("j").agg(*[F.sum(f"s{i}").alias(f"s{i}") for i in range(wide)]).toPandas()
+        shared.unpersist()
+        result = np.zeros_like(v)
+        result[got["j"].to_numpy(int)] = got.drop(columns="j").to_numpy(float)
+        return result / max(n - 1, 1)
+
+    v = np.linalg.qr(np.random.default_rng(seed).normal(size=(d, wide)))[0]
+    for _ in range(max_iter):
+        w = product(v)
+        ritz, turn = np.linalg.eigh((v.T @ w + w.T @ v) / 2)
+        ritz, turn = ritz[::-1], turn[:, ::-1]
+        rest = np.linalg.norm(w @ turn[:, :k] - (v @ turn[:, :k]) * ritz[:k], axis=0)
+        if (rest <= tol * max(ritz[0], 1e-300)).all():
+            break
+        v = np.linalg.qr(w)[0]
+    else:
+        raise RuntimeError(f"subspace iteration did not converge in {max_iter} passes: residual {rest.max():.3g}")
+    comps = _signed(v @ turn[:, :k])
+    shared = context.broadcast((comps, mean @ comps))
+
+    @F.arrow_udf("array<double>")
+    def project(given: pa.Array) -> pa.Array:
+        table, shift = shared.value
+        y = _gathered(given, table) - shift
+        return pa.FixedSizeListArray.from_arrays(pa.array(y.ravel()), y.shape[1]).cast(pa.list_(pa.float64()))
+
+    scores = df.withColumn(out, project(F.coalesce(F.col(cols).cast("array<int>"), F.array().cast("array<int>"))))
+    return PCAResult(scores=scores, components=comps, mean=mean, explained_ratio=ritz[:k] / total if total else np.zeros(k))
+
+
 def pca_variance(scores: DataFrame, raw: DataFrame, k: int, score_col: str = "scores", col: str = "x") -> DataFrame:
     """Population variance of each score, its % of the total raw variance, cumulative %."""
     _, _, var_raw = column_moments(raw, col)

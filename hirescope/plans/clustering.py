@@ -47,6 +47,22 @@ def cluster_fit(df: DataFrame, k: int = 5, n_components: int = 3, col: str = "x"
     return km.labels, pr, km
 
 
+def skill_cluster_fit(postings: DataFrame, matrix: DataFrame, vocab_size: int, k: int = 5, n_components: int = 3,
+                      id_col: str = "posting_id", metric: str = "euclidean", p: float = 3.0, max_iters: int = 100,
+                      tol: float = 1e-6, seed: int = 42):
+    """J9 on a skill matrix (id, col): PCA of the sparse 0/1 rows, then k-means in PCA
+    space. Postings without a kept skill are points too. Returns as ``cluster_fit``."""
+    from hirescope.execution import cut_lineage
+
+    per = matrix.groupBy(id_col).agg(F.collect_list(F.col("col").cast("int")).alias("cols"))  # at most the vocabulary
+    points = cut_lineage(postings.select(id_col).join(per, id_col, "left").select(
+        id_col, F.coalesce("cols", F.array().cast("array<int>")).alias("cols")))
+    pr = CL.pca_sparse(points, n_components, vocab_size, seed=seed)
+    pr.scores = cut_lineage(pr.scores.select(id_col, "scores"))
+    km = CL.kmeans(pr.scores, k, "scores", id_col, metric, p, max_iters, atol=tol, seed=seed)
+    return km.labels, pr, km
+
+
 def cluster_map(labels: DataFrame, id_col: str = "id") -> DataFrame:
     """J14 data: first three scores (missing when fewer components) and the label per point."""
     s = F.col("scores")

@@ -8,7 +8,7 @@ involved. PCA and full fits are rows-only here and checked against numpy in test
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hirescope.operators import cluster as CL
@@ -55,16 +55,25 @@ def q_cluster_fit(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_skill_cluster_fit(spark: SparkSession, sf: str) -> DataFrame:
-    """J9 on skill features: I3 skill matrix of the texts -> 0/1 vectors -> PCA(3) -> k-means(5)."""
+    """J9 on skill features: I3 skill matrix of the texts -> sparse PCA(3) -> k-means(5)."""
     from hirescope.operators.skills import skill_matrix
     docs = fx.posting_texts(spark, sf)
     m, vocab = skill_matrix(docs, fx.raw_lexicon(spark, sf), max_phrase_len=3, min_skill_df=10)
-    d = vocab.count()
-    vecs = CP.skill_vectors(docs.select("posting_id"), m, d, "posting_id", "x")
-    labels, _, _ = CP.cluster_fit(vecs, K, 3, "x", "posting_id")
+    labels, _, _ = CP.skill_cluster_fit(docs, m, vocab.count(), K, 3)
     return CP.cluster_map(labels, "posting_id")
 
 
+def q_skill_pca_variance(spark: SparkSession, sf: str) -> DataFrame:
+    """J6/J7 on the 0/1 skills of the postings: share of each component in the variance."""
+    skills = fx.posting_skills(spark, sf)
+    vocab = skills.select("skill").distinct().select("skill", (F.row_number().over(Window.orderBy("skill")) - 1).alias("col"))
+    matrix = skills.join(vocab, "skill").groupBy("posting_id").agg(F.collect_list("col").alias("cols"))
+    points = fx.postings(spark, sf).select("posting_id").join(matrix, "posting_id", "left")
+    pr = CL.pca_sparse(points.withColumn("cols", F.coalesce("cols", F.array().cast("array<int>"))), 3, vocab.count())
+    rows = [(f"PC{i + 1}", round(100 * float(x), 4)) for i, x in enumerate(pr.explained_ratio)]
+    return spark.createDataFrame(rows, "component string, pct_variance double")
+
+
 def q_pca_scores(spark: SparkSession, sf: str) -> DataFrame:
     pr = CL.pca(_e(spark, sf), 3, COL)
     s = F.col("scores")
@@ -289,6 +298,18 @@ pv AS (SELECT cluster, 2 * exp(lgamma((df + 1) / 2) - lgamma(df / 2)) / sqrt(pi(
          sum(pow(cos(low + span * (i + 0.5) / 20000), df - 1)) * span / 20000 AS p
   FROM wide CROSS JOIN range(20000) r(i) GROUP BY cluster, t, df, low, span)"""
 
+# The covariance of the 0/1 skills, from counts.
+SKILL_COV = """sk AS (SELECT skill, row_number() OVER (ORDER BY skill) AS j FROM (SELECT DISTINCT skill FROM S)),
+ps AS (SELECT S.posting_id, sk.j FROM S JOIN sk USING (skill) JOIN P USING (posting_id)),
+np AS (SELECT count(*)::DOUBLE AS n FROM P),
+one AS (SELECT j, count(*)::DOUBLE AS c FROM ps GROUP BY j),
+two AS (SELECT a.j AS i, b.j AS j, count(*)::DOUBLE AS c FROM ps a JOIN ps b USING (posting_id) GROUP BY ALL),
+c1 AS (SELECT list(r ORDER BY i) AS m FROM (
+  SELECT a.j AS i, list((coalesce(two.c, 0) - a.c * b.c / n) / (n - 1) ORDER BY b.j) AS r
+  FROM np, one a CROSS JOIN one b LEFT JOIN two ON two.i = a.j AND two.j = b.j GROUP BY a.j)),
+""" + ",\n".join(_SQUARE.format(n=n, next=n + 1) for n in (1, 2, 3)) + """,
+tv AS (SELECT list_sum(list_transform(m, lambda r, i: r[i])) AS tot FROM c1)"""
+
 SQL = {
     "compactness_ttest_p": fx.with_views(
         "SELECT tres.*, round_even(pv.p, 6) AS p_value FROM tres LEFT JOIN pv USING (cluster)", "E",
@@ -315,6 +336,9 @@ asg AS (SELECT vec_id, cluster FROM (
   SELECT e.vec_id, c.cluster,
          row_number() OVER (PARTITION BY e.vec_id ORDER BY {_dist('e.embedding', 'c.c', 'euclidean')}, c.cluster) AS rk
   FROM E e CROSS JOIN cen c) WHERE rk = 1)"""),
+    "skill_pca_variance": fx.with_views(" UNION ALL ".join(
+        f"SELECT 'PC{i}' AS component, round_even(100 * ev / tot, 4) AS pct_variance FROM e{i}, tv" for i in (1, 2, 3)),
+        "P", "S", extra=SKILL_COV, recursive=True),
     "silhouette_exact": fx.with_views("SELECT round_even(avg(s), 6) AS silhouette FROM sv", "E", extra=SIL_EXACT),
     "silhouette_estimate": fx.with_views("""
 SELECT round_even(avg(s), 6) AS silhouette, round_even(sqrt(var_samp(s) / count(*) * (1 - count(*) / (SELECT count(*) FROM E))), 6) AS standard_error
@@ -387,6 +411,7 @@ QUERIES = {
     "cluster_map": (q_cluster_map, SQL["cluster_map"]),
     "cluster_fit": (q_cluster_fit, None),
     "skill_cluster_fit": (q_skill_cluster_fit, None),
+    "skill_pca_variance": (q_skill_pca_variance, SQL["skill_pca_variance"]),
     "pca_scores": (q_pca_scores, SQL["pca_scores"]),
     "pca_variance": (q_pca_variance, SQL["pca_variance"]),
     "kmeans_k_sweep": (q_kmeans_k_sweep, None),

@@ -72,3 +72,66 @@ def test_skill_vectors_zero_rows(spark):
     m = spark.createDataFrame([(1, "sql", 1), (1, "py", 0)], "posting_id long, skill string, col int")
     v = {r.posting_id: r.x for r in skill_vectors(posts, m, 3).collect()}
     assert v == {1: [1.0, 1.0, 0.0], 2: [0.0, 0.0, 0.0]}
+
+
+def _binary_points(spark, x):
+    import numpy as np
+    return spark.createDataFrame([(i, [int(j) for j in np.flatnonzero(r)]) for i, r in enumerate(x)], "id long, cols array<int>")
+
+
+def test_sparse_pca_against_numpy(spark):
+    import numpy as np
+
+    from hirescope.operators import cluster as CL
+    rng = np.random.default_rng(0)
+    x = (rng.random((200, 15)) < (rng.random((3, 15)) * 0.6)[rng.integers(0, 3, 200)]).astype(float)
+    x[5] = 0  # a point without any column
+    pr = CL.pca_sparse(_binary_points(spark, x), 2, 15, oversample=10)
+    w, v = np.linalg.eigh(np.cov(x.T))
+    v = CL._signed(v[:, ::-1][:, :2])
+    got = np.array([r.scores for r in pr.scores.orderBy("id").collect()])
+    assert np.allclose(got, (x - x.mean(0)) @ v, atol=1e-6)
+    assert np.allclose(pr.explained_ratio, w[::-1][:2] / w.sum())
+
+
+def test_sparse_pca_of_thirty_thousand_columns(spark):
+    """A d x d matrix would take 7 GB; three planted groups of columns are found."""
+    import numpy as np
+
+    from hirescope.operators import cluster as CL
+    rng, d = np.random.default_rng(1), 30_000
+    rows = []
+    for i in range(900):
+        own = set((10_000 * (i % 3) + rng.choice(300, 150, replace=False)).tolist())
+        rows.append((i, sorted(own | set(rng.integers(0, d, 20).tolist()))))
+    pr = CL.pca_sparse(spark.createDataFrame(rows, "id long, cols array<int>"), 2, d, tol=1e-5)
+    got = np.array([r.scores for r in pr.scores.orderBy("id").collect()])
+    centre = np.array([got[np.arange(900) % 3 == g].mean(axis=0) for g in range(3)])
+    nearest = ((got[:, None, :] - centre[None]) ** 2).sum(axis=2).argmin(axis=1)
+    assert (nearest == np.arange(900) % 3).all()
+
+
+def test_exact_silhouette_in_small_blocks(spark):
+    """Blocks of about 20 points; a cluster of one; a query subset; points that coincide."""
+    import numpy as np
+
+    from hirescope.operators import cluster as CL
+    rng = np.random.default_rng(2)
+    x = np.concatenate([rng.normal(0, 1, (60, 3)), rng.normal(4, 1, (50, 3)), [[1e4, 1e4, 1e4]], np.full((9, 3), 2.5)])
+    lab = [0] * 60 + [1] * 50 + [7] + [3] * 9
+    df = spark.createDataFrame([(i, x[i].tolist(), lab[i]) for i in range(120)], "id long, x array<double>, cluster int")
+    dist = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    want = {}
+    for i in range(120):
+        mean = {c: dist[i, [j for j in range(120) if lab[j] == c and j != i]].mean() if lab.count(c) > (c == lab[i]) else None for c in set(lab)}
+        if mean[lab[i]] is None:
+            want[i] = 0.0
+            continue
+        a, b = mean[lab[i]], min(m for c, m in mean.items() if c != lab[i])
+        want[i] = (b - a) / max(a, b)
+    got = {r.id: r.silhouette for r in CL.silhouette_points(df, block_points=20).collect()}
+    assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-9 for i in want)
+    some = {r.id: r.silhouette for r in CL.silhouette_points(df, queries=df.where("id % 7 = 0"), block_points=20).collect()}
+    assert some.keys() == {i for i in want if i % 7 == 0} and all(abs(some[i] - want[i]) < 1e-9 for i in some)
+    mean, error = CL.silhouette_estimate(df, 120)
+    assert abs(mean - np.mean(list(want.values()))) < 1e-9 and error == 0
