@@ -61,3 +61,14 @@ def all_ngrams(toks: Column | str, lengths: Iterable[int]) -> Column:
     if len(ls) == 1:
         return ngrams(toks, ls[0])
     return F.flatten(F.array(*[ngrams(toks, n) for n in ls]))
+
+
+def count_ngrams(toks: Column | str, n: int) -> tuple[Column, Column]:
+    """How many n-grams, and how many distinct ones, a token array has. Distinct ones are
+    told apart by a 64-bit hash of their tokens, so no n-gram is ever built as a string."""
+    t = F.col(toks) if isinstance(toks, str) else toks
+    places = F.size(t) - (n - 1)
+    if n == 1:
+        return places, F.size(F.array_distinct(t))
+    marks = F.transform(F.sequence(F.lit(0), places - 1), lambda i: F.xxhash64(*[F.get(t, i + k) for k in range(n)]))
+    return F.greatest(places, F.lit(0)), F.when(places > 0, F.size(F.array_distinct(marks))).otherwise(0)

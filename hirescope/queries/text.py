@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirescope.functions.text import all_ngrams, norm
+from hirescope.functions.text import count_ngrams, norm
 from hirescope.operators import skills as SK
 from hirescope.sources import fixtures as fx
 
 MAX_LEN = 4
-WIDE = ["PROMO", "SMALL", "STANDARD"]
+WIDE = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
 
 def _docs(spark, sf):
@@ -32,10 +32,10 @@ def q_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_ngram_counts(spark: SparkSession, sf: str) -> DataFrame:
     t = SK.text_tokens(_docs(spark, sf))
-    per_n = F.array(*[F.struct(F.lit(n).cast("bigint").alias("n"), all_ngrams("toks", [n]).alias("g")) for n in range(1, MAX_LEN + 1)])
-    g = t.select("posting_id", F.explode(per_n).alias("x"))
-    return g.select("posting_id", "x.n", F.size("x.g").cast("bigint").alias("n_grams"),
-                    F.size(F.array_distinct("x.g")).cast("bigint").alias("n_distinct"))
+    told = [(n, *count_ngrams("toks", n)) for n in range(1, MAX_LEN + 1)]
+    per_n = F.array(*[F.struct(F.lit(n).cast("bigint").alias("n"), grams.cast("bigint").alias("n_grams"),
+                               distinct.cast("bigint").alias("n_distinct")) for n, grams, distinct in told])
+    return t.select("posting_id", F.inline(per_n))
 
 
 def q_lexicon_build(spark: SparkSession, sf: str) -> DataFrame:
