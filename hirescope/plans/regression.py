@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hirescope.operators.filters import dropna_subset
-from hirescope.operators.linear import CATEGORY_COLUMNS, MAX_DENSE_FEATURES, LinearModel, fit_least_squares, predict, \
+from hirescope.operators.linear import CATEGORY_COLUMNS, MAX_DENSE_FEATURES, LinearModel, choose_features, fit_least_squares, predict, \
     with_skill_array
 from hirescope.operators.sampling import seeded_sample
 
@@ -44,3 +44,16 @@ def parity_table(model: LinearModel, df: DataFrame, skills_long: DataFrame | Non
     rows = with_skill_array(df.select(id_col, TARGET, *model.cat_features), skills_long, model.skills_used, id_col)
     pred = predict(model, rows)
     return pred.select(id_col, F.col(TARGET).alias("actual"), "predicted")
+
+
+def regression_from_inputs(df: DataFrame, skills_long: DataFrame | None, inputs: dict[str, str | None], skills: Sequence[str] = (),
+                           k_folds: int = 3, sample_n: int | None = None, id_col: str = "posting_id",
+                           seed: int = 42) -> tuple[LinearModel, DataFrame]:
+    """J21 to J29 as a user drives them: the categories given a value in ``inputs`` and the
+    chosen skills are the features; returns the model and one row with the inputs, the
+    skills and the salary predicted for them."""
+    cats, chosen = choose_features(inputs, skills)
+    model = train_regression(df, skills_long, cats, chosen, k_folds, sample_n, id_col, seed)
+    fields = ", ".join(f"{c} string" for c in cats)
+    row = df.sparkSession.createDataFrame([(*[inputs[c] for c in cats], chosen)], f"{fields + ', ' if cats else ''}skills array<string>")
+    return model, predict(model, row)

@@ -120,6 +120,14 @@ def q_scenario_skills(spark: SparkSession, sf: str) -> DataFrame:
     return LN.predict(m, LN.scenario_vectors(scen)).select("scenario", F.bround("predicted", 2).alias("predicted"))
 
 
+def q_regression_from_inputs(spark: SparkSession, sf: str) -> DataFrame:
+    """A user sets a title only; the model has that category, the prediction is the title's mean."""
+    p = fx.postings(spark, sf)
+    title = p.agg(F.min("title")).first()[0]
+    _, out = RG.regression_from_inputs(p, None, {"company_name": None, "title": title}, k_folds=0)
+    return out.select("title", F.bround("predicted", 2).alias("predicted"))
+
+
 def q_ols_multi_fit(spark: SparkSession, sf: str) -> DataFrame:
     """Company + location + two skills, 3-fold CV: fold scores."""
     m = RG.train_regression(fx.postings(spark, sf), fx.posting_skills(spark, sf),
@@ -262,6 +270,8 @@ FROM (SELECT y, avg(y) OVER (PARTITION BY title) AS m FROM (
         SELECT title, normalized_salary AS y FROM P
         WHERE company_name IS NOT NULL AND location IS NOT NULL AND title IS NOT NULL
           AND normalized_salary IS NOT NULL))""", "P"),
+    "regression_from_inputs": fx.with_views(
+        "SELECT title, round_even(avg(normalized_salary), 2) AS predicted FROM P WHERE title = (SELECT min(title) FROM P) GROUP BY title", "P"),
     "ols_multi_fit": fx.with_views(FOLD_SCORES, "P", "S", extra=MULTI, recursive=True),
     "kfold_nested": fx.with_views(FOLD_SCORES, "P", extra=NESTED, recursive=True),
     "kfold_wide": fx.with_views("""
@@ -292,6 +302,7 @@ QUERIES = {
     "parity_range": (q_parity_range, SQL["parity_range"]),
     "ols_wide_metrics": (q_ols_wide_metrics, SQL["ols_wide_metrics"]),
     "ols_multi_fit": (q_ols_multi_fit, SQL["ols_multi_fit"]),
+    "regression_from_inputs": (q_regression_from_inputs, SQL["regression_from_inputs"]),
     "kfold_nested": (q_kfold_nested, SQL["kfold_nested"]),
     "kfold_wide": (q_kfold_wide, SQL["kfold_wide"]),
     "seeded_sample": (q_seeded_sample, SQL["seeded_sample"]),

@@ -76,6 +76,14 @@ def q_skill_matrix(spark: SparkSession, sf: str) -> DataFrame:
     return m.select("posting_id", "skill", F.col("col").cast("bigint").alias("col"))
 
 
+def q_skill_matrix_filtered(spark: SparkSession, sf: str) -> DataFrame:
+    """I3 with company and title: the texts of one source whose title, here language and id, holds ' EN'."""
+    docs = _docs(spark, sf).withColumn("title", F.concat_ws(" ", F.lit("Text"), F.col("work_type"), F.col("posting_id").cast("string")))
+    company = docs.agg(F.min("company_name")).first()[0]
+    m, _ = SK.skill_matrix(docs, fx.raw_lexicon(spark, sf), company, " EN", max_phrase_len=3, min_skill_df=2)
+    return m.select("posting_id", "skill", F.col("col").cast("bigint").alias("col"))
+
+
 # --------------------------------------------------------------------------- oracle SQL
 
 def norm_sql(x: str) -> str:
@@ -139,6 +147,15 @@ SELECT f.posting_id, f.skill, CAST(v.col AS BIGINT) AS col
 FROM found f JOIN (SELECT skill, row_number() OVER (ORDER BY skill) - 1 AS col
                    FROM found GROUP BY skill HAVING count(*) >= 10) v ON v.skill = f.skill""",
         "D", "L", extra=DDESC + ",\n" + lex_cte(3) + ",\n" + extract_cte("ddesc", 3)),
+    "skill_matrix_filtered": fx.with_views("""
+SELECT f.posting_id, f.skill, CAST(v.col AS BIGINT) AS col
+FROM found f JOIN (SELECT skill, row_number() OVER (ORDER BY skill) - 1 AS col
+                   FROM found GROUP BY skill HAVING count(*) >= 2) v ON v.skill = f.skill""",
+        "D", "L", extra="""ddesc AS (SELECT min(posting_id) AS posting_id, description FROM (
+  SELECT posting_id, coalesce(description, '') AS description FROM D
+  WHERE company_name = (SELECT min(company_name) FROM D) AND contains(lower('Text ' || work_type || ' ' || posting_id), ' en'))
+  GROUP BY description),
+""" + lex_cte(3) + ",\n" + extract_cte("ddesc", 3)),
 }
 
 QUERIES = {
@@ -153,4 +170,5 @@ QUERIES = {
     "skill_wide": (q_skill_wide, SQL["skill_wide"]),
     "skill_flags_by_id": (q_skill_flags_by_id, SQL["skill_flags_by_id"]),
     "skill_matrix": (q_skill_matrix, SQL["skill_matrix"]),
+    "skill_matrix_filtered": (q_skill_matrix_filtered, SQL["skill_matrix_filtered"]),
 }

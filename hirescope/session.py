@@ -24,6 +24,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.memory", driver_memory)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.warehouse.dir", os.path.join(tempfile.gettempdir(), f"hirescope-warehouse-{os.getpid()}"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")

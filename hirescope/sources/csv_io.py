@@ -87,8 +87,19 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').csv(path)
 
 
-def share(df: DataFrame, name: str) -> DataFrame:
-    """A4: keep the filtered table for every consumer: persist + temp view."""
-    out = df.persist()
-    out.createOrReplaceTempView(name)
-    return out
+def share(df: DataFrame, name: str, key: str | None = None, buckets: int | None = None) -> DataFrame:
+    """A4: keep the filtered table for every consumer.
+
+    Without ``key``: cached, with a temporary view. With ``key``: a table of the
+    warehouse, bucketed and sorted by it, so that joins and groupings on the key
+    (J5, J18, J20, C2) of tables shared with the same number of buckets (default:
+    ``spark.sql.shuffle.partitions``) need no exchange, in this session and in later ones.
+    """
+    if key is None:
+        out = df.persist()
+        out.createOrReplaceTempView(name)
+        return out
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Dealt as it is bucketed: one file per bucket.
+    df.repartition(n, key).write.mode("overwrite").bucketBy(n, key).sortBy(key).saveAsTable(name)
+    return df.sparkSession.table(name)

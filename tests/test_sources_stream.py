@@ -38,3 +38,24 @@ def test_stream_matches_batch(spark):
     q.awaitTermination(120)
     got = sorted((r.posting_id, r.skill) for r in spark.read.parquet(out).collect())
     assert got == [(1, "python"), (1, "sql")]  # posting 2 has a negative salary and is dropped
+
+
+def test_tables_shared_by_key_join_without_an_exchange(spark):
+    """C2 and J20 on shared tables: no exchange on the posting id."""
+    from hirescope.operators.cluster import cluster_skill_labels
+    from hirescope.sources.csv_io import share
+
+    plain = spark.createDataFrame([(i, i % 4) for i in range(400)], "posting_id long, cluster int")
+    held = spark.createDataFrame([(i, f"s{(i * j) % 7}") for i in range(400) for j in range(3)], "posting_id long, skill string")
+    labels, skills = share(plain, "shared_labels", "posting_id"), share(held, "shared_skills", "posting_id")
+    bound = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = spark._jvm.PythonSQLUtils.explainString(cluster_skill_labels(labels, skills)._jdf.queryExecution(), "simple")
+        assert "SortMergeJoin [posting_id" in plan and "hashpartitioning(posting_id" not in plan
+        got = cluster_skill_labels(labels, skills).collect()
+        assert sorted(got) == sorted(cluster_skill_labels(plain, held).collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+        spark.sql("DROP TABLE shared_labels")
+        spark.sql("DROP TABLE shared_skills")
