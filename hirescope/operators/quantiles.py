@@ -1,91 +1,97 @@
-"""Exact grouped quantiles that stay safe when one group holds most rows.
+"""Exact grouped quantiles in fixed memory per group.
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one
 aggregation buffer, so a group holding a third of the data lands in one task.
-Here the work is split so that no step holds a whole group:
-
-1. one aggregation per group: ``n`` and a mergeable ``percentile_approx`` sketch
-   at ranks q - d and q + d (d = 4 / accuracy); the sketch's rank error is at
-   most n / accuracy, so the two values bracket the target ranks;
-2. one pass over the rows (joined to their group's brackets): the count of
-   values below the bracket, and the (value, count) pairs inside it;
-3. an ordered window over the bracket pairs only (about 8 n / accuracy rows per
-   group) finds the values at ranks floor(q (n-1)) and ceil(q (n-1)), then
-   linear interpolation as in numpy / Spark ``percentile``.
-
-A bracket that misses its ranks (not expected) is detected and that call is
-repeated with wider brackets, so the result is always exact.
+Here values are selected digit by digit, as in a radix sort that only follows the
+digits it needs:
+
+1. each value becomes a 64-bit number that orders as the value does (numpy over Arrow
+   batches), and the rows are written once as (group, number);
+2. four passes over that table, one per 16-bit digit: the rows that agree with a
+   wanted rank on all digits so far are counted by the next digit, for all ranks of all
+   groups at once; the digit whose cumulative count reaches a rank is that rank's;
+3. the digits found are the values at ranks floor(q (n-1)) and ceil(q (n-1)); linear
+   interpolation between them, as in numpy / Spark ``percentile``.
+
+A row meets at most one sequence of digits, so it is counted once a pass whatever the
+number of quantiles, and counts are summed before the shuffle. What a group keeps is at
+most 65,536 counts per wanted rank, however many rows it has.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from hirescope.execution import broadcast_if_small, cut_lineage
 
+DIGIT = 16
+_SIGN = np.uint64(1 << 63)
+
+
+@F.arrow_udf(T.LongType())
+def _ordered(v: pa.Array) -> pa.Array:
+    """A number whose unsigned order is the order of the doubles."""
+    bits = v.to_numpy(zero_copy_only=False).astype(np.float64).view(np.uint64)
+    return pa.array(np.where(bits & _SIGN, ~bits, bits | _SIGN).view(np.int64))
+
+
+@F.arrow_udf(T.DoubleType())
+def _value(n: pa.Array) -> pa.Array:
+    """The double of such a number."""
+    bits = n.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+    return pa.array(np.where(bits & _SIGN, bits ^ _SIGN, ~bits).view(np.float64))
+
+
+def _select(base: DataFrame, targets: DataFrame) -> DataFrame:
+    """(g, rank, v): the value at each wanted ``rank`` (from 0) of each group."""
+    found = targets.select("g", "rank", F.col("rank").alias("left"), F.lit(0).cast("long").alias("prefix"))
+    window = Window.partitionBy("cg", "cp").orderBy("digit").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    for shift in range(64 - DIGIT, -1, -DIGIT):
+        # The first digit has nothing before it, and a shift by 64 is none.
+        before = F.shiftrightunsigned("i", shift + DIGIT) if shift + DIGIT < 64 else F.lit(0).cast("long")
+        digit = F.shiftrightunsigned("i", shift).bitwiseAND(F.lit((1 << DIGIT) - 1).cast("long"))
+        rows = base.select(F.col("bg").alias("cg"), before.alias("cp"), digit.alias("digit"))
+        if shift + DIGIT < 64:
+            live = broadcast_if_small(found.select("g", "prefix").distinct())
+            rows = rows.join(live, F.col("cg").eqNullSafe(F.col("g")) & (F.col("cp") == F.col("prefix"))).drop("g", "prefix")
+        counts = rows.groupBy("cg", "cp", "digit").agg(F.count(F.lit(1)).alias("c")).withColumn("cum", F.sum("c").over(window))
+        hit = (F.col("cg").eqNullSafe(F.col("g")) & (F.col("cp") == F.col("prefix"))
+               & (F.col("cum") > F.col("left")) & (F.col("cum") - F.col("c") <= F.col("left")))
+        found = cut_lineage(counts.join(broadcast_if_small(found), hit).select(
+            "g", "rank", (F.col("left") - F.col("cum") + F.col("c")).alias("left"),
+            F.shiftleft("prefix", DIGIT).bitwiseOR(F.col("digit")).alias("prefix")))
+    return found.select("g", "rank", _value("prefix").alias("v"))
+
 
 def exact_quantiles(rows: DataFrame, group: str, value: str, qs: Sequence[float],
-                    accuracy: int = 10000, names: Sequence[str] | None = None,
-                    extra_aggs: Sequence | None = None) -> DataFrame:
+                    names: Sequence[str] | None = None, extra_aggs: Sequence | None = None) -> DataFrame:
     """One row per group: ``group``, ``n``, one column per quantile (``names``)
-    and any ``extra_aggs`` (computed in the same first aggregation)."""
+    and any ``extra_aggs``, over the rows whose value is neither null nor NaN."""
     qs = [float(q) for q in qs]
     names = list(names or [f"q{int(round(q * 100))}" for q in qs])
-    spread = 4.0
-    while True:
-        out = cut_lineage(_attempt(rows, group, value, qs, names, accuracy, spread / accuracy, list(extra_aggs or [])))
-        if out.where(~F.col("__ok")).isEmpty():  # one row per group
-            return out.drop("__ok")
-        spread *= 4
-        if spread / accuracy >= 1:
-            raise RuntimeError("quantile bracket did not converge")
-
-
-def _attempt(rows, group, value, qs, names, accuracy, d, extra_aggs) -> DataFrame:
-    base = (rows.select(F.col(group).alias("__g"), F.col(value).cast("double").alias("__v"))
-                .where(F.col("__v").isNotNull() & ~F.isnan("__v")))
-    probes = [max(q - d, 0.0) for q in qs] + [min(q + d, 1.0) for q in qs]
-    extra = [e for e in extra_aggs]
-    st = cut_lineage(rows.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-              .groupBy(F.col(group).alias("__g"))
-              .agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(F.col(value).cast("double"), probes, accuracy)
-                   .alias("__a"), *extra))  # one row per group
-    k = len(qs)
-    tq = st.select("__g", "n", F.posexplode(F.array(*[
-        F.struct(F.lit(q).alias("q"),
-                 (F.col("__a")[i] if q - d > 0 else F.lit(float("-inf"))).alias("lo"),
-                 (F.col("__a")[i + k] if q + d < 1 else F.lit(float("inf"))).alias("hi"))
-        for i, q in enumerate(qs)])).alias("qi", "s"))
-    pos = F.col("s.q") * (F.col("n") - 1)
-    tq = tq.select("__g", "qi", F.col("s.lo").alias("lo"), F.col("s.hi").alias("hi"), pos.alias("pos"),
-                   F.floor(pos).cast("long").alias("r0"), F.ceil(pos).cast("long").alias("r1"))
-    tb = broadcast_if_small(tq)
-    # Values below / above the bracket collapse to one sentinel key each, so a
-    # single aggregation yields the count below and the bracket's value counts.
-    key = (F.when(F.col("__v") < F.col("lo"), F.lit(float("-inf")))
-            .when(F.col("__v") > F.col("hi"), F.lit(float("inf")))
-            .otherwise(F.col("__v")))
-    kc = base.join(tb, "__g").groupBy("__g", "qi", key.alias("__k")).agg(F.count(F.lit(1)).alias("c"))
-    w = Window.partitionBy("__g", "qi").orderBy("__k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    kc = kc.where(F.col("__k") != F.lit(float("inf"))).withColumn("cum", F.sum("c").over(w))
-    kc = kc.join(tq.select("__g", "qi", "pos", "r0", "r1"), ["__g", "qi"])
-    is_below = F.col("__k") == F.lit(float("-inf"))
-    pick = kc.groupBy("__g", "qi").agg(
-        F.first("pos").alias("pos"), F.first("r0").alias("r0"), F.first("r1").alias("r1"),
-        F.coalesce(F.max(F.when(is_below, F.col("c"))), F.lit(0)).alias("below"), F.max("cum").alias("top"),
-        F.min(F.when(~is_below & (F.col("cum") > F.col("r0")), F.col("__k"))).alias("v0"),
-        F.min(F.when(~is_below & (F.col("cum") > F.col("r1")), F.col("__k"))).alias("v1"))
-    val = F.when(F.col("r0") == F.col("r1"), F.col("v0")).otherwise(
-        (F.col("r1") - F.col("pos")) * F.col("v0") + (F.col("pos") - F.col("r0")) * F.col("v1"))
-    ok = (F.col("below") <= F.col("r0")) & (F.col("top") > F.col("r1")) & F.col("v0").isNotNull()
-    wide = (pick.groupBy("__g")
-                .agg(F.min(ok.cast("int")).alias("okc"), F.count(F.lit(1)).alias("nq"),
-                     *[F.max(F.when(F.col("qi") == i, val)).alias(nm) for i, nm in enumerate(names)]))
-    extra_names = [c for c in st.columns if c not in ("__g", "n", "__a")]
-    out = st.join(wide, "__g", "left").withColumn(
-        "__ok", F.coalesce((F.col("okc") == 1) & (F.col("nq") == k), F.lit(False)))
-    return out.select(F.col("__g").alias(group), "n", *names, *extra_names, "__ok")
+    v = F.col(value).cast("double")
+    given = rows.where(v.isNotNull() & ~F.isnan(v))
+    base = cut_lineage(given.select(F.col(group).alias("bg"), _ordered(v).alias("i")))
+    groups = cut_lineage(given.groupBy(F.col(group).alias("__g")).agg(F.count(F.lit(1)).alias("n"), *list(extra_aggs or [])))
+    at = [F.lit(q) * (F.col("n") - 1) for q in qs]
+    ends = [(F.floor(p).cast("long"), F.ceil(p).cast("long")) for p in at]
+    ranks = F.array_distinct(F.array(*[r for pair in ends for r in pair]))
+    picked = _select(base, groups.select(F.col("__g").alias("g"), F.explode(ranks).alias("rank")))
+    # At most two ranks a quantile.
+    per = picked.groupBy("g").agg(F.map_from_entries(F.collect_list(F.struct("rank", "v"))).alias("__at"))
+    out = groups.join(broadcast_if_small(per), F.col("__g").eqNullSafe(F.col("g")))
+
+    def quantile(p, low, high):
+        a, b = F.col("__at")[low], F.col("__at")[high]
+        return F.when(low == high, a).otherwise((high - p) * a + (p - low) * b)
+
+    extra = [c for c in groups.columns if c not in ("__g", "n")]
+    return out.select(F.col("__g").alias(group), "n",
+                      *[quantile(p, *e).alias(name) for p, e, name in zip(at, ends, names, strict=True)], *extra)
