@@ -17,9 +17,9 @@ null ids; other columns are ignored.
 from __future__ import annotations
 
 import re
-import sys
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -29,13 +29,20 @@ from pyspark.sql import functions as F
 from hirescope.execution import broadcast_if_small
 from hirescope.llm.common import held_out
 
-# \w without digits and '_' still holds numerals such as fractions and Roman figures.
-NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-LETTERS = re.compile(rf"[^\W\d_{re.escape(NUMERALS)}]+")
+ALPHANUMERIC = re.compile(r"[^\W\d_]+")
 ORDERS = (4, 3, 2, 1)
 UNKNOWN = "und"
 
 
+def letter_words(text: str) -> list[str]:
+    """The maximal runs of letters. The pattern also takes numerals (fractions, Roman
+    figures), which are rare: words that hold one are cut there."""
+    words = ALPHANUMERIC.findall(text)
+    if all(map(str.isalpha, words)):
+        return words
+    return ["".join(run) for w in words for letters, run in groupby(w, str.isalpha) if letters]
+
+
 def ngrams(word: str, n: int) -> list[str]:
     padded = f"_{word}_"
     return [padded[i:i + n] for i in range(len(padded) - n + 1)]
@@ -45,7 +52,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for batch in batches:
         words: dict[str, Counter] = {}
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            words.setdefault(lang, Counter()).update(LETTERS.findall(text.lower()))
+            words.setdefault(lang, Counter()).update(letter_words(text.lower()))
         rows = []
         for lang, counts in words.items():
             grams = {n: Counter() for n in ORDERS}
@@ -100,7 +107,7 @@ def units(texts: list[str | None], gap: int = 1) -> Iterator[tuple[list[str], np
     texts come in pieces that share ``gap - 1`` words, so that no window is lost."""
     flat, starts, owners = [], [], []
     for i, text in enumerate(texts):
-        words = LETTERS.findall(text.lower()) if text else []
+        words = letter_words(text.lower()) if text else []
         for s in range(0, max(1, len(words)), UNIT):
             starts.append(len(flat))
             owners.append(i)
