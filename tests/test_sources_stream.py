@@ -4,7 +4,7 @@ import tempfile
 
 
 from hirescope.operators.skills import build_lexicon
-from hirescope.sources.csv_io import read_lexicon_csv, read_postings_csv, share, write_csv
+from hirescope.sources.csv_io import read_lexicon_csv, read_postings_checked, read_postings_csv, share, write_csv
 from hirescope.streaming.skill_stream import start_skill_stream
 
 
@@ -59,3 +59,30 @@ def test_tables_shared_by_key_join_without_an_exchange(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
         spark.sql("DROP TABLE shared_labels")
         spark.sql("DROP TABLE shared_skills")
+
+
+def test_one_csv_file_is_read_in_many_ranges(spark, tmp_path):
+    """Records over several lines, quotes, blank lines and carriage returns, cut into
+    ranges of a few bytes, give what Spark's one-task reader gives."""
+    import random
+
+    rng, rows = random.Random(4), []
+    for i in range(300):
+        body = "".join(rng.choice(['a', 'b ', '""', '\n', ',', '\n\n', 'é']) for _ in range(rng.randint(0, 40)))
+        rows.append(f'{i},"{body}",{rng.randint(1, 9)}.5' if i % 3 else f"{i},plain text {i},{i}.25")
+    rows[7] = "x7,bad id,1.5"
+    (tmp_path / "a.csv").write_text("posting_id,description,normalized_salary\n" + "\n".join(rows) + "\n\n")
+    (tmp_path / "b.csv").write_text('normalized_salary,posting_id\r\n2.5,900\r\n3.5,901')
+    bound = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    try:
+        good, bad = read_postings_checked(spark, str(tmp_path))
+        assert spark.read.text(str(tmp_path / "a.csv")).rdd.getNumPartitions() > 10
+        got = {r.posting_id: (r.description, r.normalized_salary) for r in good.collect()}
+        assert [r["_rejected_line"] for r in bad.collect()] == [rows[7]]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", bound)
+    plain = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+                  .schema("posting_id string, description string, normalized_salary double").csv(str(tmp_path / "a.csv")).collect())
+    want = {int(r.posting_id): (r.description, r.normalized_salary) for r in plain if r.posting_id != "x7"}
+    assert got == want | {900: (None, 2.5), 901: (None, 3.5)}
