@@ -8,8 +8,10 @@ which are added where they do not overlap a base span.
 
 The trees learn from the corpus itself: a candidate is a positive of a kind if it
 passes that kind's validator (Luhn sum, octet range, country prefix, full domain).
-What the validator looks at is left out of the features, so that equal format in
-equal context carries over to spans the strict rule misses. All features are
+For addresses, how the at sign and the dots are written is left out of the features,
+and only candidates in plain notation, which the validator can judge, are learned
+from; so equal format in equal context carries over to spellings the strict rule
+misses. (The features of numbers hold much of what their validators see.) All features are
 bits, so all candidates of the corpus collapse into counts per bit pattern (at
 most 2^14 of them); only these counts reach the driver, where trees are fitted,
 and what comes back to the rows is the set of selected patterns.
@@ -130,14 +132,15 @@ def _number_bits(c: Column) -> Column:
 
 
 def _email_bits(c: Column) -> Column:
-    m = c["m"]
+    # How the at sign and the dots are written is what the validator looks at: no feature.
+    m, before = c["m"], F.lower(c["before"])
     return _bits([
-        F.contains(m, F.lit(" ")), F.contains(m, F.lit("@")), F.contains(m, F.lit("[")), m.rlike(r"(?:\.|dot.) ?[A-Za-z]{2,}$"),
-        m.rlike(r"^[^@ (\[]*[0-9]"), m.rlike(r"^[._%+-]"), c["after"].rlike("^[A-Za-z0-9_@/]"), c["before"].rlike("[@/]$"),
+        m.rlike(r"(?:\.|dot[)\]]) ?[A-Za-z]{2,10}$"), m.rlike(r"^[^@ (\[]*[0-9]"), m.rlike(r"^[._%+-]"), m.rlike(r"^[A-Za-z0-9]{1,2}[^A-Za-z0-9]"),
+        c["after"].rlike("^[A-Za-z0-9_@/]"), before.rlike("[@/]$"), before.rlike("(?:mail|contact|write|reach|ask)[^a-z]*(?:to|at|us)?[^a-z]*$"),
         F.length(m) > 60])
 
 
-N_BITS = {"number": 14, "email": 9}
+N_BITS = {"number": 14, "email": 8}
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -151,11 +154,11 @@ def scan(docs: DataFrame) -> DataFrame:
     df = matches(matches(df, "c_email", LOOSE["email"], F.col("_email")), "c_number", LOOSE["number"], F.col("_number"))
     numbers = F.filter("c_number", lambda c: F.length(_digits(c["m"])).between(7, 19))
     df = df.withColumn("c_number", F.transform(numbers, lambda c: F.struct(
-        c["s"].alias("s"), c["e"].alias("e"), _number_bits(c).alias("code"),
+        c["s"].alias("s"), c["e"].alias("e"), _number_bits(c).alias("code"), F.lit(1).alias("judged"),
         c["m"].rlike(IP_RANGE).cast("int").alias("ip"), (_luhn(c["m"]) & c["m"].rlike(r"^[0-9](?:[\x20-]?[0-9]){12,18}$")).cast("int").alias("card"),
         (c["before"].rlike(r"\+$") & F.length(_digits(c["m"])).between(9, 15)).cast("int").alias("phone"))))
     df = df.withColumn("c_email", F.transform("c_email", lambda c: F.struct(
-        c["s"].alias("s"), c["e"].alias("e"), _email_bits(c).alias("code"),
+        c["s"].alias("s"), c["e"].alias("e"), _email_bits(c).alias("code"), (~c["m"].rlike(r"[ (\[]")).cast("int").alias("judged"),
         c["m"].rlike(r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+$").cast("int").alias("email"))))
     return df.select("doc_id", *KINDS, "c_email", "c_number")
 
@@ -205,15 +208,17 @@ def fit_selector(scanned: DataFrame, precision: float = 0.95, least: int = 20) -
     chosen: dict[str, list[int]] = {}
     for column, kinds in (("c_email", ("email",)), ("c_number", ("ip", "card", "phone"))):
         sums = [F.sum(f"c.{k}").alias(k) for k in kinds]
-        table = scanned.select(F.explode(column).alias("c")).groupBy("c.code").agg(F.count("*").alias("n"), *sums).collect()
+        table = scanned.select(F.explode(column).alias("c")).groupBy("c.code").agg(F.sum("c.judged").alias("n"), *sums).where("n > 0").collect()
         taken: dict[int, tuple[float, str]] = {}
         for kind in kinds:
             counts = sorted((r["code"], r["n"], r[kind]) for r in table)
             if counts:
                 prob = boost(counts, N_BITS[column[2:]])
                 cut = calibrate(counts, prob, precision, least)
+                # A pattern also has to be that precise by itself, not only with better ones.
+                own = {c: y / (n + 1) for c, n, y in counts}
                 for code, p in prob.items():
-                    if p >= cut and p > taken.get(code, (0.0, ""))[0]:
+                    if p >= cut and own[code] >= precision - 0.1 and p > taken.get(code, (0.0, ""))[0]:
                         taken[code] = (p, kind)
         for kind in kinds:
             chosen[kind] = sorted(c for c, (_, k) in taken.items() if k == kind)

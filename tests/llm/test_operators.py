@@ -313,3 +313,17 @@ def test_a_text_too_long_for_the_sample_is_passed_over(spark):
     got = {r.doc_id: r.score for r in toxicity.score_toxicity(docs, model).collect()}
     assert model["net"] is not None
     assert sum(got[i] for i in range(1, 400, 2)) > 2 * sum(got[i] for i in range(0, 400, 2))
+
+
+def test_pii_finds_obfuscated_addresses_and_leaves_junk(spark, rows):
+    """Addresses written with (at) and (dot) are added by their format; handles and
+    hosts without a domain are not; base spans stay."""
+    given = rows[:400] + [(50_000 + i, f"Ask joe{i} (at) site{i} (dot) com about it") for i in range(60)]
+    given += [(60_000 + i, f"thanks @bob{i} and root@host{i} said so at noon (dot)") for i in range(60)]
+    given += [(70_000 + i, f"please write to ann{i}@place{i}.org today") for i in range(120)]
+    got = {r.doc_id: r for r in pii.find_pii(spark.createDataFrame(given, "doc_id long, text string")).collect()}
+    for i in range(60):
+        text = given[[g[0] for g in given].index(50_000 + i)][1]
+        assert [text[s.s:s.e] for s in got[50_000 + i].email] == [f"joe{i} (at) site{i} (dot) com"]
+        assert got[50_000 + i].base_email == [] and got[60_000 + i].email == []
+    assert all(set(r.base_email) <= set(r.email) for r in got.values())
