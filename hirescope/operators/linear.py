@@ -20,11 +20,12 @@ feature, all folds and the final fit at once (``_fit_cg``).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import cached_property
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -273,16 +274,37 @@ def _fit_cg(pat: DataFrame, k: int, d: int, tol: float, max_iter: int) -> tuple[
     trains = lambda s: F.lit(1.0) if s == last else (F.col("fold") != s).cast("double")
     col = lambda name, s: F.col(f"{name}{s}")
 
+    # Beyond a broadcast, the intercept, which every pattern holds, is no key of a shuffle
+    # join: its entries come to the driver with the dot products.
+    apart = d > LEVEL_BROADCAST_ROWS
+
     def product(state: DataFrame, at_intercept: list[float]) -> DataFrame:
         """(key, w0, w1, ...): every system's X'X times its residual."""
-        vector = state.where(F.col("key") != INTERCEPT).select("key", *[f"r{s}" for s in systems])
-        sums = (dealt.select("pid", F.explode("feats").alias("key")).where(F.col("key") != INTERCEPT)
-                     .join(broadcast_if_small(vector, LEVEL_BROADCAST_ROWS, d, d * (64 + 8 * len(systems))), "key")
-                     .groupBy("pid").agg(*[F.sum(f"r{s}").alias(f"t{s}") for s in systems]))
-        own = [(F.col("n") * trains(s) * (F.coalesce(col("t", s), F.lit(0.0)) + at_intercept[s])).alias(f"u{s}") for s in systems]
+        vector = state.where(F.col("key") != INTERCEPT) if apart else state
+        vector = broadcast_if_small(vector.select("key", *[f"r{s}" for s in systems]), LEVEL_BROADCAST_ROWS, d, d * (64 + 8 * len(systems)))
+        each = dealt.select("pid", F.explode("feats").alias("key"))
+        sums = ((each.where(F.col("key") != INTERCEPT) if apart else each).join(vector, "key")
+                .groupBy("pid").agg(*[F.sum(f"r{s}").alias(f"t{s}") for s in systems]))
+        total = [F.coalesce(col("t", s), F.lit(0.0)) + (F.lit(at_intercept[s]) if apart else 0) for s in systems]
+        own = [(F.col("n") * trains(s) * total[s]).alias(f"u{s}") for s in systems]
         return (dealt.join(sums, "pid", "left").select(F.explode("feats").alias("key"), *own)
                      .groupBy("key").agg(*[F.sum(f"u{s}").alias(f"w{s}") for s in systems]))
 
+    names = [f"{v}{s}" for v in "rxpq" for s in systems]
+
+    def advance(state: DataFrame, alpha: np.ndarray, beta: np.ndarray) -> DataFrame:
+        """The next residuals, solutions and directions. (In numpy: with the step's factors
+        as literals Spark would compile every step's plan anew.)"""
+        def update(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                at = {c: i for i, c in enumerate(batch.schema.names)}
+                r, x, p, q, w = (np.array([batch.column(at[f"{v}{s}"]).to_numpy(zero_copy_only=False) for s in systems]) for v in "rxpqw")
+                p, q = beta * p + r, beta * q + w
+                made = np.concatenate([r - alpha * q, x + alpha * p, p, q])
+                yield pa.RecordBatch.from_arrays([batch.column(at["key"]), *map(pa.array, made)], ["key", *names])
+
+        return state.mapInArrow(update, "key string, " + ", ".join(f"{c} double" for c in names))
+
     try:
         start = (dealt.select("fold", "sy", F.explode("feats").alias("key"))
                       .groupBy("key").agg(*[F.sum(F.col("sy") * trains(s)).alias(f"r{s}") for s in systems]))
@@ -313,13 +335,8 @@ def _fit_cg(pat: DataFrame, k: int, d: int, tol: float, max_iter: int) -> tuple[
                     alpha[s], before[s] = size[s] / curve, size[s]
             if not open_systems:
                 break
-            follow = lambda v, a, s: F.lit(beta[s]) * col(v, s) + col(a, s)  # noqa: B023, E731
-            p, q = [follow("p", "r", s) for s in systems], [follow("q", "w", s) for s in systems]
             at_intercept = [told[f"r{s}"] - alpha[s] * (told[f"w{s}"] + beta[s] * told[f"q{s}"]) for s in systems]
-            state = state.select(
-                "key", *[(col("r", s) - F.lit(alpha[s]) * q[s]).alias(f"r{s}") for s in systems],
-                *[(col("x", s) + F.lit(alpha[s]) * p[s]).alias(f"x{s}") for s in systems],
-                *[p[s].alias(f"p{s}") for s in systems], *[q[s].alias(f"q{s}") for s in systems])
+            state = advance(state, np.array(alpha)[:, None], np.array(beta)[:, None])
         for s in systems:  # rounding may stop the descent short of a very small ``tol``
             if size[s] > max(tol, 1e-9) ** 2 * first[s]:
                 raise RuntimeError(f"conjugate gradients did not converge: residual {size[s] ** 0.5:.3g} of {first[s] ** 0.5:.3g}")
