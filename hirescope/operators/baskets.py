@@ -194,7 +194,8 @@ def lift_heatmap(rules: DataFrame, known_items: DataFrame, max_side: int, grid:
                     .orderBy(F.col("best").desc(), "lhs").limit(grid).select("lhs"))
     rhs_keep = (pair.groupBy("rhs").agg(F.max("lift").alias("best"))
                     .orderBy(F.col("best").desc(), "rhs").limit(grid).select("rhs"))
-    sub = pair.join(F.broadcast(lhs_keep), "lhs", "left_semi").join(F.broadcast(rhs_keep), "rhs", "left_semi")
+    sub = pair.join(broadcast_if_small(lhs_keep, known_rows=grid), "lhs", "left_semi").join(
+        broadcast_if_small(rhs_keep, known_rows=grid), "rhs", "left_semi")
     # Pivot over the (at most ``grid``) RHS labels that survive, holes = 1.0, then back to long form.
     rhs_vals = [r_[0] for r_ in sub.select("rhs").distinct().orderBy("rhs").collect()]
     if not rhs_vals:

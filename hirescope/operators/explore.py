@@ -116,7 +116,7 @@ def salary_box_rows(df: DataFrame, group_col: str, top_n: int = 3,
              .na.drop(subset=["label", salary])
     top = (data.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
                .orderBy(F.col("n").desc(), "label").limit(int(top_n)).select("label"))
-    return data.join(F.broadcast(top), "label", "left_semi")
+    return data.join(broadcast_if_small(top, known_rows=int(top_n)), "label", "left_semi")
 
 
 def salary_box_by_skill_rows(df: DataFrame, skills: DataFrame, top_n: int = 3,
@@ -126,7 +126,7 @@ def salary_box_by_skill_rows(df: DataFrame, skills: DataFrame, top_n: int = 3,
     held = df.select(id_col, salary).join(skills.select(id_col, "skill").distinct(), id_col)
     top = (held.groupBy("skill").agg(F.count(F.lit(1)).alias("n"))
                .orderBy(F.col("n").desc(), "skill").limit(int(top_n)).select("skill"))
-    rows = held.join(F.broadcast(top), "skill", "left_semi")
+    rows = held.join(broadcast_if_small(top, known_rows=int(top_n)), "skill", "left_semi")
     return rows.select(F.col("skill").alias("label"), F.col(salary)).na.drop(subset=[salary])
 
 
