@@ -13,9 +13,12 @@ table of co-occurrence counts and X'y a table of sums of y:
 One aggregation pass gives the Gram sums of every fold; the training Gram of
 fold f is total - fold f. Up to ``MAX_DENSE_FEATURES`` these d x d sufficient
 statistics reach the driver, where the minimum-norm solution pinv(X'X) X'y is taken
-with a Hermitian eigen-decomposition. Wider designs never form feature pairs and
-bring nothing of length d to the driver: conjugate gradients run on tables keyed by
-feature, all folds and the final fit at once (``_fit_cg``).
+with a Hermitian eigen-decomposition. Wider designs bring nothing of length d to the
+driver. A row has one level of each category, so the levels of the widest category
+are eliminated exactly, by sums per level, which leaves a small system of the other
+features (``_fit_eliminated``). Where those are many too, or the caller sets
+``dense_max``, conjugate gradients run on tables keyed by feature, all folds and the
+final fit at once (``_fit_cg``).
 """
 
 from __future__ import annotations
@@ -34,9 +37,11 @@ from hirescope.execution import broadcast_if_small, cut_lineage
 INTERCEPT = "__intercept__"
 SKILL_KEY = "\x01"  # leads the internal name of a skill feature; not shown
 CATEGORY_COLUMNS = ("company_name", "location", "title")
-# Up to this many features the (sparse) d x d Gram sums come to the driver; wider
-# designs use conjugate gradients and never form feature pairs.
+# Up to this many features the (sparse) d x d Gram sums come to the driver.
 MAX_DENSE_FEATURES = 2000
+# Beyond, the widest category is eliminated if the other features' sums, for each system
+# a matrix, have at most this many entries; else conjugate gradients run.
+ELIMINATED_ENTRIES = 8_000_000
 LEVEL_BROADCAST_ROWS = 1_000_000
 
 
@@ -191,16 +196,17 @@ def _r2(sse: float, sst: float) -> float:
 def fit_least_squares(df: DataFrame, skills_long: DataFrame | None, cat_features: Sequence[str],
                       skills_used: Sequence[str], k_folds: int = 0, target: str = "normalized_salary",
                       id_col: str = "posting_id", seed: int = 42,
-                      dense_max: int = MAX_DENSE_FEATURES, cg_tol: float = 1e-12,
+                      dense_max: int | None = None, cg_tol: float = 1e-12,
                       cg_max_iter: int = 2000) -> LinearModel:
     """J23 + J27 + J28.
 
     ``df`` must already be the training set (J22). Rows are pre-aggregated by
-    (fold, feature pattern). Up to ``dense_max`` features, one pass gives every
+    (fold, feature pattern). Up to ``MAX_DENSE_FEATURES`` features, one pass gives every
     fold's X'X and X'y and the driver solves d x d systems (train = total -
-    fold). Wider designs (e.g. one-hot titles) are solved by conjugate gradients from
-    zero, which stay in the row space and so reach the minimum-norm solution; a solve
-    that has not converged raises. Each fold is scored on its patterns: squared
+    fold). Of wider designs (e.g. one-hot titles) the widest category is eliminated. Where
+    the other features are too many for that, or beyond a given ``dense_max``, conjugate
+    gradients start from zero, stay in the row space and so reach the minimum-norm
+    solution; a solve that has not converged raises. Each fold is scored on its patterns: squared
     deviations within a pattern plus n (mean - prediction)^2, a sum of squares that
     holds for targets of any size.
     """
@@ -211,18 +217,43 @@ def fit_least_squares(df: DataFrame, skills_long: DataFrame | None, cat_features
     base = with_skill_array(df.select(id_col, target, *cat_features), skills_long, skills_used, id_col)
     fold = fold_of(id_col, k, seed) if k > 1 else None
     pat = cut_lineage(_patterns(design_rows(base, cat_features, target, id_col, fold)).withColumn("pid", F.monotonically_increasing_id()))
-    d = pat.select(F.explode("feats").alias("i")).distinct().count()
+    sizes = _feature_counts(pat, cat_features)
+    d = sum(sizes.values())
     if d == 0:
         raise ValueError("no training rows")
-    if d <= dense_max:
+    wide = _separable(sizes, cat_features)
+    if d <= (MAX_DENSE_FEATURES if dense_max is None else dense_max):
         coefs, per_fold = _fit_dense(pat, k)
+    elif dense_max is None and wide is not None and (d - sizes[wide]) ** 2 * (k + 1) <= ELIMINATED_ENTRIES:
+        coefs, per_fold = _fit_eliminated(pat, k, wide)
     else:
         coefs, per_fold = _fit_cg(pat, k, d, cg_tol, cg_max_iter)
     intercept = coefs.where(F.col("key") == INTERCEPT).first()["beta"]
-    folds = fold_scores(pat, per_fold, d * k) if k > 1 else []
+    folds = fold_scores(pat, per_fold, d * k, wide) if k > 1 else []
     return LinearModel(coefs, float(intercept), d, cat_features, skills_used, folds)
 
 
+def _level_of(feature: Column, cat: str) -> Column:
+    """Whether a feature is a level of ``cat`` (a missing one has the category's bare name)."""
+    return feature.startswith(f"{cat}_") | (feature == cat)
+
+
+def _feature_counts(pat: DataFrame, cat_features: Sequence[str]) -> dict[str | None, int]:
+    """Distinct features by category; under None the intercept and the skills."""
+    kind = F.lit(None).cast("string")
+    for c in cat_features:
+        kind = F.when(_level_of(F.col("i"), c), c).otherwise(kind)
+    names = pat.select(F.explode("feats").alias("i")).distinct()
+    return {r["kind"]: r["n"] for r in names.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def _separable(sizes: dict[str | None, int], cat_features: Sequence[str]) -> str | None:
+    """The category of most levels, if no other one's features can be taken for its own."""
+    wide = max(cat_features, key=lambda c: sizes.get(c, 0), default=None)
+    alike = any(c != wide and (c.startswith(f"{wide}_") or wide.startswith(f"{c}_")) for c in cat_features)
+    return None if wide is None or alike else wide
+
+
 def _fit_dense(pat: DataFrame, k: int) -> tuple[DataFrame, DataFrame | None]:
     """(key, beta) of the fit to all rows, and (fold, i, b) of the fits without a fold."""
     import pandas as pd
@@ -242,11 +273,103 @@ def _fit_dense(pat: DataFrame, k: int) -> tuple[DataFrame, DataFrame | None]:
         "fold": np.repeat(np.array(list(betas), np.int32), len(names)), "i": names * len(betas), "b": np.concatenate(list(betas.values()))}))
 
 
-def fold_scores(pat: DataFrame, coefs: DataFrame, n_coefs: int) -> list[dict]:
-    """Each fold's scores under its own coefficients (fold, i, b), from the patterns."""
-    predicted = (pat.select("fold", "pid", F.explode("feats").alias("i"))
-                    .join(broadcast_if_small(coefs, known_rows=n_coefs), ["fold", "i"], "left")
-                    .groupBy("pid").agg(F.sum(F.coalesce("b", F.lit(0.0))).alias("pred")))
+def _fit_eliminated(pat: DataFrame, k: int, wide: str) -> tuple[DataFrame, DataFrame | None]:
+    """As ``_fit_dense``, without the levels of ``wide`` in the systems that are solved.
+
+    A row has one of these levels, so their block of X'X is diagonal: given the other
+    features' coefficients g, level t has the coefficient m_t - z_t g, with m_t the mean
+    target and z_t the mean of the other features over its training rows (0 without any).
+    What is left is S g = r, where S and r sum products of deviations from the level's
+    means. Of its solutions the one of least norm of all coefficients minimises
+    |g|^2 + sum over t of (m_t - z_t g)^2. Both systems are as wide as the other features
+    and summed level by level; a level's own coefficient stays in its table.
+    """
+    import pandas as pd
+
+    spark = pat.sparkSession
+    systems = range(k + 1 if k > 1 else 1)
+    last = len(systems) - 1
+    trains = lambda s: F.lit(1) if s == last else (F.col("fold") != s).cast("int")
+    split = pat.select("fold", "n", "sy", F.filter("feats", lambda x: _level_of(x, wide))[0].alias("level"),
+                       F.filter("feats", lambda x: ~_level_of(x, wide)).alias("feats"))
+    pairs, xty = _gram_of(split)
+    names = [r[0] for r in xty.select("i").distinct().orderBy("i").collect()]
+    index, m = {name: i for i, name in enumerate(names)}, len(names)
+    stats = _collect_stats(pairs, xty, index, k)
+    total_g, total_b = sum(s.g for s in stats), sum(s.xty for s in stats)
+    at = index[INTERCEPT]
+    middle = float(total_b[at] / total_g[at, at])
+
+    # Dealt by level once: rows of each system with the level, and of these with each feature.
+    cells = (split.repartition("level").select("level", "fold", "n", "sy", F.explode("feats").alias("i"))
+                  .groupBy("level", "i").agg(*[F.sum(F.col("n") * trains(s)).cast("double").alias(f"c{s}") for s in systems],
+                                             *[F.sum(F.col("sy") * trains(s)).alias(f"y{s}") for s in systems]))
+    whole = F.col("i") == INTERCEPT
+    levels = cut_lineage(cells.groupBy("level").agg(
+        F.collect_list(F.struct("i", *[f"c{s}" for s in systems])).alias("cells"),  # at most the other features
+        *[F.max(F.when(whole, F.col(f"{v}{s}"))).alias(f"{a}{s}") for s in systems for v, a in (("c", "n"), ("y", "y"))]))
+    # Nothing of a level without training rows counts.
+    per_row = lambda s, value: F.coalesce(F.when(F.col(f"n{s}") > 0, value / F.col(f"n{s}")), F.lit(0.0))
+    each = levels.select("*", F.explode("cells").alias("a"))
+    shifted = lambda s: F.col(f"y{s}") - F.lit(middle) * F.col(f"n{s}")
+    sides = each.groupBy("a.i").agg(
+        *[F.sum(per_row(s, shifted(s) * F.col(f"a.c{s}"))).alias(f"h{s}") for s in systems],
+        *[F.sum(per_row(s, per_row(s, F.col(f"y{s}") * F.col(f"a.c{s}")))).alias(f"v{s}") for s in systems]).toPandas()
+    both = lambda s: F.col(f"a.c{s}") * F.col(f"b.c{s}")
+    # A pair is summed once, for both of its places.
+    meets = each.select("*", F.explode("cells").alias("b")).where("a.i <= b.i").groupBy(F.col("a.i").alias("i"), F.col("b.i").alias("j")).agg(
+        *[F.sum(per_row(s, both(s))).alias(f"h{s}") for s in systems],
+        *[F.sum(per_row(s, per_row(s, both(s)))).alias(f"t{s}") for s in systems]).toPandas()
+    row, rows, cols = (t.map(index).to_numpy(int) for t in (sides["i"], meets["i"], meets["j"]))
+
+    def square(values: pd.Series) -> np.ndarray:
+        out = np.zeros((m, m))
+        out[rows, cols] = out[cols, rows] = values
+        return out
+
+    solved = np.zeros((len(systems), m))
+    for s in systems:
+        g, b = (total_g, total_b) if s == last else (total_g - stats[s].g, total_b - stats[s].xty)
+        h, v = np.zeros(m), np.zeros(m)
+        h[row], v[row] = sides[f"h{s}"], sides[f"v{s}"]
+        solved[s] = _least_norm_rest(g, square(meets[f"h{s}"]), square(meets[f"t{s}"]), b - middle * g[:, at] - h, v)
+
+    held = spark.createDataFrame(pd.DataFrame({"i": names, **{f"g{s}": solved[s] for s in systems}}))
+    of_rest = (each.select("level", "a.*").join(F.broadcast(held), "i")  # one row per other feature
+                   .groupBy("level").agg(*[F.sum(F.col(f"c{s}") * F.col(f"g{s}")).alias(f"u{s}") for s in systems]))
+    own = cut_lineage(levels.drop("cells").join(of_rest, "level").select(
+        "level", *[per_row(s, F.col(f"y{s}") - F.col(f"u{s}")).alias(f"b{s}") for s in systems]))
+    every = held.toDF("key", *[f"b{s}" for s in systems]).unionByName(own.withColumnRenamed("level", "key"))
+    coefs = every.select("key", F.col(f"b{last}").alias("beta"))
+    if k == 1:
+        return coefs, None
+    by_fold = F.explode(F.array(*[F.struct(F.lit(f).alias("fold"), F.col(f"b{f}").alias("b")) for f in range(k)]))
+    return coefs, every.select(F.col("key").alias("i"), by_fold.alias("c")).select("c.fold", "i", "c.b")
+
+
+def _least_norm_rest(g: np.ndarray, between: np.ndarray, means: np.ndarray, r: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """The other features' coefficients: S = ``g`` - ``between``, the right side ``r``, and
+    over the levels the sums of products of means ``means`` and of means with targets ``v``."""
+    w, vectors = np.linalg.eigh(g - between)
+    # The sums cancel where a feature is constant within each level.
+    cut = max(len(g) * np.finfo(float).eps, 1e-12) * float(np.linalg.norm(g, 2))
+    inside, free = vectors[:, w > cut], vectors[:, w <= cut]
+    x = inside @ ((inside.T @ r) / w[w > cut])
+    norm = np.eye(len(g)) + means
+    return x + free @ np.linalg.solve(free.T @ norm @ free, free.T @ (v - norm @ x))
+
+
+def fold_scores(pat: DataFrame, coefs: DataFrame, n_coefs: int, wide: str | None = None) -> list[dict]:
+    """Each fold's scores under its own coefficients (fold, i, b), from the patterns. Where
+    they are too many to broadcast, only the levels of ``wide`` take the shuffle join."""
+    each = pat.select("fold", "pid", F.explode("feats").alias("i"))
+    if n_coefs > LEVEL_BROADCAST_ROWS and wide is not None:
+        level = _level_of(F.col("i"), wide)
+        valued = each.where(level).join(coefs.where(level), ["fold", "i"], "left").unionByName(
+            each.where(~level).join(broadcast_if_small(coefs.where(~level)), ["fold", "i"], "left"))
+    else:
+        valued = each.join(broadcast_if_small(coefs, known_rows=n_coefs), ["fold", "i"], "left")
+    predicted = (valued.groupBy("pid").agg(F.sum(F.coalesce("b", F.lit(0.0))).alias("pred")))
     whole = pat.groupBy("fold").agg((F.sum("sy") / F.sum("n")).alias("mean"))
     off = lambda c: F.sum(F.col("within") + F.col("n") * F.pow(F.col("ybar") - F.col(c), 2))
     rows = (pat.join(predicted, "pid").join(F.broadcast(whole), "fold")  # one row per fold
@@ -371,7 +494,8 @@ def predict(model: LinearModel, df: DataFrame, skills_col: str = "skills", out:
         prefix, tcol = f"{c}_", f"__coef_{c}"
         table = model.coefs.where(F.col("key").startswith(prefix)).select(
             F.substr("key", F.lit(len(prefix) + 1)).alias("__lvl"), F.col("beta").alias(tcol))
-        res = res.join(broadcast_if_small(table, LEVEL_BROADCAST_ROWS, known_rows=model.n_features),
+        few = model.n_features if model.n_features <= LEVEL_BROADCAST_ROWS else None
+        res = res.join(broadcast_if_small(table, LEVEL_BROADCAST_ROWS, known_rows=few),
                        F.col(c).cast("string") == F.col("__lvl"), "left").drop("__lvl")
         pred = pred + F.coalesce(F.col(tcol), F.lit(0.0))
     if model.skills_used:  # at most the skills the caller chose

@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hirescope.operators.filters import dropna_subset
-from hirescope.operators.linear import CATEGORY_COLUMNS, MAX_DENSE_FEATURES, LinearModel, choose_features, fit_least_squares, predict, \
-    with_skill_array
+from hirescope.operators.linear import CATEGORY_COLUMNS, LinearModel, choose_features, fit_least_squares, predict, with_skill_array
 from hirescope.operators.sampling import seeded_sample
 
 TARGET = "normalized_salary"
@@ -28,7 +27,7 @@ def training_set(df: DataFrame, sample_n: int | None = None, id_col: str = "post
 
 def train_regression(df: DataFrame, skills_long: DataFrame | None, cat_features: Sequence[str],
                      skills_used: Sequence[str], k_folds: int = 3, sample_n: int | None = None,
-                     id_col: str = "posting_id", seed: int = 42, dense_max: int = MAX_DENSE_FEATURES) -> LinearModel:
+                     id_col: str = "posting_id", seed: int = 42, dense_max: int | None = None) -> LinearModel:
     """J27 + J28. Raises when fewer rows than folds remain (tested after dropping)."""
     if not cat_features and not skills_used:
         raise ValueError("choose at least one of company, location, title or a skill")

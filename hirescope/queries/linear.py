@@ -100,7 +100,7 @@ def q_parity_range(spark: SparkSession, sf: str) -> DataFrame:
 def q_ols_wide_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """Company + location + title one-hot (wide: one level per customer). Titles
     refine the other two categories here, so the fit equals the title means; past
-    2,000 features the solve runs by conjugate gradients."""
+    2,000 features the titles are eliminated before the solve."""
     p = fx.postings(spark, sf)
     m = RG.train_regression(p, None, ["company_name", "location", "title"], [], k_folds=0)
     met = LN.regression_metrics(RG.parity_table(m, _train(spark, sf), None))

@@ -50,3 +50,30 @@ def test_choose_features():
     assert choose_features({"company_name": "A", "title": None}, ["py"]) == (["company_name"], ["py"])
     with pytest.raises(ValueError):
         choose_features({"company_name": None}, [])
+
+
+def test_eliminated_levels_match_dense(spark, monkeypatch):
+    """Past ``MAX_DENSE_FEATURES`` the widest category leaves the system: crossed and nested
+    categories, skills, missing levels, and titles that a fold has for itself."""
+    from hirescope.operators import linear as LN
+
+    rng = np.random.default_rng(8)
+    schema = "posting_id long, title string, company_name string, location string, normalized_salary double"
+    skills = spark.createDataFrame([(i, s) for i in range(240) for s in ("py", "sql") if rng.random() < 0.4], "posting_id long, skill string")
+    cats = ["company_name", "location", "title"]
+    for nested, sk, used, few in ((False, skills, ["py", "sql"], LN.LEVEL_BROADCAST_ROWS), (True, None, [], 10)):
+        rows = []
+        for i in range(240):
+            t = int(rng.integers(0, 70))
+            of = t if nested else int(rng.integers(0, 1000))
+            rows.append((i, f"t{t}" if t else None, f"c{of % 4}", f"l{of % 3}", 1000 + float(rng.normal(50, 10))))
+        df = spark.createDataFrame(rows, schema)
+        dense = fit_least_squares(df, sk, cats, used, k_folds=3)
+        with monkeypatch.context() as patch:
+            patch.setattr(LN, "MAX_DENSE_FEATURES", 1)
+            patch.setattr(LN, "_fit_cg", None)
+            patch.setattr(LN, "LEVEL_BROADCAST_ROWS", few)
+            got = fit_least_squares(df, sk, cats, used, k_folds=3)
+        assert got.names == dense.names and np.allclose(got.beta, dense.beta, atol=1e-6)
+        for a, b in zip(dense.folds, got.folds, strict=True):
+            assert a["n_test"] == b["n_test"] and abs(a["r2"] - b["r2"]) < 1e-8
