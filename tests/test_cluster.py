@@ -135,3 +135,11 @@ def test_exact_silhouette_in_small_blocks(spark):
     assert some.keys() == {i for i in want if i % 7 == 0} and all(abs(some[i] - want[i]) < 1e-9 for i in some)
     mean, error = CL.silhouette_estimate(df, 120)
     assert abs(mean - np.mean(list(want.values()))) < 1e-9 and error == 0
+
+
+def test_silhouette_hands_python_one_pair_of_blocks_at_a_time(spark):
+    """A batch of rows would hold as many blocks as there are rows in it."""
+    from hirescope.operators import cluster as CL
+    df = spark.createDataFrame([(i, [float(i), 1.0], i % 2) for i in range(40)], "id long, x array<double>, cluster int")
+    plan = CL.silhouette_points(df, block_points=10)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "MapInArrow" not in plan and "FlatMapGroupsInArrow" not in plan
