@@ -72,6 +72,7 @@ def test_eliminated_levels_match_dense(spark, monkeypatch):
         with monkeypatch.context() as patch:
             patch.setattr(LN, "MAX_DENSE_FEATURES", 1)
             patch.setattr(LN, "_fit_cg", None)
+            patch.setattr(LN, "_fit_dense", None)
             patch.setattr(LN, "LEVEL_BROADCAST_ROWS", few)
             got = fit_least_squares(df, sk, cats, used, k_folds=3)
         assert got.names == dense.names and np.allclose(got.beta, dense.beta, atol=1e-6)
