@@ -327,3 +327,18 @@ def test_pii_finds_obfuscated_addresses_and_leaves_junk(spark, rows):
         assert [text[s.s:s.e] for s in got[50_000 + i].email] == [f"joe{i} (at) site{i} (dot) com"]
         assert got[50_000 + i].base_email == [] and got[60_000 + i].email == []
     assert all(set(r.base_email) <= set(r.email) for r in got.values())
+
+
+def test_toxicity_learns_from_every_labelled_row(spark):
+    """Class counts hold all rows, and a word that only the last few rows hold is learned."""
+    import numpy as np
+    plain = ["river", "stone", "cloud", "table", "green", "paper"]
+    given = [(i, " ".join(plain[(i + k) % 6] for k in range(8)) + (" qzvkj" if i >= 9000 and i % 3 == 0 else ""), int(i >= 9000 and i % 3 == 0))
+             for i in range(9300)]
+    rows = spark.createDataFrame(given, "doc_id long, text string, toxic int").repartition(4)
+    seen, n = toxicity.class_counts(toxicity.word_groups(rows.select("text", "toxic"), 10_000))
+    assert n.tolist() == [9200, 100] and seen[:, toxicity.word_ids("qzvkj")[0]].tolist() == [0, 100]
+    model = toxicity.fit_toxicity(rows.select("doc_id", "text"), rows.select("doc_id", "toxic"), langid.fit_lang_model(rows.selectExpr("doc_id", "text", "'en' AS lang")))
+    got = {r.doc_id: r.score for r in toxicity.score_toxicity(rows.select("doc_id", "text"), model).collect()}
+    assert all((got[i] >= toxicity.THRESHOLD) == (y == 1) for i, _, y in given)
+    assert np.isfinite(model["net"].embed).all()
