@@ -148,6 +148,41 @@ def test_lm_model_is_a_distribution():
     assert model.log10p([b"zzz"])[0] < model.log10p([b"ab"])[0]
 
 
+def test_lm_classes_are_a_distribution_in_context():
+    import numpy as np
+    classes = lm.Classes([b"ab", b"cd", lm.END], [5, 3, 2], np.arange(256) % 7)
+    learner = lm.ClassLearner(classes)
+    for _ in range(20):
+        learner.learn([[b"ab", b"cd", b"ab", b"zz", lm.END], [lm.END]])
+    assert learner.table[0].sum() == learner.table[3].sum() == 20 * classes.length[[256, 257, 256, ord("z"), 258, 258]].sum()
+    model = lm.ClassModel(classes, learner.learned())
+    tokens = [*(bytes([x]) + b"~" for x in range(256)), *classes.of]
+    after = {}
+    for text in ([], [b"ab"], [b"ab", b"cd"]):
+        p = 10 ** (model.log10p([[*text, w] for w in tokens]) - (model.log10p([text])[0] if text else 0))
+        assert p.sum() == pytest.approx(1, abs=1e-3)
+        after[len(text)] = p[tokens.index(b"cd")]
+    assert after[1] > 3 * after[2]
+
+
+def test_lm_reads_across_tokens(spark):
+    import random
+    rng, names = random.Random(1), ["alpha", "beta", "gamma", "delta", "epsilon", "zeta"]
+
+    def chain(n):
+        at = rng.randrange(6)
+        return [names[(at + 2 * i + i // 3) % 6] for i in range(n)]
+
+    given = [(i, " ".join(chain(60))) for i in range(200)]
+    held = [i for i in range(200, 400) if zlib.crc32(str(i).encode()) % 7 == 2][:10]
+    texts = [chain(60) for _ in held]
+    given += [(i, " ".join(t)) for i, t in zip(held, texts)] + [(i + 7000, " ".join(sorted(t))) for i, t in zip(held, texts)]
+    got = {r.doc_id: r for r in lm.lm_scores(spark.createDataFrame(given, "doc_id long, text string")).collect()}
+    for i in held:
+        assert got[i].base_score == pytest.approx(got[i + 7000].base_score)
+        assert got[i].score > 0.7 * got[i + 7000].score and got[i].score > 0.7 * got[i].base_score
+
+
 def brute_fingerprint(text):
     ws = words("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
     if not ws:
