@@ -98,7 +98,7 @@ def fit_lang_model(labelled: DataFrame, docs_per_lang: int = 2000, vocab: int =
 
 
 GAP = ""           # stands between texts; no word is empty
-UNIT = 40_000      # words handled at once
+UNIT = 4_000       # words handled at once: their arrays stay in a core's cache
 
 
 def units(texts: list[str | None], gap: int = 1) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:

@@ -119,6 +119,16 @@ def test_toxicity_held_out(spark):
     assert (neg >= toxicity.THRESHOLD).mean() < 0.1 and (got.predicted == (got.score >= 0.3)).all()
 
 
+def test_units_are_small_and_lose_no_window():
+    from hirescope.llm.langid import GAP, units
+    words = [chr(97 + i % 26) + chr(97 + i // 26 % 26) + chr(97 + i // 676) for i in range(15_000)]
+    got = list(units([" ".join(words), None, "x y"], gap=3))
+    assert max(len(flat) for flat, _, _ in got) < 10_000
+    windows = {tuple(flat[i:i + 3]) for flat, _, _ in got for i in range(len(flat) - 2) if GAP not in flat[i:i + 3]}
+    assert windows == {tuple(words[i:i + 3]) for i in range(len(words) - 2)}
+    assert sorted(o for _, _, owners in got for o in set(owners.tolist()) if o) == [1, 2]
+
+
 def test_lm_counts_against_brute_force(docs, rows):
     got = lm.lm_scores(docs, head=500).toPandas().set_index("doc_id")
     tokens = {i: [*(t or "").encode().lower().split(), lm.END] for i, t in rows}
