@@ -47,6 +47,9 @@ MIN_DISTINCT_PCT = 50
 MAX_CAPITALS_PCT = 2
 SYMBOLS = b"#$%&*|"
 SHARD_WORDS = 1 << 18    # words of a shard, if they are not one text's
+PIECE_OCTETS = 8 << 20   # octets of texts split into words at once, if they are not one text's
+# Spark reads up to 4,096 rows of a row group at once, and a shard is a row of megabytes.
+FEW_SHARDS = {"parquet.block.row.count.limit": "4"}
 
 SHARD = ("shard long, doc_id array<long>, part array<string>, digest array<binary>, flags array<int>, "
          "indptr array<long>, indices array<int>, counts array<int>, columns array<long>, "
@@ -108,12 +111,22 @@ def _one(values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches``, texts (column 3) of up to ``PIECE_OCTETS`` at once."""
+    for batch in batches:
+        borders, since = _buffers(batch.column(3))[0], 0
+        while since < batch.num_rows:
+            until = max(since + 1, int(np.searchsorted(borders, int(borders[since]) + PIECE_OCTETS, "right")) - 1)
+            yield batch.slice(since, until - since)
+            since = until
+
+
 def shards(docs: DataFrame, seed: int) -> DataFrame:
     """CSR shards of ``docs``: ``indices`` point into ``columns``, the words' numbers under
     ``seed``; ``new_ids`` and ``new_words`` are those that the task had not sent before."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made, sent, sent_check = 0, np.zeros(0, np.int64), np.zeros(0, np.int64)  # ordered by number
-        for batch in batches:
+        for batch in _pieces(batches):
             borders, octets = _buffers(batch.column(3))
             words, sizes = split_words(batch.column(3))
             ends, since, first = np.cumsum(sizes), 0, 0
@@ -149,7 +162,7 @@ def term_matrix(docs: DataFrame, first_seed: int = 0) -> tuple[DataFrame, DataFr
     """The document-term matrix of ``docs`` (doc_id, source, text) as CSR shards, and the
     dictionary (word_id, word) of its columns; both are written."""
     for seed in itertools.count(first_seed):
-        matrix = stash(shards(docs, seed))
+        matrix = stash(shards(docs, seed), FEW_SHARDS)
         sent = matrix.select(F.explode(F.arrays_zip("new_ids", "new_words")).alias("e"))
         dictionary = stash(sent.select(F.col("e.new_ids").alias("word_id"), F.col("e.new_words").alias("word")).distinct())
         if dictionary.groupBy("word_id").count().where("count > 1").isEmpty():

@@ -3,6 +3,8 @@
 from collections import defaultdict
 from itertools import permutations
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,3 +108,23 @@ def test_words_with_one_number_get_others(spark, tmp_path):
     finally:
         audit.shards = real
     assert dictionary.count() == 7 and {x for r in matrix.collect() for x in r.columns} == {r.word_id for r in dictionary.collect()}
+
+
+def test_a_row_group_holds_few_shards(spark, monkeypatch):
+    """Spark's reader holds a whole row group (up to 4,096 rows), and a shard is a row of megabytes."""
+    monkeypatch.setattr(audit, "SHARD_WORDS", 3)
+    rows = [(i, "s", f"one two three {i}") for i in range(300)]
+    matrix, dictionary = audit.term_matrix(spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(2))
+    files = {f.removeprefix("file:") for f in matrix.inputFiles()}
+    groups = [pq.ParquetFile("/" + f.lstrip("/")).metadata for f in files]
+    assert sum(m.num_rows for m in groups) == 300 and dictionary.count() == 303
+    assert max(m.row_group(i).num_rows for m in groups for i in range(m.num_row_groups)) <= 4
+
+
+def test_texts_are_split_in_pieces_of_bounded_size(monkeypatch):
+    monkeypatch.setattr(audit, "PIECE_OCTETS", 10)
+    texts = ["aaaa", "", "bbbb", "cc", "d" * 40, "", "eeeeeeeee", "ff"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8)), pa.array(range(8)), pa.array(range(8)), pa.array(texts)], ["a", "b", "c", "text"])
+    given = [batch.slice(0, 5), batch.slice(5, 3), batch.slice(0, 0)]
+    got = [p.column(3).to_pylist() for p in audit._pieces(iter(given))]
+    assert sum(got, []) == texts and all(len("".join(p)) <= 10 or len(p) == 1 for p in got) and len(got) == 4
