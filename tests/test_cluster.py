@@ -143,3 +143,20 @@ def test_silhouette_hands_python_one_pair_of_blocks_at_a_time(spark):
     df = spark.createDataFrame([(i, [float(i), 1.0], i % 2) for i in range(40)], "id long, x array<double>, cluster int")
     plan = CL.silhouette_points(df, block_points=10)._jdf.queryExecution().executedPlan().toString()
     assert "FlatMapCoGroupsInArrow" in plan and "MapInArrow" not in plan and "FlatMapGroupsInArrow" not in plan
+
+
+def test_silhouette_in_rounds_shuffles_one_block_of_queries_against_all(spark, monkeypatch):
+    """All pairs of blocks at once would shuffle the points once for every block."""
+    from hirescope.operators import cluster as CL
+    points = [(i, [float(i % 17), float(i * i % 23)], i % 3) for i in range(200)]
+    df = spark.createDataFrame(points, "id long, x array<double>, cluster int")
+    want = {r.id: r.silhouette for r in CL.silhouette_points(df).collect()}
+    written, cut = [], CL.cut_lineage
+    monkeypatch.setattr(CL, "cut_lineage", lambda t: written.append(t) or cut(t))
+    monkeypatch.setattr(CL, "ROUND_BYTES", 8 * 2 * 2 * 450)  # two blocks of about 20 against all
+    before = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    got = {r.id: r.silhouette for r in CL.silhouette_points(df, block_points=20).collect()}
+    assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-9 for i in want)
+    rounds = [t for t in written if t.columns == ["block", "sums"]]
+    assert len(rounds) == 5 and all("FlatMapCoGroupsInArrow" in t._jdf.queryExecution().executedPlan().toString() for t in rounds)
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == before
